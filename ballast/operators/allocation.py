@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ballast.functions.money import amount, amount_or_null, micros, or_zero, share_units
-from ballast.functions.sizing import cut_lineage, sized_broadcast
+from ballast.functions.sizing import MAX_BROADCAST_ROWS, cut_lineage
 
 # Largest model that one window partition handles; bigger ones are cut up.
 WINDOW_ROWS = 100_000
@@ -38,23 +38,23 @@ def price_models(
 ) -> DataFrame:
     """Model assets at the snapshot price, per rebalance.
 
-    If some model has more than ``window_rows`` assets, the rows also get a
-    ``chunk``: contiguous ranges of (price, asset) order of about that size, so
-    that :func:`trim_to_budget` never orders a whole big model in one task.
+    One count per model settles two things. A small result is hinted for
+    broadcast. And if some model has more than ``window_rows`` assets, the rows
+    get a ``chunk``: contiguous ranges of (price, asset) order of about that
+    size, so that :func:`trim_to_budget` never orders a big model in one task.
     """
     priced = model_asset.join(
         snapshot.drop("fund_id"), ["asset_id", "exch_code", "curr_code"]
-    ).select(
-        "rebal_id", "model_id", "asset_id", "exch_code", "weighting", "price"
-    )
-    sizes = model_asset.groupBy("model_id").agg(F.count("*").alias("n"))
-    biggest, total = sizes.agg(F.max("n"), F.sum("n")).first()
-    if (biggest or 0) <= window_rows:
-        return priced
-    running = snapshot.select("rebal_id").distinct().count()
-    parts = max(2, -(-total * running // window_rows))
-    ranged = priced.repartitionByRange(parts, "rebal_id", "model_id", "price", "asset_id")
-    return cut_lineage(ranged.withColumn("chunk", F.spark_partition_id()))
+    ).select("rebal_id", "model_id", "asset_id", "exch_code", "weighting", "price")
+    sizes = priced.groupBy("rebal_id", "model_id").agg(F.count("*").alias("n"))
+    biggest, total = sizes.agg(
+        F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))
+    ).first()
+    if biggest > window_rows:
+        pieces = max(2, -(-total // window_rows))
+        ranged = priced.repartitionByRange(pieces, "rebal_id", "model_id", "price", "asset_id")
+        priced = cut_lineage(ranged.withColumn("chunk", F.spark_partition_id()))
+    return F.broadcast(priced) if total <= MAX_BROADCAST_ROWS else priced
 
 
 def allocate(target: DataFrame, priced: DataFrame, keep_empty: bool = False) -> DataFrame:
@@ -64,7 +64,7 @@ def allocate(target: DataFrame, priced: DataFrame, keep_empty: bool = False) ->
     without an asset, so that later sums still cover every account.
     """
     how = "left" if keep_empty else "inner"
-    return target.join(sized_broadcast(priced), ["rebal_id", "model_id"], how).withColumn(
+    return target.join(priced, ["rebal_id", "model_id"], how).withColumn(
         "units_target",
         share_units(F.col("target_invest_value"), F.col("weighting"), F.col("price")),
     )
@@ -253,7 +253,7 @@ def new_balances(adjusted: DataFrame) -> DataFrame:
         adjusted.groupBy("accnt_id")
         .agg(
             *[F.first(name).alias(name) for name in _CARRIED],
-            F.max("account_bad").alias("account_bad"),
+            F.coalesce(F.max("account_bad"), F.lit(0)).alias("account_bad"),
             F.first("planned_value").alias("planned_value"),
             F.first("trims").alias("trims"),
             F.first("rounded_cost").alias("rounded_cost"),

@@ -31,39 +31,47 @@ def first_per_transaction(rows: DataFrame) -> DataFrame:
     return picked.select("tran_id", *[F.col(f"row.{name}").alias(name) for name in rest])
 
 
-def enqueue_deposits(queue: DataFrame, requests: DataFrame) -> DataFrame:
-    """The queue with new deposits; an id that is queued already is not added."""
+def new_deposits(queue: DataFrame, requests: DataFrame) -> DataFrame:
+    """Deposits to append: one per id, and none that is queued already."""
     fresh = first_per_transaction(_typed(requests, DEPOSIT))
-    added = fresh.join(queue.select("tran_id"), "tran_id", "left_anti")
-    return queue.select(QUEUE).unionByName(added.select(QUEUE))
+    return fresh.join(queue.select("tran_id"), "tran_id", "left_anti").select(QUEUE)
 
 
-def record_withdrawals(
-    target: DataFrame, requests: DataFrame, processed_dt: str | None = None, via_queue: bool = False
+def enqueue_deposits(queue: DataFrame, requests: DataFrame) -> DataFrame:
+    """The queue with the new deposits."""
+    return queue.select(QUEUE).unionByName(new_deposits(queue, requests))
+
+
+def new_withdrawals(
+    ledger: DataFrame, requests: DataFrame, processed_dt: str | None = None
 ) -> DataFrame:
-    """Withdrawals go straight to the ledger, unattached to any rebalance. With
-    ``via_queue`` they wait in the queue instead and reduce the next target."""
+    """Ledger rows to append: processed at once and attached to no rebalance."""
     fresh = first_per_transaction(_typed(requests, WITHDRAWAL))
-    added = fresh.join(target.select("tran_id"), "tran_id", "left_anti")
-    if via_queue:
-        return target.select(QUEUE).unionByName(added.select(QUEUE))
     stamp = F.lit(processed_dt).cast("timestamp_ntz") if processed_dt else F.col("queued_dt")
-    added = added.select(
+    return fresh.join(ledger.select("tran_id"), "tran_id", "left_anti").select(
         *QUEUE, F.lit(None).cast("string").alias("rebal_id"), stamp.alias("processed_dt")
     )
-    return target.select(*QUEUE, "rebal_id", "processed_dt").unionByName(added)
 
 
-def settle_queue(queue: DataFrame, done: DataFrame, as_of: str) -> tuple[DataFrame, DataFrame]:
-    """Ledger rows of the done accounts, and what stays in the queue.
+def record_withdrawals(
+    target: DataFrame, requests: DataFrame, processed_dt: str | None = None, via_queue: bool = False
+) -> DataFrame:
+    """Withdrawals go straight to the ledger, so they never reduce a target. With
+    ``via_queue`` the target is the queue and they count in the next rebalance."""
+    if via_queue:
+        fresh = first_per_transaction(_typed(requests, WITHDRAWAL))
+        added = fresh.join(target.select("tran_id"), "tran_id", "left_anti")
+        return target.select(QUEUE).unionByName(added.select(QUEUE))
+    return target.select(*QUEUE, "rebal_id", "processed_dt").unionByName(
+        new_withdrawals(target, requests, processed_dt)
+    )
+
 
-    Only deposits and withdrawals are drained; the account's fund is stamped on
-    the ledger row.
-    """
-    drained = F.col("tx_type").isin(DEPOSIT, WITHDRAWAL)
+def settle_queue(queue: DataFrame, done: DataFrame, as_of: str) -> DataFrame:
+    """Ledger rows of the done accounts, stamped with fund and rebalance."""
     owners = done.select("accnt_id", F.col("fund_id").alias("owner_fund"), "rebal_id")
-    settled = (
-        queue.filter(drained)
+    return (
+        queue.filter(F.col("tx_type").isin(DEPOSIT, WITHDRAWAL))
         .join(owners, "accnt_id")
         .select(
             "tran_id",
@@ -77,8 +85,14 @@ def settle_queue(queue: DataFrame, done: DataFrame, as_of: str) -> tuple[DataFra
             F.lit(as_of).cast("timestamp_ntz").alias("processed_dt"),
         )
     )
+
+
+def queue_remaining(queue: DataFrame, done: DataFrame) -> DataFrame:
+    """What stays queued: other accounts' rows, and types a rebalance ignores."""
     gone = done.select("accnt_id", F.lit(True).alias("settled"))
-    remaining = queue.join(gone, "accnt_id", "left").filter(
-        F.col("settled").isNull() | ~F.coalesce(drained, F.lit(False))
+    ignored = ~F.coalesce(F.col("tx_type").isin(DEPOSIT, WITHDRAWAL), F.lit(False))
+    return (
+        queue.join(gone, "accnt_id", "left")
+        .filter(F.col("settled").isNull() | ignored)
+        .select(QUEUE)
     )
-    return settled, remaining.select(QUEUE)

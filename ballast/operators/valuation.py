@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ballast.functions.money import amount, or_zero
-from ballast.functions.sizing import sized_broadcast
 from ballast.operators.funds import open_rebalances
 
 DEPOSIT, WITHDRAWAL = 1, 2
@@ -39,11 +38,10 @@ def price_holdings(holding: DataFrame, due: DataFrame, snapshot: DataFrame) -> D
     """Holdings of the due accounts at the snapshot price. A holding without a
     price drops out; :func:`unpriced_holdings` reports those."""
     owners = due.select("accnt_id", "rebal_id", "fund_id", "model_id")
-    prices = sized_broadcast(snapshot.drop("fund_id"))
     return (
         holding.drop("fund_id")
         .join(owners, "accnt_id")
-        .join(prices, ["rebal_id", "asset_id", "exch_code", "curr_code"])
+        .join(snapshot.drop("fund_id"), ["rebal_id", "asset_id", "exch_code", "curr_code"])
         .select(
             "rebal_id",
             "accnt_id",
@@ -62,7 +60,7 @@ def unpriced_holdings(holding: DataFrame, due: DataFrame, snapshot: DataFrame) -
     """Holdings of due accounts that have no snapshot price."""
     owners = due.select("accnt_id", "rebal_id")
     return holding.join(owners, "accnt_id").join(
-        sized_broadcast(snapshot.drop("fund_id", "price")),
+        snapshot.drop("fund_id", "price"),
         ["rebal_id", "asset_id", "exch_code", "curr_code"],
         "left_anti",
     )

@@ -1,18 +1,20 @@
-"""One rebalance of every due account as a single set of DataFrames."""
+"""One rebalance of every due account, as a set of lazy DataFrames."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ballast.functions.sizing import sized_broadcast
 from ballast.operators import allocation, cash, funds, quality, trades, valuation
 
 
 @dataclass
-class RebalanceInput:
+class Portfolio:
     """State before the rebalance. ``snapshot`` is the frozen price table; where
     it is missing the current listing prices are frozen for the open rebalances."""
 
@@ -27,132 +29,201 @@ class RebalanceInput:
     processed: DataFrame | None = None
 
 
-@dataclass
-class RebalanceResult:
-    """New state (``holding``, ``balance``, ``queue``) and rows to append (the rest)."""
+class Rebalance:
+    """Values, allocates, trims and trades for every due account.
 
-    holding: DataFrame
-    balance: DataFrame
-    queue: DataFrame
-    trade: DataFrame
-    holding_history: DataFrame
-    balance_history: DataFrame
-    account_asset: DataFrame
-    account_audit: DataFrame
-    rebal_account: DataFrame
-    transact: DataFrame
-    rejects: DataFrame
+    Each attribute is a DataFrame that is planned when first asked for, so a
+    caller who wants the trades pays for nothing else.
+
+    ``trigger``     what the trim compares with the target, see ``trim_to_budget``
+    ``strict``      set aside accounts that hold an asset outside their model
+                    instead of selling it at the snapshot price
+    ``funds_only``  restrict to these fund ids
+    ``stage``       may write an intermediate that several outputs share and
+                    return the stored copy
+    """
+
+    # New state first, then rows to append.
+    OUTPUTS = (
+        "holding",
+        "balance",
+        "transact_queue",
+        "trade",
+        "holding_history",
+        "balance_history",
+        "account_asset",
+        "account_audit",
+        "rebal_account",
+        "transact",
+        "rejects",
+    )
+
+    def __init__(
+        self,
+        state: Portfolio,
+        as_of: str,
+        trigger: str = "unrounded",
+        strict: bool = False,
+        funds_only: list[int] | None = None,
+        stage: Callable[[DataFrame, str], DataFrame] = lambda df, label: df,
+        window_rows: int = allocation.WINDOW_ROWS,
+    ):
+        self.state = state
+        self.as_of = as_of
+        self.trigger = trigger
+        self.strict = strict
+        self.stage = stage
+        self.window_rows = window_rows
+        headers = state.rebal_fund
+        if funds_only is not None:
+            headers = headers.filter(F.col("fund_id").isin(funds_only))
+        self.headers = headers
 
     def tables(self) -> dict[str, DataFrame]:
-        return dict(vars(self))
+        return {name: getattr(self, name) for name in self.OUTPUTS}
+
+    # shared steps
+
+    @cached_property
+    def due(self) -> DataFrame:
+        state = self.state
+        return funds.accounts_due(state.balance, self.headers, state.gate, state.processed)
+
+    @cached_property
+    def snapshot(self) -> DataFrame:
+        frozen = self.state.snapshot
+        if frozen is None:
+            frozen = valuation.price_snapshot(self.state.listing_price, self.headers)
+        return sized_broadcast(frozen)
+
+    @cached_property
+    def current(self) -> DataFrame:
+        priced = valuation.price_holdings(self.state.holding, self.due, self.snapshot)
+        return self.stage(priced, "current")
+
+    @cached_property
+    def target(self) -> DataFrame:
+        value = valuation.value_holdings(self.current)
+        return valuation.target_balance(self.due, value, valuation.queued_cash(self.state.queue))
+
+    @cached_property
+    def priced_models(self) -> DataFrame:
+        return allocation.price_models(self.state.model_asset, self.snapshot, self.window_rows)
+
+    @cached_property
+    def rounded(self) -> DataFrame:
+        """Every due account; one without a priced model asset has one row, without asset."""
+        return allocation.round_units(
+            allocation.allocate(self.target, self.priced_models, keep_empty=True)
+        )
 
+    @cached_property
+    def trimmed(self) -> DataFrame:
+        return self.stage(allocation.trim_to_budget(self.rounded, self.trigger), "trimmed")
 
-@dataclass
-class Stages:
-    """The intermediate frames that several outputs share."""
-
-    due: DataFrame
-    snapshot: DataFrame
-    current: DataFrame
-    target: DataFrame
-    rounded: DataFrame
-    adjusted: DataFrame
-
-
-def stages(
-    state: RebalanceInput,
-    trigger: str = "unrounded",
-    keep_empty: bool = True,
-    funds_only: list[int] | None = None,
-    window_rows: int = allocation.WINDOW_ROWS,
-) -> Stages:
-    """Value, allocate, round and trim; all lazy."""
-    headers = state.rebal_fund
-    if funds_only is not None:
-        headers = headers.filter(F.col("fund_id").isin(funds_only))
-    due = funds.accounts_due(state.balance, headers, state.gate, state.processed)
-    snapshot = state.snapshot
-    if snapshot is None:
-        snapshot = valuation.price_snapshot(state.listing_price, headers)
-    current = valuation.price_holdings(state.holding, due, snapshot)
-    target = valuation.target_balance(
-        due, valuation.value_holdings(current), valuation.queued_cash(state.queue)
-    )
-    priced = allocation.price_models(state.model_asset, snapshot, window_rows)
-    rounded = allocation.round_units(allocation.allocate(target, priced, keep_empty))
-    adjusted = allocation.trim_to_budget(rounded, trigger)
-    return Stages(due, snapshot, current, target, rounded, adjusted)
-
-
-def rebalance(
-    state: RebalanceInput,
-    as_of: str,
-    trigger: str = "unrounded",
-    strict: bool = False,
-    funds_only: list[int] | None = None,
-    stage: Callable[[DataFrame, str], DataFrame] = lambda df, label: df,
-    window_rows: int = allocation.WINDOW_ROWS,
-) -> RebalanceResult:
-    """Rebalance every due account of the open rebalances.
-
-    ``stage`` may write a shared intermediate and read it back; by default all
-    stays lazy. ``strict`` sets aside accounts that hold an asset outside their
-    model instead of selling it at the snapshot price.
-    """
-    steps = stages(state, trigger, True, funds_only, window_rows)
-    adjusted = stage(steps.adjusted, "adjusted")
-    current = stage(steps.current, "current")
-    summary_all = stage(allocation.new_balances(adjusted), "summary")
-
-    bad = quality.reject(
-        summary_all.filter(F.col("account_bad") == 1),
-        "rebalance",
-        [F.col("rebal_id"), F.col("accnt_id")],
-        "zero price or figure out of range",
-    )
-    unpriced = quality.reject(
-        valuation.unpriced_holdings(state.holding, steps.due, steps.snapshot),
-        "price_holdings",
-        [F.col("accnt_id"), F.col("asset_id")],
-        "warning: no snapshot price",
-    )
-    rejects = bad.unionByName(unpriced)
-    good = F.coalesce(F.col("account_bad"), F.lit(0)) == 0
-    summary = summary_all.filter(good)
-    adjusted = adjusted.filter(good)
-    position = trades.positions(current, adjusted)
-
-    if strict:
-        outside = position.filter(
-            F.col("t_price").isNull() & (F.col("units_current") != 0)
-        ).select("rebal_id", "accnt_id", "asset_id")
-        rejects = rejects.unionByName(
+    @cached_property
+    def figures(self) -> DataFrame:
+        return self.stage(allocation.new_balances(self.trimmed), "figures")
+
+    @cached_property
+    def outside(self) -> DataFrame:
+        """Held assets that the account's model does not contain."""
+        planned = self.trimmed.select("accnt_id", "asset_id")
+        return self.current.join(planned, ["accnt_id", "asset_id"], "left_anti").select(
+            "rebal_id", "accnt_id", "asset_id"
+        )
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        """Figures of the accounts that go through."""
+        good = self.figures.filter(F.col("account_bad") == 0)
+        if self.strict:
+            good = good.join(self.outside.select("accnt_id").distinct(), "accnt_id", "left_anti")
+        return good
+
+    @cached_property
+    def done(self) -> DataFrame:
+        return self.summary.select("rebal_id", "accnt_id", "fund_id", "curr_code", "model_id")
+
+    @cached_property
+    def adjusted(self) -> DataFrame:
+        """Planned rows of the accounts that go through."""
+        good = self.trimmed.filter((F.col("account_bad") == 0) & F.col("asset_id").isNotNull())
+        if self.strict:
+            good = good.join(self.outside.select("accnt_id").distinct(), "accnt_id", "left_anti")
+        return good
+
+    @cached_property
+    def position(self) -> DataFrame:
+        # Holdings of accounts that were set aside must not look like sales.
+        held = self.current.join(self.done.select("accnt_id"), "accnt_id", "left_semi")
+        return trades.positions(held, self.adjusted)
+
+    # new state
+
+    @cached_property
+    def holding(self) -> DataFrame:
+        return trades.replace_holdings(self.state.holding, self.adjusted, self.done)
+
+    @cached_property
+    def balance(self) -> DataFrame:
+        return trades.replace_balances(self.state.balance, self.summary)
+
+    @cached_property
+    def transact_queue(self) -> DataFrame:
+        return cash.queue_remaining(self.state.queue, self.done)
+
+    # rows to append
+
+    @cached_property
+    def trade(self) -> DataFrame:
+        return trades.make_trades(self.position, self.as_of)
+
+    @cached_property
+    def holding_history(self) -> DataFrame:
+        return trades.holding_history(self.adjusted)
+
+    @cached_property
+    def balance_history(self) -> DataFrame:
+        return trades.balance_history(self.summary)
+
+    @cached_property
+    def account_asset(self) -> DataFrame:
+        return trades.asset_audit(self.position)
+
+    @cached_property
+    def account_audit(self) -> DataFrame:
+        return trades.account_audit(self.summary, self.as_of)
+
+    @cached_property
+    def rebal_account(self) -> DataFrame:
+        return trades.rebalance_accounts(self.done)
+
+    @cached_property
+    def transact(self) -> DataFrame:
+        return cash.settle_queue(self.state.queue, self.done, self.as_of)
+
+    @cached_property
+    def rejects(self) -> DataFrame:
+        """Accounts set aside, and a warning per holding without a price."""
+        account = [F.col("rebal_id"), F.col("accnt_id")]
+        rows = quality.reject(
+            self.figures.filter(F.col("account_bad") == 1),
+            "rebalance",
+            account,
+            "zero price or figure out of range",
+        ).unionByName(
             quality.reject(
-                outside,
-                "make_trades",
-                [F.col("rebal_id"), F.col("accnt_id"), F.col("asset_id")],
-                "asset outside the model",
+                valuation.unpriced_holdings(self.state.holding, self.due, self.snapshot),
+                "price_holdings",
+                [F.col("accnt_id"), F.col("asset_id")],
+                "warning: no snapshot price",
             )
         )
-        outside = outside.select("accnt_id").distinct()
-        summary = summary.join(outside, "accnt_id", "left_anti")
-        adjusted = adjusted.join(outside, "accnt_id", "left_anti")
-        position = position.join(outside, "accnt_id", "left_anti")
-
-    # Rows of accounts that were set aside appear only through `current`.
-    done = summary.select("rebal_id", "accnt_id", "fund_id", "curr_code", "model_id")
-    position = position.join(done.select("accnt_id"), "accnt_id", "left_semi")
-    settled, remaining = cash.settle_queue(state.queue, done, as_of)
-    return RebalanceResult(
-        holding=trades.replace_holdings(state.holding, adjusted, done),
-        balance=trades.replace_balances(state.balance, summary),
-        queue=remaining,
-        trade=trades.make_trades(position, as_of),
-        holding_history=trades.holding_history(adjusted),
-        balance_history=trades.balance_history(summary),
-        account_asset=trades.asset_audit(position),
-        account_audit=trades.account_audit(summary, as_of),
-        rebal_account=trades.rebalance_accounts(done),
-        transact=settled,
-        rejects=rejects,
-    )
+        if self.strict:
+            rows = rows.unionByName(
+                quality.reject(
+                    self.outside, "make_trades", [*account, F.col("asset_id")], "asset outside the model"
+                )
+            )
+        return rows

@@ -237,19 +237,19 @@ class StarSource:
         """Waiting deposits and withdrawals without fund and currency."""
         return order_events(self.raw("orders").filter(F.col("o_orderstatus").isin("O", "P")))
 
-    def _with_fund(self, events: DataFrame) -> DataFrame:
+    def with_fund(self, events: DataFrame) -> DataFrame:
         owners = self.account().select("accnt_id", "fund_id", "curr_code")
         return events.join(owners, "accnt_id").select(
             "tran_id", "accnt_id", "fund_id", "curr_code", "tx_type", "amount", "queued_dt"
         )
 
     def transact_queue(self) -> DataFrame:
-        return self._with_fund(self.queue_events())
+        return self.with_fund(self.queue_events())
 
     def transact(self) -> DataFrame:
         """Finished orders: movements settled by an earlier rebalance."""
         done = order_events(self.raw("orders").filter(F.col("o_orderstatus") == "F"))
-        return self._with_fund(done).select(
+        return self.with_fund(done).select(
             "*",
             F.concat(F.lit("R"), F.col("fund_id").cast("string"), F.lit("-0")).alias("rebal_id"),
             F.col("queued_dt").alias("processed_dt"),
@@ -272,7 +272,12 @@ class StarSource:
         return self.fund().select("fund_id", "curr_code", amount(F.lit(0)).alias("balance"))
 
     def gate(self) -> DataFrame:
-        return self.currency().select("curr_code", F.lit(1).cast("smallint").alias("gate_status"))
+        """The last currency is being snapshotted, so its gate is closed."""
+        status = F.when(F.col("r_regionkey") == CURRENCIES - 1, 0).otherwise(1)
+        return self.raw("region").select(
+            curr_code(F.col("r_regionkey")).alias("curr_code"),
+            status.cast("smallint").alias("gate_status"),
+        )
 
     def gate_closed(self) -> DataFrame:
         """Six hours per currency, one day apart."""
