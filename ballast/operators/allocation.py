@@ -22,7 +22,6 @@ _HELPERS = [
     "_cost",
     "_plan",
     "_trim_price",
-    "_bad",
     "_first_price",
     "_before",
     "_rows_before",
@@ -35,26 +34,55 @@ _HELPERS = [
 
 def price_models(
     model_asset: DataFrame, snapshot: DataFrame, window_rows: int = WINDOW_ROWS
-) -> DataFrame:
-    """Model assets at the snapshot price, per rebalance.
-
-    One count per model settles two things. A small result is hinted for
-    broadcast. And if some model has more than ``window_rows`` assets, the rows
-    get a ``chunk``: contiguous ranges of (price, asset) order of about that
-    size, so that :func:`trim_to_budget` never orders a big model in one task.
+) -> tuple[DataFrame, DataFrame]:
+    """Model assets at the snapshot price, and what they allow per model.
+
+    The first frame has a row per rebalance, model and asset; the second, per
+    rebalance and model, the figures :func:`judge` needs. Counting the models
+    settles two things: a small result is hinted for broadcast, and if some model
+    has more than ``window_rows`` assets, the rows get a ``chunk``, contiguous
+    ranges of (price, asset) order of about that size, so that
+    :func:`trim_to_budget` never orders a big model in one task.
     """
     priced = model_asset.join(
         snapshot.drop("fund_id"), ["asset_id", "exch_code", "curr_code"]
     ).select("rebal_id", "model_id", "asset_id", "exch_code", "weighting", "price")
-    sizes = priced.groupBy("rebal_id", "model_id").agg(F.count("*").alias("n"))
-    biggest, total = sizes.agg(
-        F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))
+    ratio = F.abs(F.try_divide(F.col("weighting"), F.col("price")))
+    limits = priced.groupBy("rebal_id", "model_id").agg(
+        F.count("*").alias("assets"),
+        F.min(F.abs("price")).alias("lowest_price"),
+        F.max_by(F.struct("weighting", "price"), ratio).alias("steepest"),
+        F.sum(F.abs("weighting")).alias("weights"),
+        F.sum(F.abs("price")).alias("prices"),
+    )
+    biggest, total = limits.agg(
+        F.coalesce(F.max("assets"), F.lit(0)), F.coalesce(F.sum("assets"), F.lit(0))
     ).first()
     if biggest > window_rows:
         pieces = max(2, -(-total // window_rows))
         ranged = priced.repartitionByRange(pieces, "rebal_id", "model_id", "price", "asset_id")
         priced = cut_lineage(ranged.withColumn("chunk", F.spark_partition_id()))
-    return F.broadcast(priced) if total <= MAX_BROADCAST_ROWS else priced
+    if total <= MAX_BROADCAST_ROWS:
+        return F.broadcast(priced), F.broadcast(limits)
+    return priced, limits
+
+
+def judge(target: DataFrame, limits: DataFrame) -> DataFrame:
+    """Adds ``sound``: whether every figure of the account's plan can be stored.
+
+    False where the target is out of range, an asset of the model costs nothing,
+    the largest number of units does not fit, or the whole plan, rounded up,
+    would not. Decided per account, before its assets are spread out.
+    """
+    size = F.abs(F.col("target_invest_value"))
+    most = share_units(size, F.col("steepest.weighting"), F.col("steepest.price"))
+    whole = amount_or_null(size * F.col("weights") + F.col("prices"))
+    fits = (F.col("lowest_price") > 0) & most.isNotNull() & whole.isNotNull()
+    return (
+        target.join(limits, ["rebal_id", "model_id"], "left")
+        .withColumn("sound", size.isNotNull() & (F.col("assets").isNull() | fits))
+        .drop("assets", "lowest_price", "steepest", "weights", "prices")
+    )
 
 
 def allocate(target: DataFrame, priced: DataFrame, keep_empty: bool = False) -> DataFrame:
@@ -109,7 +137,6 @@ def _with_running_sums_chunked(rows: DataFrame, totals: dict[str, Column]) -> Da
         "_cost_sum": F.sum("_cost"),
         "_cost_rows": F.count("_cost"),
         "_lowest": F.min("_trim_price"),
-        "_unfit": F.max("_bad"),
     }
     chunks = rows.groupBy("accnt_id", "chunk").agg(
         *[expr.alias(name) for name, expr in partial.items()]
@@ -123,7 +150,6 @@ def _with_running_sums_chunked(rows: DataFrame, totals: dict[str, Column]) -> Da
         F.sum("_plan_sum").over(whole).alias("planned_cost"),
         F.sum("_cost_sum").over(whole).alias("rounded_cost"),
         F.min("_lowest").over(whole).alias("_first_price"),
-        F.max("_unfit").over(whole).alias("account_bad"),
         F.sum("_cost_sum").over(ahead).alias("_chunks_before"),
         F.sum("_cost_rows").over(ahead).alias("_chunk_rows_before"),
     )
@@ -150,9 +176,8 @@ def _with_running_sums_chunked(rows: DataFrame, totals: dict[str, Column]) -> Da
 def trim_to_budget(rounded: DataFrame, trigger: str = "unrounded") -> DataFrame:
     """Units the account can afford, plus its rounded plan value.
 
-    Adds ``units_adjusted``, ``rounded_target_invest_value`` and ``account_bad``
-    (1 where a price is zero or a figure does not fit, so that the caller can
-    set the whole account aside).
+    Adds ``units_adjusted`` and ``units_taken`` per row, and per account what the
+    plan costs (``planned_value``, ``rounded_cost``) and whether it ``trims``.
 
     * The trim runs where the planned value exceeds the target.
     * It always takes at least one unit, and goes on while the plan is too dear.
@@ -165,16 +190,11 @@ def trim_to_budget(rounded: DataFrame, trigger: str = "unrounded") -> DataFrame:
         )
         .withColumn("_plan", _planned(trigger))
         .withColumn("_trim_price", F.when(F.col("units_rounded") >= 1, F.col("price")))
-        .withColumn(
-            "_bad",
-            (F.col("asset_id").isNotNull() & F.col("units_rounded").isNull()).cast("int"),
-        )
     )
     totals = {
         "planned_cost": F.sum("_plan"),
         "rounded_cost": F.sum("_cost"),
         "_first_price": F.min("_trim_price"),
-        "account_bad": F.max("_bad"),
     }
     summed = (
         _with_running_sums_chunked(rows, totals)
@@ -253,7 +273,6 @@ def new_balances(adjusted: DataFrame) -> DataFrame:
         adjusted.groupBy("accnt_id")
         .agg(
             *[F.first(name).alias(name) for name in _CARRIED],
-            F.coalesce(F.max("account_bad"), F.lit(0)).alias("account_bad"),
             F.first("planned_value").alias("planned_value"),
             F.first("trims").alias("trims"),
             F.first("rounded_cost").alias("rounded_cost"),

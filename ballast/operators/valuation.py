@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ballast.functions.money import amount, or_zero
+from ballast.functions.money import amount, amount_or_null, or_zero
 from ballast.operators.funds import open_rebalances
 
 DEPOSIT, WITHDRAWAL = 1, 2
@@ -75,7 +75,8 @@ def value_holdings(current: DataFrame) -> DataFrame:
 
 
 def target_balance(due: DataFrame, value: DataFrame, queued: DataFrame) -> DataFrame:
-    """Holdings plus cash plus deposits less withdrawals, per due account."""
+    """Holdings plus cash plus deposits less withdrawals, per due account; NULL
+    where the sum is out of range."""
     cols = ["current_holdings_value", "new_deposits", "new_withdrawals"]
     filled = due.join(value, "accnt_id", "left").join(queued, "accnt_id", "left")
     for name in cols:
@@ -85,7 +86,7 @@ def target_balance(due: DataFrame, value: DataFrame, queued: DataFrame) -> DataF
         F.coalesce(F.col("current_holdings_count"), F.lit(0)).cast("bigint"),
     ).withColumn(
         "target_invest_value",
-        amount(
+        amount_or_null(
             F.col("current_holdings_value")
             + F.col("cash_balance")
             + F.col("new_deposits")

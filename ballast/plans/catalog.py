@@ -25,6 +25,7 @@ from ballast.operators import (
 from ballast.plans.cycle import CloseResult, close_rebalances
 from ballast.plans.oracle import AS_OF
 from ballast.plans.rebalance import Portfolio, Rebalance
+from ballast.session import tune
 from ballast.sources.star import StarSource, event_ticks, order_events, stream_schema
 from ballast.streaming import ingest
 
@@ -494,6 +495,6 @@ def gen_accounts(src):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bound(fn: Query):
-        return lambda spark, path: fn(StarSource(spark, path))
+        return lambda spark, path: fn(StarSource(tune(spark), path))
 
     return {name: bound(fn) for name, fn in _QUERIES.items()}

@@ -218,6 +218,38 @@ _ADJUSTED = f"""
 SELECT rebal_id, accnt_id, asset_id, exch_code, {money('p')} AS price, {money('u')} AS units_target,
        {money('r * 1000000')} AS units_rounded, {money('adj * 1000000')} AS units_adjusted FROM trimmed"""
 
+def draw(key: str, salt: int) -> str:
+    """The generators' hash: two congruential steps, low digits dropped."""
+    value = f"((({key}) % 2147483648 + {salt}) % 2147483648)"
+    for factor, increment in ((1103515245, 12345), (69069, 362437)):
+        value = f"(({value} * {factor} + {increment}) % 2147483648)"
+    return f"({value} // 1024)"
+
+
+_GRID = """
+grid AS (
+  SELECT row_number() OVER (ORDER BY s_suppkey, r_regionkey, k) AS model_id,
+         s_suppkey + 1 AS advisor_id, 'C' || r_regionkey AS curr_code
+  FROM supplier CROSS JOIN region CROSS JOIN range(1, 11) x(k))"""
+
+_STICKS = f"""
+placed AS (
+  SELECT asset_id, exch_code, curr_code, row_number() OVER (PARTITION BY curr_code ORDER BY asset_id) AS position
+  FROM listing),
+sized AS (
+  SELECT model_id, grid.curr_code, listed, least({draw('model_id', 2)} % 16 + 5, listed) AS n,
+         {draw('model_id', 3)} % listed AS start, {draw('model_id', 4)} % greatest(listed // 20, 1) + 1 AS stride
+  FROM grid JOIN (SELECT curr_code, count(*) AS listed FROM listing GROUP BY curr_code) c
+    ON c.curr_code = grid.curr_code),
+stick AS (
+  SELECT model_id, CAST(0 AS BIGINT) AS j, CAST(100 AS BIGINT) AS rest, CAST(0 AS BIGINT) AS weight FROM sized
+  UNION ALL
+  SELECT model_id, j + 1, rest - cut, cut FROM (
+    SELECT stick.model_id, j, rest, CASE WHEN j + 1 = n THEN rest
+           ELSE {draw('stick.model_id * 21 + j + 1', 5)} % (rest - (n - (j + 1))) + 1 END AS cut
+    FROM stick JOIN sized ON sized.model_id = stick.model_id WHERE j < n))
+"""
+
 ORACLES: dict[str, str] = {
     # valuation
     "price_snapshot": over_views(
@@ -455,4 +487,39 @@ ORACLES: dict[str, str] = {
         CAST(NULL AS VARCHAR) AS rebal_id, queued_dt AS processed_dt FROM queue WHERE tx_type = 2"""
     ),
     "stream_prices": over_ticks(_LATEST),
+    # generators
+    "gen_assets": over_views(
+        f""", dims AS (SELECT (SELECT count(*) // 10 FROM part) AS per_cell),
+        classes AS (SELECT p_type AS class_code, row_number() OVER (ORDER BY p_type) - 1 AS class_no,
+                    count(*) OVER () AS n FROM (SELECT DISTINCT p_type FROM part)),
+        cells AS (
+          SELECT (r_regionkey * n + class_no) * per_cell + c AS asset_id, class_no * per_cell + c AS list_no,
+                 'X' || r_regionkey AS exch_code, 'C' || r_regionkey AS curr_code, class_code,
+                 upper(left(r_name, 2)) AS prefix
+          FROM region CROSS JOIN classes CROSS JOIN dims CROSS JOIN LATERAL range(1, per_cell + 1) x(c))
+        SELECT asset_id, exch_code, curr_code, class_code, list_no,
+               prefix || lpad(CAST(asset_id AS VARCHAR), 10, '0') AS isin_code,
+               class_code || '_' || asset_id || '_' || prefix || lpad(CAST(asset_id AS VARCHAR), 10, '0') AS asset_name,
+               CAST(({draw('asset_id', 1)} % 8 + 1) // 2 + 1 AS DECIMAL(20,6)) AS price FROM cells"""
+    ),
+    "gen_models": f"""WITH {_GRID} SELECT model_id, 'Model' || model_id AS model_name, advisor_id, curr_code,
+        CAST({draw('model_id', 2)} % 16 + 5 AS INTEGER) AS assets_count FROM grid""",
+    "gen_model_assets": over_views(
+        f""", {_GRID}, {_STICKS}
+        SELECT s.model_id, p.asset_id, p.exch_code, p.curr_code, CAST(CAST(weight AS DECIMAL(9,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(20,6))
+          AS weighting FROM stick s JOIN sized USING (model_id)
+        JOIN placed p ON p.curr_code = sized.curr_code AND p.position = (start + (j - 1) * stride) % listed + 1
+        WHERE j > 0"""
+    ),
+    "gen_accounts": over_views(
+        f""", per AS (SELECT count(*) // 5 AS per_fund FROM customer),
+        choice AS (SELECT model_id, curr_code, row_number() OVER (PARTITION BY curr_code ORDER BY model_id) AS model_no,
+                   count(*) OVER (PARTITION BY curr_code) AS models FROM model),
+        people AS (SELECT (fund_id - 1) * per_fund + n AS accnt_id, fund_id, curr_code
+                   FROM fund CROSS JOIN per CROSS JOIN LATERAL range(1, per_fund + 1) x(n))
+        SELECT accnt_id, accnt_id AS inv_id, 'Investor' || accnt_id AS inv_name, people.curr_code, fund_id, model_id,
+               CAST(({draw('accnt_id', 7)} % 100 + 1) * 1000 AS DECIMAL(20,6)) AS deposit
+        FROM people JOIN choice ON choice.curr_code = people.curr_code
+         AND model_no = {draw('accnt_id', 6)} % models + 1"""
+    ),
 }

@@ -102,56 +102,58 @@ class Rebalance:
         return self.stage(priced, "current")
 
     @cached_property
-    def target(self) -> DataFrame:
-        value = valuation.value_holdings(self.current)
-        return valuation.target_balance(self.due, value, valuation.queued_cash(self.state.queue))
-
-    @cached_property
-    def priced_models(self) -> DataFrame:
+    def priced_models(self) -> tuple[DataFrame, DataFrame]:
         return allocation.price_models(self.state.model_asset, self.snapshot, self.window_rows)
 
     @cached_property
-    def rounded(self) -> DataFrame:
-        """Every due account; one without a priced model asset has one row, without asset."""
-        return allocation.round_units(
-            allocation.allocate(self.target, self.priced_models, keep_empty=True)
-        )
-
-    @cached_property
-    def trimmed(self) -> DataFrame:
-        return self.stage(allocation.trim_to_budget(self.rounded, self.trigger), "trimmed")
-
-    @cached_property
-    def figures(self) -> DataFrame:
-        return self.stage(allocation.new_balances(self.trimmed), "figures")
+    def judged(self) -> DataFrame:
+        """Target of every due account, and whether its plan can be stored."""
+        value = valuation.value_holdings(self.current)
+        queued = valuation.queued_cash(self.state.queue)
+        target = valuation.target_balance(self.due, value, queued)
+        return self.stage(allocation.judge(target, self.priced_models[1]), "judged")
 
     @cached_property
     def outside(self) -> DataFrame:
         """Held assets that the account's model does not contain."""
-        planned = self.trimmed.select("accnt_id", "asset_id")
-        return self.current.join(planned, ["accnt_id", "asset_id"], "left_anti").select(
+        modelled = self.state.model_asset.select("model_id", "asset_id")
+        return self.current.join(modelled, ["model_id", "asset_id"], "left_anti").select(
             "rebal_id", "accnt_id", "asset_id"
         )
 
     @cached_property
-    def summary(self) -> DataFrame:
-        """Figures of the accounts that go through."""
-        good = self.figures.filter(F.col("account_bad") == 0)
+    def target(self) -> DataFrame:
+        """Targets of the accounts that go through. Decided before the assets are
+        spread out, so nothing after this has to look back."""
+        sound = self.judged.filter("sound").drop("sound")
         if self.strict:
-            good = good.join(self.outside.select("accnt_id").distinct(), "accnt_id", "left_anti")
-        return good
+            strays = self.outside.select("accnt_id").distinct()
+            sound = sound.join(strays, "accnt_id", "left_anti")
+        return sound
 
     @cached_property
     def done(self) -> DataFrame:
-        return self.summary.select("rebal_id", "accnt_id", "fund_id", "curr_code", "model_id")
+        return self.target.select("rebal_id", "accnt_id", "fund_id", "curr_code", "model_id")
+
+    @cached_property
+    def rounded(self) -> DataFrame:
+        """One row per account and asset; an account without a priced model asset
+        has one row, without asset."""
+        return allocation.round_units(
+            allocation.allocate(self.target, self.priced_models[0], keep_empty=True)
+        )
+
+    @cached_property
+    def trimmed(self) -> DataFrame:
+        return self.stage(allocation.trim_to_budget(self.rounded, self.trigger), "trimmed")
 
     @cached_property
     def adjusted(self) -> DataFrame:
-        """Planned rows of the accounts that go through."""
-        good = self.trimmed.filter((F.col("account_bad") == 0) & F.col("asset_id").isNotNull())
-        if self.strict:
-            good = good.join(self.outside.select("accnt_id").distinct(), "accnt_id", "left_anti")
-        return good
+        return self.trimmed.filter(F.col("asset_id").isNotNull())
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        return self.stage(allocation.new_balances(self.trimmed), "summary")
 
     @cached_property
     def position(self) -> DataFrame:
@@ -208,7 +210,7 @@ class Rebalance:
         """Accounts set aside, and a warning per holding without a price."""
         account = [F.col("rebal_id"), F.col("accnt_id")]
         rows = quality.reject(
-            self.figures.filter(F.col("account_bad") == 1),
+            self.judged.filter("not sound"),
             "rebalance",
             account,
             "zero price or figure out of range",

@@ -65,7 +65,8 @@ def _stream_cash(
         .start()
         .awaitTermination()
     )
-    return requests.sparkSession.read.schema(schema).parquet(folder)
+    stored = requests.sparkSession.read.schema(schema).parquet(folder)
+    return stored.select(schema.fieldNames())
 
 
 def stream_deposits(requests: DataFrame, out_dir: str, checkpoint: str) -> DataFrame:
