@@ -18,6 +18,9 @@ from ballast.functions.sizing import MAX_BROADCAST_ROWS, cut_lineage
 # Largest model that one window partition handles; bigger ones are cut up.
 WINDOW_ROWS = 100_000
 
+# What the rows of an account carry.
+_SPREAD = ["rebal_id", "accnt_id", "fund_id", "curr_code", "model_id", "target_invest_value"]
+
 _HELPERS = [
     "_cost",
     "_plan",
@@ -85,14 +88,14 @@ def judge(target: DataFrame, limits: DataFrame) -> DataFrame:
     )
 
 
-def allocate(target: DataFrame, priced: DataFrame, keep_empty: bool = False) -> DataFrame:
+def allocate(target: DataFrame, priced: DataFrame) -> DataFrame:
     """One row per account and model asset with the fractional units to hold.
 
-    ``keep_empty`` keeps accounts whose model has no priced asset, as one row
-    without an asset, so that later sums still cover every account.
+    Of the account only what the rows need is spread over its assets; the other
+    figures are joined back per account by :func:`new_balances`.
     """
-    how = "left" if keep_empty else "inner"
-    return target.join(priced, ["rebal_id", "model_id"], how).withColumn(
+    spread = target.select(*_SPREAD)
+    return spread.join(priced, ["rebal_id", "model_id"]).withColumn(
         "units_target",
         share_units(F.col("target_invest_value"), F.col("weighting"), F.col("price")),
     )
@@ -146,7 +149,7 @@ def _with_running_sums_chunked(rows: DataFrame, totals: dict[str, Column]) -> Da
     ahead = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
     context = chunks.select(
         "accnt_id",
-        F.col("chunk").alias("_chunk"),
+        "chunk",
         F.sum("_plan_sum").over(whole).alias("planned_cost"),
         F.sum("_cost_sum").over(whole).alias("rounded_cost"),
         F.min("_lowest").over(whole).alias("_first_price"),
@@ -155,12 +158,9 @@ def _with_running_sums_chunked(rows: DataFrame, totals: dict[str, Column]) -> Da
     )
     inside = Window.partitionBy("accnt_id", "chunk").orderBy("price", "asset_id")
     before = inside.rowsBetween(Window.unboundedPreceding, -1)
-    joined = rows.withColumnRenamed("accnt_id", "_accnt").join(
-        context,
-        (F.col("_accnt") == F.col("accnt_id")) & F.col("chunk").eqNullSafe(F.col("_chunk")),
-    )
     return (
-        joined.withColumn(
+        rows.join(context, ["accnt_id", "chunk"])
+        .withColumn(
             "_before",
             F.coalesce(F.sum("_cost").over(before), F.lit(0))
             + F.coalesce(F.col("_chunks_before"), F.lit(0)),
@@ -169,7 +169,7 @@ def _with_running_sums_chunked(rows: DataFrame, totals: dict[str, Column]) -> Da
             "_rows_before",
             F.count("_cost").over(before) + F.coalesce(F.col("_chunk_rows_before"), F.lit(0)),
         )
-        .drop("_accnt", "_chunk", "_chunks_before", "_chunk_rows_before")
+        .drop("_chunks_before", "_chunk_rows_before")
     )
 
 
@@ -246,46 +246,32 @@ def cheapest(rounded: DataFrame) -> DataFrame:
     )
 
 
-_CARRIED = [
-    "rebal_id",
-    "fund_id",
-    "curr_code",
-    "model_id",
-    "inv_balance",
-    "cash_balance",
-    "current_holdings_value",
-    "current_holdings_count",
-    "new_deposits",
-    "new_withdrawals",
-    "target_invest_value",
-]
-
-
-def new_balances(adjusted: DataFrame) -> DataFrame:
-    """Account figures after the trim: plan value, invested value and cash left.
+def new_balances(target: DataFrame, adjusted: DataFrame) -> DataFrame:
+    """Every account's figures after the trim: plan value, invested value and the
+    cash left, which may be negative. An account without plan keeps all as cash.
 
-    The rows sit on ``accnt_id`` already, so this adds no exchange.
+    Both sides sit on ``accnt_id`` already, so this adds no exchange.
     """
-    taken = F.sum(F.col("units_taken") * F.col("price"))
-    invested = F.sum(F.col("units_adjusted") * F.col("price"))
+    sums = adjusted.groupBy("accnt_id").agg(
+        F.first("planned_value").alias("planned_value"),
+        F.first("trims").alias("trims"),
+        F.first("rounded_cost").alias("rounded_cost"),
+        F.sum(F.col("units_taken") * F.col("price")).alias("taken_cost"),
+        F.sum(F.col("units_adjusted") * F.col("price")).alias("invested"),
+    )
     affordable = amount(F.col("rounded_cost") - or_zero(F.col("taken_cost")))
     return (
-        adjusted.groupBy("accnt_id")
-        .agg(
-            *[F.first(name).alias(name) for name in _CARRIED],
-            F.first("planned_value").alias("planned_value"),
-            F.first("trims").alias("trims"),
-            F.first("rounded_cost").alias("rounded_cost"),
-            taken.alias("taken_cost"),
-            amount(F.coalesce(invested, F.lit(0))).alias("rebalanced_invest_value"),
-        )
+        target.join(sums, "accnt_id", "left")
         .withColumn(
             "rounded_target_invest_value",
-            F.when(F.col("trims"), affordable).otherwise(F.col("planned_value")),
+            F.when(F.col("trims"), affordable).otherwise(or_zero(F.col("planned_value"))),
+        )
+        .withColumn(
+            "rebalanced_invest_value", amount(F.coalesce(F.col("invested"), F.lit(0)))
         )
         .withColumn(
             "rebalanced_cash_balance",
             amount(F.col("target_invest_value") - F.col("rebalanced_invest_value")),
         )
-        .drop("planned_value", "trims", "rounded_cost", "taken_cost")
+        .drop("planned_value", "trims", "rounded_cost", "taken_cost", "invested")
     )

@@ -6,12 +6,16 @@ executor gives the same rows.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ballast.functions.money import WEIGHT, amount
 from ballast.functions.numbering import number_by_id
 from ballast.operators.shaping import isin_code, model_grid, number_listings
+from ballast.schemas import TABLES
 
 # Modulus, multipliers and increments of the hash; share of its
 # low digits that is dropped.
@@ -22,6 +26,51 @@ DROPPED = 1024
 MIN_ASSETS, MAX_ASSETS = 5, 20
 
 
+# The domain rows of the workload.
+CURRENCIES = [
+    ("GBP", "Great British Pound"),
+    ("USD", "United States Dollar"),
+    ("AUD", "Australian Dollar"),
+]
+FUNDS = [
+    (1, "Fund 1 UK Members", "GBP"),
+    (2, "Fund 2 US Members", "USD"),
+    (3, "Fund 3 AU Members", "AUD"),
+    (4, "Fund 4 GBP Growth", "GBP"),
+    (5, "Fund 5 USD Growth", "USD"),
+    (6, "Fund 6 AUD Growth", "AUD"),
+]
+EXCHANGES = [
+    ("FTSE", "Financial Times Stock Exchange", "UK", "GBP"),
+    ("NYSE", "New York Stock Exchange", "US", "USD"),
+    ("ASX", "Australian Securities Exchange", "AU", "AUD"),
+]
+CLASSES = [("ST", "Stock"), ("BO", "Bonds"), ("CO", "Commodities"), ("PR", "Property")]
+TRADE_TYPES = [(1, "Buy"), (2, "Sell")]
+TRANSACT_TYPES = [(1, "Deposit"), (2, "Withdrawal")]
+
+
+def domain(spark: SparkSession) -> dict[str, DataFrame]:
+    """Reference tables with fixed rows; listing counts of exchanges come later."""
+
+    def rows(name: str, values: list[tuple]) -> DataFrame:
+        return spark.createDataFrame(values, TABLES[name])
+
+    exchange = T.StructType([f for f in TABLES["exchange"].fields if f.name != "list_count"])
+    return {
+        "currency": rows("currency", CURRENCIES),
+        "gate": rows("gate", [(code, 1) for code, _ in CURRENCIES]),
+        "fund": rows("fund", FUNDS),
+        "fund_balance": rows(
+            "fund_balance", [(fund, code, Decimal(0)) for fund, _, code in FUNDS]
+        ),
+        "exchange": spark.createDataFrame(EXCHANGES, exchange),
+        "asset_class": rows("asset_class", CLASSES),
+        "trade_type": rows("trade_type", TRADE_TYPES),
+        "transact_type": rows("transact_type", TRANSACT_TYPES),
+    }
+
+
 def draw(key: Column, salt: int) -> Column:
     """A non-negative pseudo-random integer per key."""
     value = (key % MODULUS + salt) % MODULUS

@@ -27,7 +27,7 @@ def positions(current: DataFrame, adjusted: DataFrame) -> DataFrame:
         F.col("price").alias("c_price"),
         F.col("units").alias("units_current"),
     )
-    planned = adjusted.filter(F.col("asset_id").isNotNull()).select(
+    planned = adjusted.select(
         "accnt_id",
         "asset_id",
         "rebal_id",

@@ -85,13 +85,9 @@ def target_balance(src):
 # allocation
 
 
-def _planned(rows: DataFrame) -> DataFrame:
-    return rows.filter(F.col("asset_id").isNotNull())
-
-
 @query
 def holdings_target(src):
-    return _planned(_rebalance(src).rounded).select(
+    return _rebalance(src).rounded.select(
         "rebal_id",
         "accnt_id",
         "model_id",
@@ -106,7 +102,7 @@ def holdings_target(src):
 
 @query
 def holdings_rounded(src):
-    return _planned(_rebalance(src).rounded).select(
+    return _rebalance(src).rounded.select(
         "rebal_id",
         "accnt_id",
         "asset_id",

@@ -65,14 +65,15 @@ class Rebalance:
         trigger: str = "unrounded",
         strict: bool = False,
         funds_only: list[int] | None = None,
-        stage: Callable[[DataFrame, str], DataFrame] = lambda df, label: df,
+        stage: Callable[[DataFrame, str], DataFrame] | None = None,
         window_rows: int = allocation.WINDOW_ROWS,
     ):
         self.state = state
         self.as_of = as_of
         self.trigger = trigger
         self.strict = strict
-        self.stage = stage
+        self.stage = stage or (lambda df, label: df)
+        self.stored = stage is not None
         self.window_rows = window_rows
         headers = state.rebal_fund
         if funds_only is not None:
@@ -137,23 +138,23 @@ class Rebalance:
 
     @cached_property
     def rounded(self) -> DataFrame:
-        """One row per account and asset; an account without a priced model asset
-        has one row, without asset."""
-        return allocation.round_units(
-            allocation.allocate(self.target, self.priced_models[0], keep_empty=True)
-        )
-
-    @cached_property
-    def trimmed(self) -> DataFrame:
-        return self.stage(allocation.trim_to_budget(self.rounded, self.trigger), "trimmed")
+        """One row per account and priced asset of its model."""
+        target = self.target
+        if self.stored:
+            # A stored copy has lost its partitioning. Restoring it here moves one
+            # row per account; the trim would otherwise move all their assets.
+            target = target.repartition("accnt_id")
+        allocated = allocation.allocate(target, self.priced_models[0])
+        return allocation.round_units(allocated)
 
     @cached_property
     def adjusted(self) -> DataFrame:
-        return self.trimmed.filter(F.col("asset_id").isNotNull())
+        trimmed = allocation.trim_to_budget(self.rounded, self.trigger)
+        return self.stage(trimmed.drop("target_invest_value", "weighting", "value_target"), "adjusted")
 
     @cached_property
     def summary(self) -> DataFrame:
-        return self.stage(allocation.new_balances(self.trimmed), "summary")
+        return self.stage(allocation.new_balances(self.target, self.adjusted), "summary")
 
     @cached_property
     def position(self) -> DataFrame:

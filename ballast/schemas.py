@@ -112,6 +112,7 @@ TABLES: dict[str, T.StructType] = {
     ),
     "account_asset": _table(_AUDIT_ASSET),
     "account_asset_history": _table("history_id long," + _AUDIT_ASSET),
+    "account_asset_archive": _table("history_id long," + _AUDIT_ASSET),
     "account_audit": _table(
         "rebal_id string, fund_id long, curr_code string, accnt_id long, start_dt time,"
         "current_inv_balance amount, current_holdings_count long, current_holdings_value amount,"
@@ -151,6 +152,7 @@ KEYS: dict[str, list[str]] = {
     "fund_balance_history": ["fund_id", "rebal_id"],
     "account_asset": ["rebal_id", "accnt_id", "asset_id"],
     "account_asset_history": ["history_id"],
+    "account_asset_archive": ["history_id"],
     "account_audit": ["rebal_id", "accnt_id"],
 }
 

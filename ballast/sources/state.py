@@ -1,30 +1,80 @@
 """Tables of a portfolio as parquet folders.
 
-State is never changed in place: a job reads one folder and writes the next.
+State is never changed in place. A job reads the folders that make up the present
+state and writes new ones; a table then points at its new folder (state) or at one
+folder more (history).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ballast.schemas import TABLES
 
+# Folders of each table. Plain data, so a caller can keep it as JSON.
+Folders = dict[str, list[str]]
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}")
+# Tables whose rows are added to; every other table is replaced as a whole.
+APPENDED = {
+    "trade",
+    "holding_history",
+    "balance_history",
+    "fund_balance_history",
+    "account_asset",
+    "account_audit",
+    "rebal_account",
+    "transact",
+    "price_snapshot",
+    "listing_price_history",
+    "account_asset_archive",
+    "rejects",
+}
 
+WRITERS = 4
 
-def write_table(df: DataFrame, folder: str, name: str, mode: str = "error") -> None:
-    """Write in the declared column order and types; a value that does not fit
-    fails the write."""
+
+def read_table(spark: SparkSession, folders: Folders, name: str) -> DataFrame:
+    """The table in its declared schema; empty if nothing was written yet."""
     schema = TABLES[name]
-    columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
-    df.select(columns).write.mode(mode).parquet(f"{folder}/{name}")
+    if not folders.get(name):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*folders[name])
+
+
+def write_table(df: DataFrame, path: str, name: str) -> str:
+    """Write in the declared column order and types; a value that does not fit
+    fails the write, and so does a folder that exists."""
+    columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLES[name].fields]
+    df.select(columns).write.parquet(path)
+    return path
+
+
+def write_tables(
+    tables: dict[str, DataFrame], out_dir: str, folders: Folders | None = None
+) -> Folders:
+    """Write every table below ``out_dir`` and return where all tables are now.
+    A few writes run side by side, so the tail of one does not idle the cluster."""
+    with ThreadPoolExecutor(WRITERS) as pool:
+        written = {
+            name: pool.submit(write_table, df, f"{out_dir}/{name}", name)
+            for name, df in tables.items()
+        }
+    return moved(folders or {}, {name: job.result() for name, job in written.items()})
+
+
+def moved(folders: Folders, written: dict[str, str]) -> Folders:
+    """Folders after a job: appended tables gain one, the others are replaced."""
+    after = {name: list(paths) for name, paths in folders.items()}
+    for name, path in written.items():
+        after[name] = [*after.get(name, []), path] if name in APPENDED else [path]
+    return after
 
 
-def write_tables(tables: dict[str, DataFrame], folder: str, mode: str = "error") -> None:
-    """Write every table; renamed copies of state and appended rows alike."""
-    names = {"queue": "transact_queue"}
-    for key, df in tables.items():
-        write_table(df, folder, names.get(key, key), mode)
+def read_tables(
+    spark: SparkSession, folders: Folders, names: Iterable[str]
+) -> dict[str, DataFrame]:
+    return {name: read_table(spark, folders, name) for name in names}
