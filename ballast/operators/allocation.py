@@ -222,8 +222,8 @@ def trim_to_budget(rounded: DataFrame, trigger: str = "unrounded") -> DataFrame:
         summed.withColumn("planned_value", or_zero(amount_or_null(F.col("planned_cost"))))
         .withColumn("trims", (F.col("planned_value") > target) & F.col("rounded_cost").isNotNull())
         .withColumn("_one_is_enough", one_is_enough)
-        .withColumn("_left", micros(left))
-        .withColumn("_price_micros", micros(price))
+        .withColumn("_left", F.when(F.col("trims"), micros(left)))
+        .withColumn("_price_micros", F.when(F.col("trims"), micros(price)))
         .withColumn("units_taken", amount(taken))
         .withColumn(
             "units_adjusted",
