@@ -88,9 +88,8 @@ def test_trim_equals_loop(spark, trigger, window_rows):
     accounts = random_accounts(400, seed=7)
     # Each account is its own model and rebalance, so prices differ freely.
     target = spark.createDataFrame(
-        [(i, 1, i, f"R{i}", "C", dec(t / 1) / MICRO) for i, t, _ in accounts], TARGET
+        [(i, 1, i, f"R{i}", "C", dec(t) / MICRO) for i, t, _ in accounts], TARGET
     )
-    target = target.withColumn("target_invest_value", F.col("target_invest_value"))
     rows = [(i, a, w, p) for i, _, assets in accounts for a, w, p in assets]
     models = spark.createDataFrame(
         [(i, a, "X", "C", dec(w) / MICRO) for i, a, w, _ in rows], MODEL
