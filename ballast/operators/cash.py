@@ -9,6 +9,7 @@ from ballast.functions.money import amount
 from ballast.operators.valuation import DEPOSIT, WITHDRAWAL
 
 QUEUE = ["tran_id", "accnt_id", "fund_id", "curr_code", "tx_type", "amount", "queued_dt"]
+LEDGER = [*QUEUE, "rebal_id", "processed_dt"]
 
 
 def _typed(requests: DataFrame, kind: int) -> DataFrame:
@@ -23,6 +24,19 @@ def _typed(requests: DataFrame, kind: int) -> DataFrame:
     )
 
 
+def as_deposits(requests: DataFrame) -> DataFrame:
+    """Requests as queue rows."""
+    return _typed(requests, DEPOSIT)
+
+
+def as_withdrawals(requests: DataFrame, processed_dt: str | None = None) -> DataFrame:
+    """Requests as ledger rows: processed at once and attached to no rebalance."""
+    stamp = F.lit(processed_dt).cast("timestamp_ntz") if processed_dt else F.col("queued_dt")
+    return _typed(requests, WITHDRAWAL).select(
+        *QUEUE, F.lit(None).cast("string").alias("rebal_id"), stamp.alias("processed_dt")
+    )
+
+
 def first_per_transaction(rows: DataFrame) -> DataFrame:
     """One row per ``tran_id``; of unequal copies the smallest wins, so that
     reruns agree."""
@@ -31,26 +45,22 @@ def first_per_transaction(rows: DataFrame) -> DataFrame:
     return picked.select("tran_id", *[F.col(f"row.{name}").alias(name) for name in rest])
 
 
-def new_deposits(queue: DataFrame, requests: DataFrame) -> DataFrame:
-    """Deposits to append: one per id, and none that is queued already."""
-    fresh = first_per_transaction(_typed(requests, DEPOSIT))
-    return fresh.join(queue.select("tran_id"), "tran_id", "left_anti").select(QUEUE)
+def _new(stored: DataFrame, rows: DataFrame) -> DataFrame:
+    """One row per id, and no id that is stored already."""
+    fresh = first_per_transaction(rows)
+    return fresh.join(stored.select("tran_id"), "tran_id", "left_anti").select(rows.columns)
 
 
 def enqueue_deposits(queue: DataFrame, requests: DataFrame) -> DataFrame:
     """The queue with the new deposits."""
-    return queue.select(QUEUE).unionByName(new_deposits(queue, requests))
+    return queue.select(QUEUE).unionByName(_new(queue, as_deposits(requests)))
 
 
 def new_withdrawals(
     ledger: DataFrame, requests: DataFrame, processed_dt: str | None = None
 ) -> DataFrame:
-    """Ledger rows to append: processed at once and attached to no rebalance."""
-    fresh = first_per_transaction(_typed(requests, WITHDRAWAL))
-    stamp = F.lit(processed_dt).cast("timestamp_ntz") if processed_dt else F.col("queued_dt")
-    return fresh.join(ledger.select("tran_id"), "tran_id", "left_anti").select(
-        *QUEUE, F.lit(None).cast("string").alias("rebal_id"), stamp.alias("processed_dt")
-    )
+    """Ledger rows to append."""
+    return _new(ledger, as_withdrawals(requests, processed_dt))
 
 
 def record_withdrawals(
@@ -59,12 +69,8 @@ def record_withdrawals(
     """Withdrawals go straight to the ledger, so they never reduce a target. With
     ``via_queue`` the target is the queue and they count in the next rebalance."""
     if via_queue:
-        fresh = first_per_transaction(_typed(requests, WITHDRAWAL))
-        added = fresh.join(target.select("tran_id"), "tran_id", "left_anti")
-        return target.select(QUEUE).unionByName(added.select(QUEUE))
-    return target.select(*QUEUE, "rebal_id", "processed_dt").unionByName(
-        new_withdrawals(target, requests, processed_dt)
-    )
+        return target.select(QUEUE).unionByName(_new(target, _typed(requests, WITHDRAWAL)))
+    return target.select(LEDGER).unionByName(new_withdrawals(target, requests, processed_dt))
 
 
 def settle_queue(queue: DataFrame, done: DataFrame, as_of: str) -> DataFrame:

@@ -30,14 +30,11 @@ def running_rebalances(rebal_fund: DataFrame, gate: DataFrame | None = None) ->
 
 
 def accounts_due(
-    balance: DataFrame,
-    rebal_fund: DataFrame,
-    gate: DataFrame | None = None,
-    processed: DataFrame | None = None,
+    balance: DataFrame, running: DataFrame, processed: DataFrame | None = None
 ) -> DataFrame:
-    """Accounts to rebalance: their fund has an open rebalance, the gate of its
-    currency is open, and this rebalance has not handled them yet."""
-    due = balance.join(running_rebalances(rebal_fund, gate), "fund_id").select(
+    """Accounts to rebalance: their fund has a running rebalance (see
+    :func:`running_rebalances`) that has not handled them yet."""
+    due = balance.join(running, "fund_id").select(
         "rebal_id",
         "accnt_id",
         "fund_id",

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from ballast.functions.money import WEIGHT, amount
 from ballast.functions.numbering import number_by_id
+from ballast.functions.sizing import sized_broadcast
 from ballast.operators.shaping import isin_code, model_grid, number_listings
 from ballast.schemas import TABLES
 
@@ -106,8 +107,8 @@ def gen_assets(
     isin = isin_code(F.col("isin_prefix"), F.col("asset_id"))
     price = F.expr("(draw % 8 + 1) div 2 + 1")
     return (
-        rows.join(exchanges, "exch_no")
-        .join(classes, "class_no")
+        rows.join(sized_broadcast(exchanges), "exch_no")
+        .join(sized_broadcast(classes), "class_no")
         .withColumn("draw", draw(F.col("asset_id"), 1))
         .select(
             "asset_id",
@@ -199,9 +200,9 @@ def gen_accounts(
         F.expr(f"id div {max(per_fund, 1)} + 1").alias("fund_no"),
     )
     return (
-        rows.join(funds.join(choice, "curr_code"), "fund_no")
+        rows.join(sized_broadcast(funds.join(choice, "curr_code")), "fund_no")
         .withColumn("model_no", draw(F.col("accnt_id"), 6) % F.col("models") + 1)
-        .join(numbered, ["curr_code", "model_no"])
+        .join(sized_broadcast(numbered), ["curr_code", "model_no"])
         .select(
             "accnt_id",
             F.col("accnt_id").alias("inv_id"),

@@ -61,33 +61,6 @@ def positions(current: DataFrame, adjusted: DataFrame) -> DataFrame:
     )
 
 
-def make_trades(position: DataFrame, as_of: str, model_price_only: bool = False) -> DataFrame:
-    """Buy (1) or sell (2) the difference; sold units are negative.
-
-    An asset outside the model is sold at its snapshot price. With
-    ``model_price_only`` its price stays NULL, so that the NOT NULL check on
-    trades can report it.
-    """
-    delta = or_zero(F.col("units_adjusted")) - or_zero(F.col("units_current"))
-    price = F.col("t_price") if model_price_only else F.coalesce("t_price", "c_price")
-    return (
-        position.withColumn("units", amount(delta))
-        .filter(F.col("units") != 0)
-        .select(
-            "rebal_id",
-            "accnt_id",
-            "asset_id",
-            F.when(F.col("units") > 0, F.lit(BUY)).otherwise(F.lit(SELL)).cast("bigint").alias("trtyp_id"),
-            "exch_code",
-            "fund_id",
-            "curr_code",
-            "units",
-            price.alias("price"),
-            F.lit(as_of).cast("timestamp_ntz").alias("trade_time"),
-        )
-    )
-
-
 def asset_audit(position: DataFrame) -> DataFrame:
     """Per asset: current, target, rounded and adjusted units and values."""
     price = F.coalesce("t_price", "c_price")
@@ -115,6 +88,37 @@ def asset_audit(position: DataFrame) -> DataFrame:
     )
 
 
+def make_trades(assets: DataFrame, as_of: str, model_price_only: bool = False) -> DataFrame:
+    """Buy (1) or sell (2) the difference between current and adjusted units of
+    the rows of :func:`asset_audit`; sold units are negative.
+
+    An asset outside the model is sold at its snapshot price. With
+    ``model_price_only`` its price stays NULL, so that the NOT NULL check on
+    trades can report it.
+    """
+    delta = or_zero(F.col("units_adjusted")) - or_zero(F.col("units_current"))
+    kind = F.when(F.col("units") > 0, F.lit(BUY)).otherwise(F.lit(SELL))
+    price = F.col("price")
+    if model_price_only:
+        price = F.when(F.col("units_target").isNotNull(), price)
+    return (
+        assets.withColumn("units", amount(delta))
+        .filter(F.col("units") != 0)
+        .select(
+            "rebal_id",
+            "accnt_id",
+            "asset_id",
+            kind.cast("bigint").alias("trtyp_id"),
+            "exch_code",
+            "fund_id",
+            "curr_code",
+            "units",
+            price.alias("price"),
+            F.lit(as_of).cast("timestamp_ntz").alias("trade_time"),
+        )
+    )
+
+
 def _bought(adjusted: DataFrame) -> DataFrame:
     return adjusted.filter(F.col("units_adjusted") > 0)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ballast.functions.money import amount
 from ballast.functions.numbering import number_by_pair
-from ballast.functions.sizing import scratch_path
+from ballast.functions.sizing import scratch_path, staged
 from ballast.operators import (
     allocation,
     archive,
@@ -303,7 +303,9 @@ def withdrawal_ledger(src):
 
 
 def _asset_history(src: StarSource) -> DataFrame:
-    return number_by_pair(_rebalance(src).account_asset, "accnt_id", "asset_id", "history_id")
+    """Numbered per-asset rows, stored: the archive reads them more than once."""
+    rows = staged(_rebalance(src).account_asset, "account_asset")
+    return staged(number_by_pair(rows, "accnt_id", "asset_id", "history_id"), "history")
 
 
 @query
@@ -318,7 +320,7 @@ def archive_remaining(src):
 
 @query
 def archive_idempotent_append(src):
-    """The history of a sale-free half is stored already; all rows come again, twice."""
+    """Rows without a current holding are stored already; all rows come, twice."""
     rows = _asset_history(src)
     stored = rows.filter(F.col("units_current").isNull())
     return archive.append_ignore_dup(stored, rows.unionByName(rows), ["history_id"])
@@ -411,7 +413,7 @@ def fk_violations(src):
 @query
 def not_null_violations(src):
     """Trades of assets outside the model have no model price."""
-    rows = trades.make_trades(_rebalance(src).position, AS_OF, model_price_only=True)
+    rows = trades.make_trades(_rebalance(src).account_asset, AS_OF, model_price_only=True)
     return quality.null_violations(rows, ["rebal_id", "accnt_id", "asset_id"], ["units", "price"])
 
 

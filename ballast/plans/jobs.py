@@ -11,18 +11,36 @@ from ballast.operators import archive, cash, generate, prices, shaping, valuatio
 from ballast.operators.funds import OPEN_END
 from ballast.plans.cycle import close_rebalances
 from ballast.plans.rebalance import Portfolio, Rebalance
-from ballast.sources.state import Folders, read_table, read_tables, write_table, write_tables
-
-
-def _stage_below(out_dir: str):
-    """Shared intermediates are written below the job's own folder."""
-
-    def stage(df: DataFrame, label: str) -> DataFrame:
-        path = f"{out_dir}/_stage/{label}"
+from ballast.schemas import TABLES
+from ballast.sources.state import (
+    Folders,
+    moved,
+    read_table,
+    read_tables,
+    write_table,
+    write_tables,
+)
+
+
+class _Stage:
+    """Writes shared frames below a job's folder. A frame that is an output goes
+    to its final place at once and is not written again."""
+
+    def __init__(self, out_dir: str):
+        self.out_dir = out_dir
+        self.outputs: dict[str, str] = {}
+
+    def __call__(self, df: DataFrame, label: str) -> DataFrame:
+        if label in TABLES:
+            self.outputs[label] = write_table(df, f"{self.out_dir}/{label}", label)
+            return df.sparkSession.read.schema(TABLES[label]).parquet(self.outputs[label])
+        path = f"{self.out_dir}/_stage/{label}"
         df.write.parquet(path)
         return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    return stage
+    def write(self, tables: dict[str, DataFrame], folders: Folders) -> Folders:
+        rest = {name: df for name, df in tables.items() if name not in self.outputs}
+        return moved(write_tables(rest, self.out_dir, folders), self.outputs)
 
 
 def bootstrap(
@@ -98,7 +116,8 @@ def bootstrap(
 def run_rebalance(
     spark: SparkSession, folders: Folders, out_dir: str, as_of: str, **options
 ) -> Folders:
-    """Rebalance all due accounts; accounts this rebalance has done are skipped."""
+    """Rebalance all due accounts; accounts this rebalance has done are skipped.
+    Without a gate table every gate counts as open."""
     state = Portfolio(
         balance=read_table(spark, folders, "balance"),
         holding=read_table(spark, folders, "holding"),
@@ -106,11 +125,11 @@ def run_rebalance(
         queue=read_table(spark, folders, "transact_queue"),
         rebal_fund=read_table(spark, folders, "rebal_fund"),
         snapshot=read_table(spark, folders, "price_snapshot"),
-        gate=read_table(spark, folders, "gate"),
+        gate=read_table(spark, folders, "gate") if "gate" in folders else None,
         processed=read_table(spark, folders, "rebal_account"),
     )
-    run = Rebalance(state, as_of, stage=_stage_below(out_dir), **options)
-    return write_tables(run.tables(), out_dir, folders)
+    stage = _Stage(out_dir)
+    return stage.write(Rebalance(state, as_of, stage=stage, **options).tables(), folders)
 
 
 def run_close(spark: SparkSession, folders: Folders, out_dir: str, as_of: str) -> Folders:
@@ -145,7 +164,7 @@ def run_ticks(
         read_table(spark, folders, "listing_price"),
         ticks,
         gate_closed,
-        stage=_stage_below(out_dir),
+        stage=_Stage(out_dir),
         **limits,
     )
     return write_tables(

@@ -39,8 +39,8 @@ class Rebalance:
     ``strict``      set aside accounts that hold an asset outside their model
                     instead of selling it at the snapshot price
     ``funds_only``  restrict to these fund ids
-    ``stage``       may write an intermediate that several outputs share and
-                    return the stored copy
+    ``stage``       may write a frame that several outputs share and return the
+                    stored copy; the label of an output is its table name
     """
 
     # New state first, then rows to append.
@@ -88,7 +88,8 @@ class Rebalance:
     @cached_property
     def due(self) -> DataFrame:
         state = self.state
-        return funds.accounts_due(state.balance, self.headers, state.gate, state.processed)
+        running = sized_broadcast(funds.running_rebalances(self.headers, state.gate))
+        return funds.accounts_due(state.balance, running, state.processed)
 
     @cached_property
     def snapshot(self) -> DataFrame:
@@ -180,7 +181,7 @@ class Rebalance:
 
     @cached_property
     def trade(self) -> DataFrame:
-        return trades.make_trades(self.position, self.as_of)
+        return trades.make_trades(self.account_asset, self.as_of)
 
     @cached_property
     def holding_history(self) -> DataFrame:
@@ -192,7 +193,7 @@ class Rebalance:
 
     @cached_property
     def account_asset(self) -> DataFrame:
-        return trades.asset_audit(self.position)
+        return self.stage(trades.asset_audit(self.position), "account_asset")
 
     @cached_property
     def account_audit(self) -> DataFrame:

@@ -15,6 +15,10 @@ SETTINGS = {
     # stage's input is kept small.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    # Streaming state (transaction ids, prices) lives on disk beside the executors.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     # Timestamps carry no time zone; comparisons must not depend on one.
     "spark.sql.session.timeZone": "UTC",
 }

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +12,11 @@ from ballast.operators import cash, prices
 from ballast.schemas import TABLES
 
 
+# Input of one micro-batch, so that the ticks of even the busiest listing within
+# it fit a task.
+BATCH_BYTES = 256 * 1024 * 1024
+
+
 def file_stream(
     spark: SparkSession,
     folder: str,
@@ -21,62 +24,60 @@ def file_stream(
     pattern: str | None = None,
     files_per_batch: int | None = None,
 ) -> DataFrame:
-    """Parquet files arriving in a folder, as a stream."""
+    """Parquet files arriving in a folder, as a stream of bounded micro-batches."""
     reader = spark.readStream.schema(schema)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    else:
+        reader = reader.option("maxBytesPerTrigger", BATCH_BYTES)
     return reader.parquet(folder)
 
 
-def _earlier(
-    spark: SparkSession, folder: str, schema: T.StructType, batch_id: int
-) -> DataFrame:
-    """Rows of the batches before this one; a replayed batch must not see itself."""
-    if batch_id == 0:
-        return spark.createDataFrame([], schema)
-    stored = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
-    return spark.read.schema(stored).parquet(folder).filter(F.col("batch") < batch_id).drop("batch")
-
-
-def _stream_cash(
-    requests: DataFrame,
-    out_dir: str,
-    checkpoint: str,
-    table: str,
-    accept: Callable[[DataFrame, DataFrame], DataFrame],
-) -> DataFrame:
-    """Append the accepted rows of every micro-batch to ``<out>/<table>``.
-
-    A batch writes its own ``batch=<id>`` folder with overwrite, so a replay after
-    a failure replaces its own output and nothing else.
-    """
-    schema, folder = TABLES[table], f"{out_dir}/{table}"
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        stored = _earlier(batch.sparkSession, folder, schema, batch_id)
-        accept(stored, batch).write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
-
+def _append(rows: DataFrame, folder: str, checkpoint: str) -> None:
+    """Append what has arrived to a parquet folder, exactly once, then stop."""
     (
-        requests.writeStream.foreachBatch(handle)
+        rows.writeStream.format("parquet")
+        .outputMode("append")
+        .option("path", folder)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
         .awaitTermination()
     )
-    stored = requests.sparkSession.read.schema(schema).parquet(folder)
-    return stored.select(schema.fieldNames())
 
 
-def stream_deposits(requests: DataFrame, out_dir: str, checkpoint: str) -> DataFrame:
-    """Deposits into the queue, each ``tran_id`` once however late a copy comes."""
-    return _stream_cash(requests, out_dir, checkpoint, "transact_queue", cash.new_deposits)
+def _first_only(rows: DataFrame, stored: DataFrame | None) -> DataFrame:
+    """Each ``tran_id`` once, however late a copy comes.
+
+    The ids seen are streaming state without expiry, so a micro-batch costs its
+    own rows and nothing valid is ever dropped as late. ``stored`` holds ids from
+    before the stream began.
+    """
+    if stored is not None:
+        rows = rows.join(stored.select("tran_id"), "tran_id", "left_anti")
+    return rows.dropDuplicates(["tran_id"])
 
 
-def stream_withdrawals(requests: DataFrame, out_dir: str, checkpoint: str) -> DataFrame:
-    """Withdrawals into the ledger, each ``tran_id`` once."""
-    return _stream_cash(requests, out_dir, checkpoint, "transact", cash.new_withdrawals)
+def stream_deposits(
+    requests: DataFrame, out_dir: str, checkpoint: str, stored: DataFrame | None = None
+) -> DataFrame:
+    """Deposits into the queue."""
+    rows = _first_only(cash.as_deposits(requests), stored).select(cash.QUEUE)
+    folder = f"{out_dir}/transact_queue"
+    _append(rows, folder, checkpoint)
+    return requests.sparkSession.read.schema(TABLES["transact_queue"]).parquet(folder)
+
+
+def stream_withdrawals(
+    requests: DataFrame, out_dir: str, checkpoint: str, stored: DataFrame | None = None
+) -> DataFrame:
+    """Withdrawals into the ledger, attached to no rebalance."""
+    rows = _first_only(cash.as_withdrawals(requests), stored).select(cash.LEDGER)
+    folder = f"{out_dir}/transact"
+    _append(rows, folder, checkpoint)
+    return requests.sparkSession.read.schema(TABLES["transact"]).parquet(folder)
 
 
 def stream_prices(
@@ -108,15 +109,7 @@ def stream_prices(
     )
     changes = prices.as_changes(folded, "step")
     folder = f"{out_dir}/listing_price_history"
-    (
-        changes.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", folder)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
+    _append(changes, folder, checkpoint)
     log = spark.read.schema(changes.schema).parquet(folder)
     history = log.filter(F.col("price_post").isNotNull())
     return prices.latest_prices(listing_price, history, ("step",)), history.drop("step")
