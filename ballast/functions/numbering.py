@@ -75,3 +75,10 @@ def number_by_pair(
         .withColumn(out, (F.row_number().over(within) + F.col("_skip")).cast("bigint"))
         .drop("_cell", "_skip")
     )
+
+
+def continue_after(stored: DataFrame | None, id_col: str) -> Column:
+    """Highest id handed out so far, as a scalar subquery; 0 without any."""
+    if stored is None:
+        return F.lit(0).cast("bigint")
+    return stored.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("bigint")).scalar()

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ballast.functions.money import amount, or_zero
+from ballast.functions.numbering import continue_after, number_by_id
 
 # Fixed value: the end time of a rebalance that is still open.
 OPEN_END = "1900-01-01 00:00:00"
@@ -113,19 +114,20 @@ def roll_rebalances(rebal_fund: DataFrame, closing: DataFrame, as_of: str) -> Da
     return stamped.unionByName(opened)
 
 
-def fund_balance_history(balance: DataFrame, closing: DataFrame, as_of: str) -> DataFrame:
-    """Log row per closing rebalance with the fund's total."""
+def fund_balance_history(
+    balance: DataFrame, closing: DataFrame, as_of: str, earlier: DataFrame | None = None
+) -> DataFrame:
+    """Log row per closing rebalance with the fund's total; ids go on from the
+    earlier log in fund order."""
     closing = closing.select("fund_id", "rebal_id", "curr_code")
-    return (
-        fund_totals(balance)
-        .join(closing, "fund_id")
-        .select(
-            "fund_id",
-            "rebal_id",
-            "curr_code",
-            F.lit(as_of).cast("timestamp_ntz").alias("log_dt"),
-            "balance",
-        )
+    rows = number_by_id(fund_totals(balance).join(closing, "fund_id"), "fund_id", "number")
+    return rows.select(
+        (F.col("number") + continue_after(earlier, "id")).alias("id"),
+        "fund_id",
+        "rebal_id",
+        "curr_code",
+        F.lit(as_of).cast("timestamp_ntz").alias("log_dt"),
+        "balance",
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ballast.functions.money import amount
+from ballast.schemas import FOREIGN_KEYS, KEYS, TABLES
 
 
 def pk_violations(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -40,6 +41,27 @@ def weight_check(model_asset: DataFrame) -> DataFrame:
     )
 
 
+def declared_violations(tables: dict[str, DataFrame]) -> DataFrame:
+    """Every broken rule of the given stored tables: keys, NOT NULL columns and the
+    foreign keys between them, in the shape of :func:`reject`."""
+    found = []
+    for name, df in tables.items():
+        key = KEYS.get(name, [])
+        if key:
+            twice = pk_violations(df, key)
+            found.append(reject(twice, name, [F.col(c) for c in key], "key is not unique"))
+        required = [f.name for f in TABLES[name].fields if not f.nullable]
+        nulls = null_violations(df, key, required)
+        cols = [F.col(c) for c in [*key, "column_name"]]
+        found.append(reject(nulls, name, cols, "value is missing"))
+    for child, parent, shared in FOREIGN_KEYS:
+        if child in tables and parent in tables:
+            orphans = fk_violations(tables[child], tables[parent], shared)
+            cols = [F.col(c) for c in [*KEYS.get(child, []), *shared]]
+            found.append(reject(orphans, child, cols, f"no such {parent}"))
+    return reduce(DataFrame.unionByName, found)
+
+
 def reject(df: DataFrame, operator: str, key: Sequence[Column], reason: str) -> DataFrame:
     """Rows set aside, in the common shape ``operator, key, reason``."""
     return df.select(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ballast.functions.money import amount, or_zero, zero
+from ballast.functions.numbering import continue_after, number_by_id
 
 BUY, SELL = 1, 2
 
@@ -174,14 +175,28 @@ def replace_balances(balance: DataFrame, summary: DataFrame) -> DataFrame:
     )
 
 
-def balance_history(summary: DataFrame) -> DataFrame:
-    return summary.select(
+def balance_history(summary: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+    """Log row per rebalanced account; ids go on from the earlier log."""
+    rows = number_by_id(
+        summary.select(
+            "rebal_id",
+            "accnt_id",
+            "fund_id",
+            "curr_code",
+            F.col("rebalanced_invest_value").alias("inv_balance"),
+            F.col("rebalanced_cash_balance").alias("cash_balance"),
+        ),
+        "accnt_id",
+        "number",
+    )
+    return rows.select(
+        (F.col("number") + continue_after(earlier, "id")).alias("id"),
         "rebal_id",
         "accnt_id",
         "fund_id",
         "curr_code",
-        F.col("rebalanced_invest_value").alias("inv_balance"),
-        F.col("rebalanced_cash_balance").alias("cash_balance"),
+        "inv_balance",
+        "cash_balance",
     )
 
 

@@ -173,6 +173,16 @@ def holding_history(src):
     return _rebalance(src).holding_history
 
 
+@query
+def balances_replaced(src):
+    return _rebalance(src, gated=True).balance
+
+
+@query
+def balance_history(src):
+    return _rebalance(src).balance_history
+
+
 @query
 def account_asset_audit(src):
     return _rebalance(src).account_asset

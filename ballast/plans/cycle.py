@@ -28,9 +28,11 @@ def close_rebalances(
     processed: DataFrame,
     listing_price: DataFrame,
     as_of: str,
+    earlier: DataFrame | None = None,
 ) -> CloseResult:
     """Close every open rebalance without remaining accounts: log the fund total,
-    count the close, stamp the header, open the successor and freeze its prices."""
+    count the close, stamp the header, open the successor and freeze its prices.
+    ``earlier`` is the fund log so far."""
     progress = funds.rebalance_progress(account, rebal_fund, processed)
     closing = funds.finished(progress, rebal_fund)
     rolled = funds.roll_rebalances(rebal_fund, closing, as_of)
@@ -40,6 +42,6 @@ def close_rebalances(
     return CloseResult(
         rebal_fund=rolled,
         fund_balance=funds.count_closes(fund_balance, closing),
-        fund_balance_history=funds.fund_balance_history(balance, closing, as_of),
+        fund_balance_history=funds.fund_balance_history(balance, closing, as_of, earlier),
         price_snapshot=valuation.price_snapshot(listing_price, opened),
     )

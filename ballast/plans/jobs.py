@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ballast.functions.money import zero
-from ballast.functions.numbering import number_by_pair
+from ballast.functions.numbering import continue_after, number_by_pair
 from ballast.operators import archive, cash, generate, prices, shaping, valuation
 from ballast.operators.funds import OPEN_END
 from ballast.plans.cycle import close_rebalances
@@ -127,6 +127,7 @@ def run_rebalance(
         snapshot=read_table(spark, folders, "price_snapshot"),
         gate=read_table(spark, folders, "gate") if "gate" in folders else None,
         processed=read_table(spark, folders, "rebal_account"),
+        balance_history=read_table(spark, folders, "balance_history"),
     )
     stage = _Stage(out_dir)
     return stage.write(Rebalance(state, as_of, stage=stage, **options).tables(), folders)
@@ -147,6 +148,7 @@ def run_close(spark: SparkSession, folders: Folders, out_dir: str, as_of: str) -
         tables["rebal_account"],
         tables["listing_price"],
         as_of,
+        read_table(spark, folders, "fund_balance_history"),
     )
     return write_tables(closed.tables(), out_dir, folders)
 
@@ -222,7 +224,7 @@ def log_assets(spark: SparkSession, folders: Folders, source: str, out_dir: str)
     history = read_table(spark, folders, "account_asset_history")
     archived = read_table(spark, folders, "account_asset_archive")
     ids = history.select("history_id").unionByName(archived.select("history_id"))
-    top = ids.agg(F.coalesce(F.max("history_id"), F.lit(0))).scalar()
+    top = continue_after(ids, "history_id")
     rows = read_table(spark, {"account_asset": [source]}, "account_asset")
     numbered = number_by_pair(rows, "accnt_id", "asset_id", "history_id")
     added = numbered.withColumn("history_id", F.col("history_id") + top)

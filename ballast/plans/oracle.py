@@ -307,6 +307,16 @@ ORACLES: dict[str, str] = {
         f"""SELECT accnt_id, rebal_id, asset_id, fund_id, exch_code, curr_code,
         {money('adj * 1000000')} AS units FROM trimmed WHERE adj > 0"""
     ),
+    "balances_replaced": over_result(
+        f"""SELECT accnt_id, inv_id, curr_code, fund_id, model_id,
+        CASE WHEN curr_code <> 'C4' THEN {money('inv')} ELSE a.inv_balance END AS inv_balance,
+        CASE WHEN curr_code <> 'C4' THEN {money('cash')} ELSE a.cash_balance END AS cash_balance
+        FROM account a JOIN (SELECT accnt_id, inv, cash FROM summary) s USING (accnt_id)"""
+    ),
+    "balance_history": over_result(
+        f"""SELECT row_number() OVER (ORDER BY accnt_id) AS id, rebal_id, accnt_id, fund_id, curr_code,
+        {money('inv')} AS inv_balance, {money('cash')} AS cash_balance FROM summary"""
+    ),
     "account_asset_audit": over_result("SELECT * FROM audit"),
     "account_audit": over_result(
         f"""SELECT rebal_id, fund_id, curr_code, accnt_id, TIMESTAMP '{AS_OF}' AS start_dt,
@@ -352,7 +362,7 @@ ORACLES: dict[str, str] = {
         FROM fund"""
     ),
     "fund_balance_history": over_result(
-        f"""SELECT fund_id, rebal_id, curr_code, TIMESTAMP '{AS_OF}' AS log_dt, {money('sum(inv + cash)')} AS balance
+        f"""SELECT row_number() OVER (ORDER BY fund_id) AS id, fund_id, rebal_id, curr_code, TIMESTAMP '{AS_OF}' AS log_dt, {money('sum(inv + cash)')} AS balance
         FROM summary WHERE curr_code <> 'C4' GROUP BY fund_id, rebal_id, curr_code"""
     ),
     "next_price_snapshot": over_views(

@@ -27,6 +27,7 @@ class Portfolio:
     snapshot: DataFrame | None = None
     gate: DataFrame | None = None
     processed: DataFrame | None = None
+    balance_history: DataFrame | None = None
 
 
 class Rebalance:
@@ -189,7 +190,7 @@ class Rebalance:
 
     @cached_property
     def balance_history(self) -> DataFrame:
-        return trades.balance_history(self.summary)
+        return trades.balance_history(self.summary, self.state.balance_history)
 
     @cached_property
     def account_asset(self) -> DataFrame:

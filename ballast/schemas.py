@@ -104,11 +104,11 @@ TABLES: dict[str, T.StructType] = {
         "curr_code string, units amount"
     ),
     "balance_history": _table(
-        "rebal_id string, accnt_id long, fund_id long, curr_code string, inv_balance amount,"
+        "id long, rebal_id string, accnt_id long, fund_id long, curr_code string, inv_balance amount,"
         "cash_balance amount"
     ),
     "fund_balance_history": _table(
-        "fund_id long, rebal_id string, curr_code string, log_dt time, balance amount"
+        "id long, fund_id long, rebal_id string, curr_code string, log_dt time, balance amount"
     ),
     "account_asset": _table(_AUDIT_ASSET),
     "account_asset_history": _table("history_id long," + _AUDIT_ASSET),

@@ -4,6 +4,7 @@ from datetime import datetime
 
 import pytest
 from conftest import AS_OF, OPEN, THEN, dec, rows_of
+from pyspark.sql import functions as F
 
 from ballast.operators import archive, cash, funds, quality
 
@@ -62,6 +63,20 @@ def test_key_and_null_checks(spark):
     assert rows_of(quality.null_violations(df, ["k"], ["k", "code"])) == [(1, "code")]
 
 
+def test_declared_rules_over_tables(spark, table):
+    account = table("account", [(1, 1, "GBP", 1, 1), (1, 2, "USD", 1, 1)])
+    loose = account.select(
+        "accnt_id", F.when(F.col("inv_id") == 1, 1).alias("inv_id"), "curr_code", "fund_id", "model_id"
+    )
+    fund = table("fund", [(1, "A", "GBP")])
+    found = quality.declared_violations({"account": loose, "fund": fund})
+    assert rows_of(found) == [
+        ("account", "1", "key is not unique"),
+        ("account", "1/1/USD", "no such fund"),
+        ("account", "1/inv_id", "value is missing"),
+    ]
+
+
 def test_weight_check(table):
     rows = [(1, 1, "X", "C", dec(0.4)), (1, 2, "X", "C", dec(0.6)), (2, 1, "X", "C", dec(0.9))]
     assert rows_of(quality.weight_check(table("model_asset", rows))) == [(2, dec(0.9))]
