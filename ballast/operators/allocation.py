@@ -176,8 +176,9 @@ def _with_running_sums_chunked(rows: DataFrame, totals: dict[str, Column]) -> Da
 def trim_to_budget(rounded: DataFrame, trigger: str = "unrounded") -> DataFrame:
     """Units the account can afford, plus its rounded plan value.
 
-    Adds ``units_adjusted`` and ``units_taken`` per row, and per account what the
-    plan costs (``planned_value``, ``rounded_cost``) and whether it ``trims``.
+    Adds ``units_adjusted`` and, where the trim looked, ``units_taken`` per row;
+    and per account what the plan costs (``planned_value``, ``rounded_cost``) and
+    whether it ``trims``.
 
     * The trim runs where the planned value exceeds the target.
     * It always takes at least one unit, and goes on while the plan is too dear.
@@ -204,32 +205,30 @@ def trim_to_budget(rounded: DataFrame, trigger: str = "unrounded") -> DataFrame:
 
     target = F.col("target_invest_value")
     price, units, cost = F.col("price"), F.col("units_rounded"), F.col("_cost")
-    excess = F.col("rounded_cost") - target
     first = F.col("_rows_before") == 0
+    excess = F.col("rounded_cost") - target
     left = excess - or_zero(F.col("_before"))
-    one_is_enough = excess <= F.col("_first_price")
     # Whole units that cover what is left, never more than the row has. Both
     # sides are millionths, so the ceiling is exact.
     needed = F.expr("(_left + _price_micros - 1) div _price_micros").cast("decimal(20,0)")
     taken = (
-        F.when(cost.isNull() | ~F.col("trims"), F.lit(0))
-        .when(F.col("_one_is_enough"), F.when(first, F.lit(1)).otherwise(F.lit(0)))
+        F.when(F.col("_one_is_enough"), F.when(first, F.lit(1)).otherwise(F.lit(0)))
         .when(~first & (F.col("_left") <= 0), F.lit(0))
         .when((price < 0) | (F.col("_left") >= micros(cost)), units)
         .otherwise(needed)
     )
+    touched = F.col("trims") & cost.isNotNull()
     return (
         summed.withColumn("planned_value", or_zero(amount_or_null(F.col("planned_cost"))))
         .withColumn("trims", (F.col("planned_value") > target) & F.col("rounded_cost").isNotNull())
-        .withColumn("_one_is_enough", one_is_enough)
-        .withColumn("_left", F.when(F.col("trims"), micros(left)))
-        .withColumn("_price_micros", F.when(F.col("trims"), micros(price)))
-        .withColumn("units_taken", amount(taken))
+        .withColumn("_one_is_enough", F.col("trims") & (excess <= F.col("_first_price")))
+        .withColumn("_left", F.when(touched, micros(left)))
+        .withColumn("_price_micros", F.when(touched, micros(price)))
+        .withColumn("units_taken", F.when(touched, amount(taken)))
         .withColumn(
             "units_adjusted",
-            F.when(F.col("units_taken") == units, units).otherwise(
-                amount(units - F.col("units_taken"))
-            ),
+            F.when(touched & (F.col("units_taken") < units), amount(units - F.col("units_taken")))
+            .otherwise(units),
         )
         .drop(*_HELPERS)
     )

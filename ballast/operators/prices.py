@@ -17,7 +17,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from fractions import Fraction
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from ballast.functions.money import AMOUNT, INTEGER, amount, micros
@@ -25,8 +25,9 @@ from ballast.functions.sizing import cut_lineage
 from ballast.functions.tickfold import LISTING, fold, fold_piece, piece_ends
 from ballast.operators.quality import reject
 
-HOT_TICKS = 20_000_000
-PIECE_TICKS = 5_000_000
+# Above the first, a listing is cut into pieces of about the second.
+HOT_TICKS = 5_000_000
+PIECE_TICKS = 2_000_000
 
 
 @dataclass
@@ -87,6 +88,25 @@ def _fold_by_listing(priced: DataFrame) -> DataFrame:
     )
 
 
+def _revised_openings(pieces: list[Row]) -> dict[int, int]:
+    """New opening prices of the pieces that did not open where the piece before
+    them closed. Where that one is itself to be folded again, its closing price is
+    expected to scale with its opening price."""
+    revised: dict[int, int] = {}
+    previous, expected = None, None
+    for piece in pieces:
+        used = opening = int(piece.opening)
+        if previous is not None and piece.first == previous.last:
+            opening = expected
+        if opening != used:
+            revised[piece.piece] = opening
+        closing = int(piece.closing)
+        if opening != used and piece.first == piece.last and used != 0:
+            closing = round(Fraction(closing * opening, used))
+        previous, expected = piece, closing
+    return revised
+
+
 def _fold_in_pieces(priced: DataFrame, pieces: int) -> DataFrame:
     """Ticks of a listing over several tasks; see the module text."""
     order = [*LISTING, "ts", "event_id"]
@@ -94,29 +114,17 @@ def _fold_in_pieces(priced: DataFrame, pieces: int) -> DataFrame:
     ranged = cut_lineage(ranged.withColumn("piece", F.spark_partition_id()))
 
     opened: dict[int, int] = {}
+    ends: dict[int, Row] = {}
+    todo = ranged
     while True:
         # One row per piece, so this is as small as the number of partitions.
-        rows = sorted(ranged.mapInArrow(piece_ends(opened), _PIECES).collect())
-        settled = True
-        revised: dict[int, int] = {}
-        previous, estimate = None, None
-        for row in rows:
-            used = start = int(row.opening)
-            if previous is not None and row.first == previous.last:
-                start = estimate
-                revised[row.piece] = start
-                settled = settled and start == used
-            # A piece that will be opened differently is expected to scale.
-            spans = row.first == row.last
-            if spans and start != used and used != 0:
-                estimate = round(Fraction(int(row.closing) * start, used))
-            else:
-                estimate = int(row.closing)
-            previous = row
-        if settled:
+        for row in todo.mapInArrow(piece_ends(opened), _PIECES).collect():
+            ends[row.piece] = row
+        revised = _revised_openings([ends[piece] for piece in sorted(ends)])
+        if not revised:
             break
-        opened = revised
-
+        opened.update(revised)
+        todo = ranged.filter(F.col("piece").isin(list(revised)))
     return ranged.mapInArrow(fold_piece(opened), FOLDED)
 
 

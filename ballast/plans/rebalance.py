@@ -39,7 +39,7 @@ class Rebalance:
     ``trigger``     what the trim compares with the target, see ``trim_to_budget``
     ``strict``      set aside accounts that hold an asset outside their model
                     instead of selling it at the snapshot price
-    ``funds_only``  restrict to these fund ids
+    ``funds_only``, ``accounts_only``  restrict to these ids
     ``stage``       may write a frame that several outputs share and return the
                     stored copy; the label of an output is its table name
     """
@@ -66,6 +66,7 @@ class Rebalance:
         trigger: str = "unrounded",
         strict: bool = False,
         funds_only: list[int] | None = None,
+        accounts_only: list[int] | None = None,
         stage: Callable[[DataFrame, str], DataFrame] | None = None,
         window_rows: int = allocation.WINDOW_ROWS,
     ):
@@ -80,6 +81,9 @@ class Rebalance:
         if funds_only is not None:
             headers = headers.filter(F.col("fund_id").isin(funds_only))
         self.headers = headers
+        self.balances = state.balance
+        if accounts_only is not None:
+            self.balances = self.balances.filter(F.col("accnt_id").isin(accounts_only))
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in self.OUTPUTS}
@@ -90,7 +94,7 @@ class Rebalance:
     def due(self) -> DataFrame:
         state = self.state
         running = sized_broadcast(funds.running_rebalances(self.headers, state.gate))
-        return funds.accounts_due(state.balance, running, state.processed)
+        return funds.accounts_due(self.balances, running, state.processed)
 
     @cached_property
     def snapshot(self) -> DataFrame:

@@ -160,6 +160,17 @@ def test_selected_funds_only(world):
     assert Rebalance(state, AS_OF, funds_only=[1]).rebal_account.count() == 1
 
 
+def test_one_account_leaves_the_others_alone(world):
+    state = world(cash=[(1, 10, 1000), (2, 10, 1000)], queue=[("a", 2, 1, 5)])
+    run = Rebalance(state, AS_OF, accounts_only=[1])
+    assert rows_of(run.rebal_account, "accnt_id") == [(1,)]
+    assert rows_of(run.balance, "accnt_id", "inv_balance", "cash_balance") == [
+        (1, dec(1000), dec(0)),
+        (2, dec(0), dec(1000)),
+    ]
+    assert run.transact_queue.count() == 1
+
+
 def test_amount_out_of_range_is_rejected(world):
     big = "99999999999999"
     run = Rebalance(world(cash=[(1, 10, big), (2, 10, 10)], queue=[("a", 1, 1, big)]), AS_OF)

@@ -85,7 +85,7 @@ MODEL = (
 @pytest.mark.parametrize("trigger", ["unrounded", "rounded"])
 @pytest.mark.parametrize("window_rows", [100, 2])
 def test_trim_equals_loop(spark, trigger, window_rows):
-    accounts = random_accounts(400, seed=7)
+    accounts = random_accounts(400 if window_rows == 100 else 40, seed=7)
     # Each account is its own model and rebalance, so prices differ freely.
     target = spark.createDataFrame(
         [(i, 1, i, f"R{i}", "C", dec(t) / MICRO) for i, t, _ in accounts], TARGET
