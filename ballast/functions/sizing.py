@@ -12,10 +12,15 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 200_000
 
 
+def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """Counts the rows; for reference tables a small job over narrow columns."""
+    return df.count() <= max_rows
+
+
 def sized_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only if the counted rows fit; otherwise leave the join
     to Catalyst and AQE, which shuffle both sides and split skewed partitions."""
-    return F.broadcast(df) if df.count() <= max_rows else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -22,11 +22,16 @@ def open_rebalances(rebal_fund: DataFrame) -> DataFrame:
 
 
 def running_rebalances(rebal_fund: DataFrame, gate: DataFrame | None = None) -> DataFrame:
-    """Open rebalances whose currency gate is open: ``rebal_id, fund_id``."""
+    """Open rebalances whose currency gate is open: ``rebal_id, fund_id``.
+
+    Closed currencies are taken off with a flag per currency, so that a size hint
+    on the rebalances still reaches the join above.
+    """
     running = open_rebalances(rebal_fund)
     if gate is not None:
-        opened = gate.filter(F.col("gate_status") == 1).select("curr_code")
-        running = running.join(opened, "curr_code", "left_semi")
+        # Currency codes have three letters, so this list is short by nature.
+        opened = gate.filter(F.col("gate_status") == 1).agg(F.collect_set("curr_code")).scalar()
+        running = running.filter(F.array_contains(opened, F.col("curr_code")))
     return running.select("rebal_id", "fund_id")
 
 

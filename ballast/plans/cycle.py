@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from ballast.functions.sizing import sized_broadcast
 from ballast.operators import funds, valuation
 
 
@@ -43,5 +44,5 @@ def close_rebalances(
         rebal_fund=rolled,
         fund_balance=funds.count_closes(fund_balance, closing),
         fund_balance_history=funds.fund_balance_history(balance, closing, as_of, earlier),
-        price_snapshot=valuation.price_snapshot(listing_price, opened),
+        price_snapshot=valuation.price_snapshot(listing_price, sized_broadcast(opened)),
     )

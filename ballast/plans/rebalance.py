@@ -90,17 +90,29 @@ class Rebalance:
 
     # shared steps
 
+    @cached_property
+    def open_headers(self) -> DataFrame:
+        """Open rebalances, at most one per fund."""
+        return sized_broadcast(funds.open_rebalances(self.headers))
+
     @cached_property
     def due(self) -> DataFrame:
         state = self.state
-        running = sized_broadcast(funds.running_rebalances(self.headers, state.gate))
-        return funds.accounts_due(self.balances, running, state.processed)
+        running = funds.running_rebalances(self.open_headers, state.gate)
+        processed = state.processed
+        if processed is not None:
+            # Of the whole history only the open rebalances matter.
+            processed = processed.join(self.open_headers, "rebal_id", "left_semi")
+        return funds.accounts_due(self.balances, running, processed)
 
     @cached_property
     def snapshot(self) -> DataFrame:
+        """Frozen prices of the open rebalances."""
         frozen = self.state.snapshot
         if frozen is None:
-            frozen = valuation.price_snapshot(self.state.listing_price, self.headers)
+            frozen = valuation.price_snapshot(self.state.listing_price, self.open_headers)
+        else:
+            frozen = frozen.join(self.open_headers, "rebal_id", "left_semi")
         return sized_broadcast(frozen)
 
     @cached_property

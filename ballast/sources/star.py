@@ -8,6 +8,8 @@ an explicit schema, so filters and column choices reach the Parquet reader.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,9 +86,13 @@ class StarSource:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.schema(FILES[name]).parquet(f"{self.path}/{name}.parquet")
+        if name not in self._raw:
+            scan = self.spark.read.schema(FILES[name]).parquet(f"{self.path}/{name}.parquet")
+            self._raw[name] = scan
+        return self._raw[name]
 
     # reference data
 
@@ -172,6 +178,7 @@ class StarSource:
 
     # accounts
 
+    @cached_property
     def _customers(self) -> DataFrame:
         """Customers with fund, currency and one of their currency's models."""
         blocks = self.raw("part").agg(F.expr(f"max(p_partkey) div {MODEL_SPAN} + 1")).scalar()
@@ -192,10 +199,10 @@ class StarSource:
         )
 
     def account(self) -> DataFrame:
-        return self._customers().drop("inv_balance", "cash_balance")
+        return self._customers.drop("inv_balance", "cash_balance")
 
     def balance(self) -> DataFrame:
-        return self._customers()
+        return self._customers
 
     def holding(self) -> DataFrame:
         """Units per account and asset, where the asset trades in the account's
