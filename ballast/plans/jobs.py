@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,8 +40,8 @@ class _Stage:
         df.write.parquet(path)
         return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    def write(self, tables: dict[str, DataFrame], folders: Folders) -> Folders:
-        rest = {name: df for name, df in tables.items() if name not in self.outputs}
+    def write(self, tables: Iterable[tuple[str, DataFrame]], folders: Folders) -> Folders:
+        rest = ((name, df) for name, df in tables if name not in self.outputs)
         return moved(write_tables(rest, self.out_dir, folders), self.outputs)
 
 
@@ -130,7 +132,7 @@ def run_rebalance(
         balance_history=read_table(spark, folders, "balance_history"),
     )
     stage = _Stage(out_dir)
-    return stage.write(Rebalance(state, as_of, stage=stage, **options).tables(), folders)
+    return stage.write(Rebalance(state, as_of, stage=stage, **options).outputs(), folders)
 
 
 def run_close(spark: SparkSession, folders: Folders, out_dir: str, as_of: str) -> Folders:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -44,19 +44,19 @@ class Rebalance:
                     stored copy; the label of an output is its table name
     """
 
-    # New state first, then rows to append.
+    # In the order in which their inputs become ready.
     OUTPUTS = (
-        "holding",
-        "balance",
+        "rebal_account",
+        "transact",
         "transact_queue",
-        "trade",
+        "rejects",
         "holding_history",
-        "balance_history",
+        "holding",
         "account_asset",
+        "trade",
         "account_audit",
-        "rebal_account",
-        "transact",
-        "rejects",
+        "balance",
+        "balance_history",
     )
 
     def __init__(
@@ -85,8 +85,11 @@ class Rebalance:
         if accounts_only is not None:
             self.balances = self.balances.filter(F.col("accnt_id").isin(accounts_only))
 
-    def tables(self) -> dict[str, DataFrame]:
-        return {name: getattr(self, name) for name in self.OUTPUTS}
+    def outputs(self) -> Iterator[tuple[str, DataFrame]]:
+        """New state (``holding``, ``balance``, ``transact_queue``) and rows to append
+        (the rest), each planned as it is reached."""
+        for name in self.OUTPUTS:
+            yield name, getattr(self, name)
 
     # shared steps
 

@@ -54,14 +54,19 @@ def write_table(df: DataFrame, path: str, name: str) -> str:
 
 
 def write_tables(
-    tables: dict[str, DataFrame], out_dir: str, folders: Folders | None = None
+    tables: dict[str, DataFrame] | Iterable[tuple[str, DataFrame]],
+    out_dir: str,
+    folders: Folders | None = None,
 ) -> Folders:
     """Write every table below ``out_dir`` and return where all tables are now.
-    A few writes run side by side, so the tail of one does not idle the cluster."""
+
+    A few writes run side by side, so the tail of one does not idle the cluster;
+    tables given one by one are written while the next are still being planned.
+    """
+    items = tables.items() if isinstance(tables, dict) else tables
     with ThreadPoolExecutor(WRITERS) as pool:
         written = {
-            name: pool.submit(write_table, df, f"{out_dir}/{name}", name)
-            for name, df in tables.items()
+            name: pool.submit(write_table, df, f"{out_dir}/{name}", name) for name, df in items
         }
     return moved(folders or {}, {name: job.result() for name, job in written.items()})
 
