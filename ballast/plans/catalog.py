@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,8 +40,12 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def _rebalance(src: StarSource, gated: bool = False, trigger: str = "unrounded") -> Rebalance:
-    """A rebalance of all accounts, or of those whose currency gate is open."""
+def _rebalance(
+    src: StarSource, gated: bool = False, trigger: str = "unrounded", store: Sequence[str] = ()
+) -> Rebalance:
+    """A rebalance of all accounts, or of those whose currency gate is open.
+    ``store`` names the frames that the query reads twice: priced holdings, whose
+    joins are the dearest part, or judged targets. The others stay lazy."""
     state = Portfolio(
         balance=src.balance(),
         holding=src.holding(),
@@ -51,7 +55,15 @@ def _rebalance(src: StarSource, gated: bool = False, trigger: str = "unrounded")
         listing_price=src.listing_price(),
         gate=src.gate() if gated else None,
     )
-    return Rebalance(state, AS_OF, trigger)
+
+    def stage(df: DataFrame, label: str) -> DataFrame:
+        return staged(df, label) if label in store else df
+
+    return Rebalance(state, AS_OF, trigger, stage=stage if store else None)
+
+
+HELD = ("current", "judged")
+JUDGED = ("judged",)
 
 
 # valuation
@@ -142,7 +154,7 @@ def cheapest_asset(src):
 
 @query
 def rebalanced_balances(src):
-    return _rebalance(src).account_audit.select(
+    return _rebalance(src, store=JUDGED).account_audit.select(
         "rebal_id",
         "accnt_id",
         "target_invest_value",
@@ -157,7 +169,7 @@ def rebalanced_balances(src):
 
 @query
 def trade(src):
-    return _rebalance(src).trade
+    return _rebalance(src, store=HELD).trade
 
 
 _QUERIES["trades"] = _QUERIES.pop("trade")
@@ -165,7 +177,7 @@ _QUERIES["trades"] = _QUERIES.pop("trade")
 
 @query
 def holdings_replaced(src):
-    return _rebalance(src, gated=True).holding
+    return _rebalance(src, gated=True, store=JUDGED).holding
 
 
 @query
@@ -175,22 +187,22 @@ def holding_history(src):
 
 @query
 def balances_replaced(src):
-    return _rebalance(src, gated=True).balance
+    return _rebalance(src, gated=True, store=JUDGED).balance
 
 
 @query
 def balance_history(src):
-    return _rebalance(src).balance_history
+    return _rebalance(src, store=JUDGED).balance_history
 
 
 @query
 def account_asset_audit(src):
-    return _rebalance(src).account_asset
+    return _rebalance(src, store=HELD).account_asset
 
 
 @query
 def account_audit(src):
-    return _rebalance(src).account_audit
+    return _rebalance(src, store=JUDGED).account_audit
 
 
 @query
@@ -253,7 +265,7 @@ def fund_rebalance_counter(src):
 
 @query
 def fund_balance_history(src):
-    balance = _rebalance(src, gated=True).balance
+    balance = _rebalance(src, gated=True, store=JUDGED).balance
     return _closed(src, balance).fund_balance_history
 
 
@@ -314,7 +326,7 @@ def withdrawal_ledger(src):
 
 def _asset_history(src: StarSource) -> DataFrame:
     """Numbered per-asset rows, stored: the archive reads them more than once."""
-    rows = staged(_rebalance(src).account_asset, "account_asset")
+    rows = staged(_rebalance(src, store=HELD).account_asset, "account_asset")
     return staged(number_by_pair(rows, "accnt_id", "asset_id", "history_id"), "history")
 
 
@@ -423,7 +435,7 @@ def fk_violations(src):
 @query
 def not_null_violations(src):
     """Trades of assets outside the model have no model price."""
-    rows = trades.make_trades(_rebalance(src).account_asset, AS_OF, model_price_only=True)
+    rows = trades.make_trades(_rebalance(src, store=HELD).account_asset, AS_OF, model_price_only=True)
     return quality.null_violations(rows, ["rebal_id", "accnt_id", "asset_id"], ["units", "price"])
 
 
@@ -437,7 +449,7 @@ def model_weight_check(src):
 @query
 def rejects(src):
     ticks = prices.apply_ticks(src.listing_price(), src.ticks(), src.gate_closed()).rejects
-    return _rebalance(src).rejects.unionByName(ticks)
+    return _rebalance(src, store=JUDGED).rejects.unionByName(ticks)
 
 
 # streaming
