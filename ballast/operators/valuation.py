@@ -34,14 +34,16 @@ def queued_cash(queue: DataFrame) -> DataFrame:
     )
 
 
-def price_holdings(holding: DataFrame, due: DataFrame, snapshot: DataFrame) -> DataFrame:
-    """Holdings of the due accounts at the snapshot price. A holding without a
-    price drops out; :func:`unpriced_holdings` reports those."""
+def match_holdings(holding: DataFrame, due: DataFrame, snapshot: DataFrame) -> DataFrame:
+    """Holdings of the due accounts with the snapshot price, NULL where there is
+    none. One pass gives both the priced and the unpriced ones."""
     owners = due.select("accnt_id", "rebal_id", "fund_id", "model_id")
     return (
         holding.drop("fund_id")
         .join(owners, "accnt_id")
-        .join(snapshot.drop("fund_id"), ["rebal_id", "asset_id", "exch_code", "curr_code"])
+        .join(
+            snapshot.drop("fund_id"), ["rebal_id", "asset_id", "exch_code", "curr_code"], "left"
+        )
         .select(
             "rebal_id",
             "accnt_id",
@@ -56,14 +58,14 @@ def price_holdings(holding: DataFrame, due: DataFrame, snapshot: DataFrame) -> D
     )
 
 
-def unpriced_holdings(holding: DataFrame, due: DataFrame, snapshot: DataFrame) -> DataFrame:
-    """Holdings of due accounts that have no snapshot price."""
-    owners = due.select("accnt_id", "rebal_id")
-    return holding.join(owners, "accnt_id").join(
-        snapshot.drop("fund_id", "price"),
-        ["rebal_id", "asset_id", "exch_code", "curr_code"],
-        "left_anti",
-    )
+def price_holdings(matched: DataFrame) -> DataFrame:
+    """Holdings that have a price; the others drop out of the valuation."""
+    return matched.filter(F.col("price").isNotNull())
+
+
+def unpriced_holdings(matched: DataFrame) -> DataFrame:
+    """Holdings that dropped out."""
+    return matched.filter(F.col("price").isNull())
 
 
 def value_holdings(current: DataFrame) -> DataFrame:

@@ -62,7 +62,7 @@ def _rebalance(
     return Rebalance(state, AS_OF, trigger, stage=stage if store else None)
 
 
-HELD = ("current", "judged")
+HELD = ("matched", "judged")
 JUDGED = ("judged",)
 
 
@@ -449,7 +449,7 @@ def model_weight_check(src):
 @query
 def rejects(src):
     ticks = prices.apply_ticks(src.listing_price(), src.ticks(), src.gate_closed()).rejects
-    return _rebalance(src, store=JUDGED).rejects.unionByName(ticks)
+    return _rebalance(src, store=HELD).rejects.unionByName(ticks)
 
 
 # streaming

@@ -118,10 +118,14 @@ class Rebalance:
             frozen = frozen.join(self.open_headers, "rebal_id", "left_semi")
         return sized_broadcast(frozen)
 
+    @cached_property
+    def matched(self) -> DataFrame:
+        matched = valuation.match_holdings(self.state.holding, self.due, self.snapshot)
+        return self.stage(matched, "matched")
+
     @cached_property
     def current(self) -> DataFrame:
-        priced = valuation.price_holdings(self.state.holding, self.due, self.snapshot)
-        return self.stage(priced, "current")
+        return valuation.price_holdings(self.matched)
 
     @cached_property
     def priced_models(self) -> tuple[DataFrame, DataFrame]:
@@ -238,7 +242,7 @@ class Rebalance:
             "zero price or figure out of range",
         ).unionByName(
             quality.reject(
-                valuation.unpriced_holdings(self.state.holding, self.due, self.snapshot),
+                valuation.unpriced_holdings(self.matched),
                 "price_holdings",
                 [F.col("accnt_id"), F.col("asset_id")],
                 "warning: no snapshot price",
