@@ -22,24 +22,24 @@ def _secrets() -> str:
         parts.append(
             f"""
     SELECT doc_id, {place} AS place, '{rule.kind}' AS kind, {rule.kind in base} AS base,
-      unnest(list_filter(list_transform(range(1, len(hits) + 1), i -> {{
-        'start': list_sum(list_transform(gaps[:i], g -> length(g)))
-          + coalesce(list_sum(list_transform(hits[:i - 1], h -> length(h))), 0),
-        'size': length(hits[i]), 'value': length(vals[i])}}), x -> x.value >= {rule.least})) AS s
+      unnest(list_filter(list_transform(range(1, len(hits) + 1), lambda i: {{
+        'start': list_sum(list_transform(gaps[:i], lambda g: length(g)))
+          + coalesce(list_sum(list_transform(hits[:i - 1], lambda h: length(h))), 0),
+        'size': length(hits[i]), 'value': length(vals[i])}}), lambda x: x.value >= {rule.least})) AS s
     FROM (SELECT doc_id, regexp_extract_all(t, {p}, 0) AS hits,
       regexp_extract_all(t, {p}, {rule.group}) AS vals, string_split_regex(t, {p}) AS gaps FROM d)"""
         )
     return f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 found AS ({" UNION ALL ".join(parts)}),
-told AS (SELECT doc_id, kind, base, s.start AS at, place,
+told AS (SELECT doc_id, kind, base, s.start AS pos, place,
     kind || ':' || s.start::BIGINT || ':' || (s.start + s.size)::BIGINT AS span FROM found)
 SELECT d.doc_id,
   count(*) FILTER (kind = 'assign') AS n_assign,
   count(*) FILTER (kind = 'access') AS n_access,
   count(*) FILTER (kind = 'hex') AS n_hex,
-  sha256(coalesce(string_agg(span, ',' ORDER BY at, place) FILTER (base), '')) AS base_sha256,
-  coalesce(string_agg(span, ',' ORDER BY at, place), '') AS spans
+  sha256(coalesce(string_agg(span, ',' ORDER BY pos, place) FILTER (base), '')) AS base_sha256,
+  coalesce(string_agg(span, ',' ORDER BY pos, place), '') AS spans
 FROM d LEFT JOIN told ON d.doc_id = told.doc_id GROUP BY d.doc_id"""
 
 
@@ -87,10 +87,10 @@ seeds AS MATERIALIZED (SELECT host, avg(CASE WHEN own = 'allow' THEN 1.0::DOUBLE
 links AS (SELECT src, {host.format("link")} AS dst FROM (SELECT host AS src, page_id,
   unnest(regexp_extract_all(coalesce(html, ''), {_quoted(host_trust.LINK)}, 1)) AS link FROM p)
   GROUP BY page_id, src, dst),
-chains AS (SELECT list_transform(range(1, greatest(len(l), 2)), i -> array_to_string(l[i:], '.')) AS c
+chains AS (SELECT list_transform(range(1, greatest(len(l), 2)), lambda i: array_to_string(l[i:], '.')) AS c
   FROM (SELECT DISTINCT string_split(host, '.') AS l FROM p WHERE host <> '')),
 family AS (SELECT DISTINCT x.a AS a, x.b AS b FROM (SELECT unnest(list_transform(range(1, len(c)),
-  i -> {{'a': c[i], 'b': c[i + 1]}})) AS x FROM chains)),
+  lambda i: {{'a': c[i], 'b': c[i + 1]}})) AS x FROM chains)),
 edges AS MATERIALIZED (SELECT src, dst, count(*)::DOUBLE AS weight FROM (SELECT * FROM links
   UNION ALL SELECT a, b FROM family UNION ALL SELECT b, a FROM family)
   WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY src, dst),
