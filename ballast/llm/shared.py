@@ -38,38 +38,35 @@ def attach(
     without sending a hot key's rows to one task.
 
     Groups of ``hot_at`` rows or more are broadcast; the caller chooses it as a
-    fraction of the number of rows, which bounds how many there are. Rows that met
-    a hot group take part in the second, shuffled join without their key and under
-    a salt from ``spread``. The keys are dropped and must not be null.
+    fraction of the number of rows, which bounds how many there are. In the second,
+    shuffled join rows that met a hot group have a number drawn from ``spread`` in
+    place of their key; what that may meet is ignored. The keys are dropped and must
+    not be null.
     """
     values = [c for c in groups.columns if c not in keys]
+    kinds = dict(groups.dtypes)
     hot = groups.filter(F.col(size) >= hot_at).select(
         *[F.col(k).alias(f"_hot_{k}") for k in keys], *[F.col(v).alias(f"_hot_{v}") for v in values]
     )
-    on_hot = [F.col(k) == F.col(f"_hot_{k}") for k in keys]
-    met = rows.join(F.broadcast(hot), on_hot, "left")
-    is_hot = F.col(f"_hot_{size}").isNotNull()
-    salted = met.withColumn(
-        "_salt", F.when(is_hot, 1 + F.pmod(F.xxhash64(spread), F.lit(SALTS))).otherwise(F.lit(0))
-    )
-    for k in keys:
-        salted = salted.withColumn(f"_cold_{k}", F.when(~is_hot, F.col(k)))
-        # A null would send all hot rows to one partition; the salt alone spreads them.
-        salted = salted.drop(k, f"_hot_{k}")
-    blank = {"string": F.lit(""), "bigint": F.lit(0).cast("bigint"), "int": F.lit(0)}
-    kinds = dict(groups.dtypes)
-    for k in keys:
-        salted = salted.withColumn(f"_cold_{k}", F.coalesce(f"_cold_{k}", blank[kinds[k]]))
+    met = rows.join(F.broadcast(hot), [F.col(k) == F.col(f"_hot_{k}") for k in keys], "left")
+    number = F.pmod(F.xxhash64(spread), F.lit(SALTS))
+    salted = met.select(
+        "*",
+        *[
+            F.when(F.col(f"_hot_{size}").isNull(), F.col(k))
+            .otherwise(number.cast(kinds[k]))
+            .alias(f"_cold_{k}")
+            for k in keys
+        ],
+    ).drop(*keys, *[f"_hot_{k}" for k in keys])
     cold = groups.select(
-        F.lit(0).cast("bigint").alias("_salt"),
         *[F.col(k).alias(f"_cold_{k}") for k in keys],
         *[F.col(v).alias(f"_cold_v_{v}") for v in values],
     )
-    joined = salted.join(cold, ["_salt", *[f"_cold_{k}" for k in keys]], "left")
+    joined = salted.join(cold, [f"_cold_{k}" for k in keys], "left")
     for v in values:
         joined = joined.withColumn(v, F.coalesce(f"_hot_{v}", f"_cold_v_{v}"))
     return joined.drop(
-        "_salt",
         *[f"_cold_{k}" for k in keys],
         *[f"_cold_v_{v}" for v in values],
         *[f"_hot_{v}" for v in values],
