@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 # Fixed by the contract: what separates words.
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
-SPACES_TO_BLANK = ("\t\n\x0b\x0c\r", "     ")
 
 # A key with at least a 2000th of all rows is hot, so there are at most 2000 of them.
 HOT_SHARE = 2000
@@ -23,7 +22,7 @@ def whole(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Words of a text as an array; empty for a null or blank text."""
-    return F.filter(F.split(whole(text), SPACE + "+"), lambda w: w != "")
+    return F.array_remove(F.split(whole(text), SPACE + "+"), "")
 
 
 def id_bucket(doc_id: Column, buckets: int) -> Column:

@@ -7,8 +7,9 @@ divided by the number of n-grams. It is kept if the rules pass and the ratio rea
 ``THRESHOLD``; there is no randomness and no rank, so a document's verdict depends on
 the two corpora alone.
 
-The table of ratios has ``BUCKETS`` rows, which bounds the broadcast. Everything else
-happens in the row or in sums by row and bucket that are combined before the shuffle.
+The ratios of all ``BUCKETS`` buckets are one value that every task has. Everything else
+happens within the row, or in sums by bucket that are combined before their shuffle.
+Windows of three words are compared by 64-bit hashes of their own.
 
 A null text has no words. Without words the ratio is 0. Without trusted documents all
 ratios are 0 and the rules decide. Repeated rows are judged each for itself; trusted ids
@@ -22,43 +23,41 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ballast.functions.sizing import staged
-from ballast.llm.shared import SPACES_TO_BLANK, whole, words
+from ballast.llm.shared import whole, words
 
-BUCKETS = 1 << 16
+BUCKETS = 1 << 14
 # Nats per n-gram. Trusted text lies around 0, text of foreign n-grams well below.
 THRESHOLD = -0.5
 LEAST_WORDS = 50
 # Fixed by the contract.
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
 
 
-def bucket(gram: Column) -> Column:
-    return F.pmod(F.xxhash64(gram), F.lit(BUCKETS)).cast("int")
+def bucket(hashed: Column) -> Column:
+    return F.pmod(hashed, F.lit(BUCKETS)).cast("int")
 
 
-def grams(w: Column) -> Column:
-    """Words, and words joined with the next one by a space."""
-    pairs = F.zip_with(
-        F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))),
-        F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))),
-        lambda a, b: F.concat(a, F.lit(" "), b),
-    )
-    return F.concat(w, pairs)
+def pairs(w: Column) -> Column:
+    """Hashes of each word with the next."""
+    n = F.greatest(F.size(w) - 1, F.lit(0))
+    return F.zip_with(F.slice(w, 1, n), F.slice(w, 2, n), lambda a, b: F.xxhash64(a, b))
+
 
+def buckets(w: Column, pair: Column) -> Column:
+    """Buckets of the words and of the pairs."""
+    single = F.transform(w, lambda a: bucket(F.xxhash64(a)))
+    return F.concat(single, F.transform(pair, bucket))
 
-def _windows(w: Column) -> Column:
-    """Each run of three words as one string; words hold no spaces."""
+
+def _windows(w: Column, pair: Column) -> Column:
+    """64-bit hashes of each run of three words."""
     n = F.greatest(F.size(w) - 2, F.lit(0))
-    return F.zip_with(
-        F.zip_with(F.slice(w, 1, n), F.slice(w, 2, n), lambda a, b: F.concat(a, F.lit(" "), b)),
-        F.slice(w, 3, n),
-        lambda ab, c: F.concat(ab, F.lit(" "), c),
-    )
+    return F.zip_with(F.slice(pair, 1, n), F.slice(w, 3, n), lambda ab, c: F.xxhash64(ab, c))
 
 
 def _neighbours(placed: Column) -> Column:
     """Places of windows that are equal to the one before or after in sorted order."""
-    none = F.struct(F.lit(None).cast("string").alias("t"), F.lit(-1).alias("i"))
+    none = F.struct(F.lit(None).cast("bigint").alias("t"), F.lit(-1).alias("i"))
     before = F.concat(F.array(none), F.slice(placed, 1, F.size(placed) - 1))
     after = F.concat(F.slice(placed, 2, F.size(placed)), F.array(none))
     marked = F.zip_with(
@@ -86,25 +85,25 @@ def _covered(places: Column) -> Column:
 
 
 def rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, the words ``w``, and the rules' figures: n_words, word_chars, n_symbols,
-    n_dup_lines, n_repeat_words, base_failed."""
+    """doc_id, the rules' figures (n_words, word_chars, n_symbols, n_dup_lines,
+    n_repeat_words, base_failed), the words ``w`` and their ``pair`` hashes."""
     source = docs.select(F.col(doc_id).alias("doc_id"), whole(F.col(text)).alias("text"))
-    lines = source.select(
+    cut = source.select(
         "*",
         words(F.col("text")).alias("w"),
         F.filter(F.split("text", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
-    )
-    plain = F.translate("text", *SPACES_TO_BLANK)
-    measured = lines.select(
+    ).withColumn("pair", pairs(F.col("w")))
+    measured = cut.select(
         "doc_id",
         "w",
+        "pair",
         F.size("w").cast("bigint").alias("n_words"),
-        F.char_length(F.translate(plain, " ", "")).cast("bigint").alias("word_chars"),
-        (F.char_length("text") - F.char_length(F.translate("text", SYMBOLS, "")))
+        F.char_length(F.array_join("w", "")).cast("bigint").alias("word_chars"),
+        (F.char_length("text") - F.char_length(F.regexp_replace("text", SYMBOLS, "")))
         .cast("bigint")
         .alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
-        _windows(F.col("w")).alias("windows"),
+        _windows(F.col("w"), F.col("pair")).alias("windows"),
     )
     # Most texts repeat no window; only the others are sorted.
     repeats = F.size(F.array_distinct("windows")) < F.size("windows")
@@ -127,15 +126,15 @@ def rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 def ratio_table(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str) -> DataFrame:
     """h, log_ratio for every bucket that occurs; ``trusted`` has the trusted ids."""
     ids = trusted.select(F.col(doc_id).alias("id")).filter("id is not null").distinct()
-    marks = ids.withColumn("target", F.lit(1))
-    # Ids meet before texts do: the sums are by (id, bucket) only for the few words
-    # of one text, and leave the task by bucket.
+    # Both may be large, so they are always sorted and merged; no broadcast by chance.
     marked = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(
-        marks, "id", "left"
+        ids.withColumn("target", F.lit(1)).hint("merge"), "id", "left"
     )
     counts = (
-        marked.select("target", F.explode(grams(words(F.col("text")))).alias("g"))
-        .groupBy(bucket(F.col("g")).alias("h"))
+        marked.select("target", words(F.col("text")).alias("w"))
+        .withColumn("pair", pairs(F.col("w")))
+        .select("target", F.explode(buckets(F.col("w"), F.col("pair"))).alias("h"))
+        .groupBy("h")
         .agg(F.count("*").alias("raw"), F.count("target").alias("good"))
     )
     stored = staged(counts, "buckets")
@@ -156,19 +155,34 @@ def judge(
 ) -> DataFrame:
     """A row per row of ``docs``: doc_id, the rules' figures, ratio, kept."""
     table = ratio_table(docs, trusted, doc_id, text)
-    figures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    own = rules(docs, doc_id, text).withColumn("row_id", F.monotonically_increasing_id())
-    each = own.select(
-        "row_id", "doc_id", *figures, F.explode_outer(grams(F.col("w"))).alias("g")
-    ).withColumn("h", bucket(F.col("g")))
+    # The ratios of all buckets in their order, one value of bounded size for all rows.
+    spark = docs.sparkSession
+    every = spark.range(BUCKETS).select(F.col("id").cast("int").alias("h"))
+    ratios = (
+        every.join(F.broadcast(table), "h", "left")
+        .agg(F.sort_array(F.collect_list(F.struct("h", F.coalesce("log_ratio", F.lit(0.0)).cast("float").alias("r")))).alias("all"))
+        .select(F.col("all.r"))
+        .scalar()
+    )
+    total = F.aggregate(
+        "hashed", F.lit(0.0), lambda s, h: s + F.element_at("ratios", h + 1)
+    )
+    n = F.size("hashed")
     scored = (
-        each.join(F.broadcast(table), "h", "left")  # at most BUCKETS rows
-        .groupBy("row_id", "doc_id", *figures)
-        .agg(F.coalesce(F.sum("log_ratio") / F.count("g"), F.lit(0.0)).alias("ratio"))
+        rules(docs, doc_id, text)
+        .withColumn("hashed", buckets(F.col("w"), F.col("pair")))
+        # Read once, so Catalyst puts the value itself in its place.
+        .withColumn("ratios", ratios)
+        .withColumn("ratio", F.when(n == 0, F.lit(0.0)).otherwise(total / n))
     )
     return scored.select(
         "doc_id",
-        *figures,
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
         "ratio",
         (~F.col("base_failed") & (F.col("ratio") >= threshold)).alias("kept"),
     )

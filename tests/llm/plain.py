@@ -77,9 +77,9 @@ def rules(text: str | None) -> tuple[int, int, int, int, int]:
 
 def ratios(rows: list[tuple], trusted: set, buckets: int) -> dict:
     def hashed(text):
-        w = WORD.findall(text or "")
-        grams = w + [f"{a} {b}" for a, b in zip(w, w[1:])]
-        hashes = (xxhash.xxh64(g.encode(), seed=42).intdigest() for g in grams)
+        w = [x.encode() for x in WORD.findall(text or "")]
+        first = [xxhash.xxh64(x, seed=42).intdigest() for x in w]
+        hashes = first + [xxhash.xxh64(b, seed=h).intdigest() for h, b in zip(first, w[1:])]
         return [(h - (1 << 64) if h >> 63 else h) % buckets for h in hashes]
 
     raw, good = Counter(), Counter()
