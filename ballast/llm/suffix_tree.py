@@ -24,7 +24,6 @@ table. Without training rows all symbols are equally likely. Other columns are l
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -47,7 +46,6 @@ CHUNK = 4_000_000
 BASE_ADD = 0.1
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_SPACES = re.compile(rb"[\x20\x09-\x0D]+")
 _DOWN = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
 
@@ -59,29 +57,33 @@ def lowered(word: Column) -> Column:
 
 def symbols(text: str) -> bytes:
     """``DEPTH`` ends before the text, its bytes, one end."""
-    plain = _SPACES.sub(b" ", text.encode().translate(_DOWN)).strip(b" ")
-    return bytes([END]) * DEPTH + plain + bytes([END])
+    words = text.encode().translate(_DOWN).split()  # on the six bytes of white space
+    return bytes([END]) * DEPTH + b" ".join(words) + bytes([END])
 
 
-def _codes(texts: list[str]) -> tuple[np.ndarray, list[int]]:
-    """For each symbol of the texts the number written by it and the DEPTH bytes
-    before it; where each text's symbols end."""
+def _streams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of ``symbols`` of all texts, one after the other; where each begins."""
     coded = [symbols(t) for t in texts]
-    stream = np.frombuffer(b"".join(coded), np.uint8).astype(np.int64)
-    if len(stream) <= DEPTH:
-        return np.zeros(0, np.int64), []
-    total = len(stream) - DEPTH
+    sizes = np.array([len(c) for c in coded])
+    return np.frombuffer(b"".join(coded), np.uint8), np.cumsum(sizes) - sizes
+
+
+def _unreal(starts: np.ndarray) -> np.ndarray:
+    """Places of the leading ends, which are no symbols, of all texts but the first,
+    counted from the first symbol."""
+    return (starts[1:, None] - DEPTH + np.arange(DEPTH)).ravel()
+
+
+def _codes(texts: list[str]) -> np.ndarray:
+    """For each symbol of the texts the number written by the DEPTH bytes before it
+    and itself."""
+    stream, starts = _streams(texts)
+    total = max(0, len(stream) - DEPTH)
     code = np.zeros(total, np.int64)
     for j in range(DEPTH + 1):
-        code = (code << 8) | stream[j : j + total]
-    # A text's leading ends are no symbols.
-    sizes = np.array([len(c) for c in coded])
-    starts = np.cumsum(sizes) - sizes
-    real = np.ones(total, bool)
-    for j in range(DEPTH):
-        at = starts[1:] - DEPTH + j
-        real[at[at < total]] = False
-    return code[real], np.cumsum(sizes - DEPTH).tolist()
+        code <<= 8
+        code |= stream[j : j + total]
+    return np.delete(code, _unreal(starts)) if len(starts) > 1 else code
 
 
 def gram_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -95,7 +97,7 @@ def gram_counts(docs: DataFrame, text: str = "text") -> DataFrame:
                 part.append(t)
                 size += len(t)
                 if size >= CHUNK or i == len(texts) - 1:
-                    code, n = np.unique(_codes(part)[0], return_counts=True)
+                    code, n = np.unique(_codes(part), return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], ["gram", "n"])
                     part, size = [], 0
 
@@ -195,21 +197,24 @@ def log_scores(child: np.ndarray, log_chance: np.ndarray, texts: list[str]) -> n
     """log10 probability of each text."""
     out = []
     part, size = [], 0
+    nexts, chances = child.ravel(), log_chance.ravel()
     for i, t in enumerate(texts):
         part.append(t)
         size += len(t)
         if size < CHUNK // 4 and i < len(texts) - 1:
             continue
-        code, ends = _codes(part)
-        state = np.zeros(len(code), np.int32)
+        stream, starts = _streams(part)
+        total = len(stream) - DEPTH
+        state = np.zeros(total, np.int32)
         longest = state
         for d in range(1, DEPTH + 1):
-            # States are numbered by length, so the longest is the largest; a
-            # context that ended stays at the row of -1.
-            state = child[state, (code >> 8 * d) & 255]
+            # States are numbered by length, so the longest is the largest. A context
+            # that ended is -1, and stays that in the last row.
+            state = nexts.take((state << 8) + stream[DEPTH - d : DEPTH - d + total])
             longest = np.maximum(longest, state)
-        each = log_chance[longest, code & 255]
-        out.append(np.add.reduceat(each, [0, *ends[:-1]]))
+        each = chances.take((longest << 8) + stream[DEPTH:])
+        each[_unreal(starts)] = 0
+        out.append(np.add.reduceat(each, starts))
         part, size = [], 0
     return np.concatenate(out) if out else np.zeros(0)
 

@@ -160,7 +160,7 @@ def judge(
     every = spark.range(BUCKETS).select(F.col("id").cast("int").alias("h"))
     ratios = (
         every.join(F.broadcast(table), "h", "left")
-        .agg(F.sort_array(F.collect_list(F.struct("h", F.coalesce("log_ratio", F.lit(0.0)).cast("float").alias("r")))).alias("all"))
+        .agg(F.sort_array(F.collect_list(F.struct("h", F.coalesce("log_ratio", F.lit(0.0)).alias("r")))).alias("all"))
         .select(F.col("all.r"))
         .scalar()
     )
