@@ -32,7 +32,8 @@ FILTERS = 8
 PER_LANGUAGE = 600
 EPOCHS = 24
 UNKNOWN = "und"
-CHUNK = 256
+CHUNK = 256  # windows at a time
+TEXTS = 500  # texts at a time
 
 
 @dataclass
@@ -216,12 +217,13 @@ def predict(
     @F.pandas_udf("struct<lang:string,score:double>")
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            some = batch.notna().to_numpy()
-            best, sure = predict_texts(net, batch[some].tolist())
             langs = np.full(len(batch), UNKNOWN, object)
             scores = np.zeros(len(batch))
-            langs[some] = np.array(net.languages, object)[best]
-            scores[some] = sure
+            texts = np.flatnonzero(batch.notna())
+            for begin in range(0, len(texts), TEXTS):
+                some = texts[begin : begin + TEXTS]
+                best, scores[some] = predict_texts(net, batch.iloc[some].tolist())
+                langs[some] = np.array(net.languages, object)[best]
             yield pd.DataFrame({"lang": langs, "score": scores})
 
     # Texts without a letter reach Python as nulls.

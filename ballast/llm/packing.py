@@ -35,9 +35,9 @@ WINDOW = 2048
 END_ID = 1
 MAX_OPEN = 8192
 # Words whose ids a Python worker keeps.
-KEPT_WORDS = 600_000
-OUT_BYTES = 16_000_000
-SLICE_BYTES = 8_000_000
+KEPT_WORDS = 400_000
+OUT_BYTES = 8_000_000
+SLICE_BYTES = 4_000_000
 
 
 def _shown() -> dict[int, str]:
