@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -24,11 +25,13 @@ def sized_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFr
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``. Only where that
-    is unset (local tests) a temporary folder is made and used instead."""
+    """The folder the cluster names in ``spark.checkpoint.dir``. Where that is unset,
+    a temporary folder is used in local mode; on a cluster it would not be shared."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
+        if not re.match(r"local($|\[)", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="ballast-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)

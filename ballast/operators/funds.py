@@ -56,24 +56,38 @@ def accounts_due(
 
 
 def rebalance_progress(
-    account: DataFrame, rebal_fund: DataFrame, processed: DataFrame
+    account: DataFrame,
+    rebal_fund: DataFrame,
+    processed: DataFrame,
+    rejected: DataFrame | None = None,
 ) -> DataFrame:
-    """Done and remaining accounts of every open rebalance."""
+    """Done and remaining accounts of every open rebalance.
+
+    An account is done if it was processed, or rejected: one that cannot be
+    rebalanced does not hold its fund back. A fund without accounts is not complete.
+    """
     running = open_rebalances(rebal_fund).select("rebal_id", "fund_id")
-    listed = account.groupBy("fund_id").agg(F.count("*").alias("accounts"))
-    done = processed.groupBy("rebal_id").agg(F.count("*").alias("done"))
-    counted = F.coalesce(F.col("done"), F.lit(0)).cast("bigint")
-    everyone = F.coalesce(F.col("accounts"), F.lit(0)).cast("bigint")
-    return (
-        running.join(listed, "fund_id", "left")
-        .join(done, "rebal_id", "left")
-        .select(
-            "rebal_id",
-            "fund_id",
-            counted.alias("done"),
-            (everyone - counted).alias("remaining"),
-            (everyone - counted <= 0).cast("bigint").alias("complete"),
-        )
+    settled = processed.select("rebal_id", "accnt_id")
+    if rejected is not None:
+        settled = settled.unionByName(rejected.select("rebal_id", "accnt_id"))
+    settled = settled.distinct().withColumn("settled", F.lit(1))
+    counts = (
+        account.select("accnt_id", "fund_id")
+        .join(running, "fund_id")
+        .join(settled, ["rebal_id", "accnt_id"], "left")
+        .groupBy("rebal_id")
+        .agg(F.count("*").alias("accounts"), F.count("settled").alias("done"))
+    )
+    done = F.coalesce(F.col("done"), F.lit(0)).cast("bigint")
+    remaining = (F.coalesce(F.col("accounts"), F.lit(0)) - done).cast("bigint")
+    return running.join(counts, "rebal_id", "left").select(
+        "rebal_id",
+        "fund_id",
+        done.alias("done"),
+        remaining.alias("remaining"),
+        F.coalesce((F.col("accounts") == F.col("done")).cast("bigint"), F.lit(0).cast("bigint")).alias(
+            "complete"
+        ),
     )
 
 

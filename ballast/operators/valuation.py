@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ballast.functions.money import amount, amount_or_null, or_zero
+from ballast.functions.money import amount_or_null, zero
 from ballast.operators.funds import open_rebalances
 
 DEPOSIT, WITHDRAWAL = 1, 2
@@ -20,20 +20,25 @@ def price_snapshot(listing_price: DataFrame, rebalances: DataFrame) -> DataFrame
 
 
 def queued_cash(queue: DataFrame) -> DataFrame:
-    """Waiting deposits and withdrawals per account, summed in one pass."""
+    """Waiting deposits and withdrawals per account, summed in one pass; NULL where
+    a sum is out of range, so that this account alone is set aside."""
     kind = F.col("tx_type")
     return (
         queue.filter(kind.isin(DEPOSIT, WITHDRAWAL))
         .groupBy("accnt_id")
         .agg(
-            amount(or_zero(F.sum(F.when(kind == DEPOSIT, F.col("amount"))))).alias("new_deposits"),
-            amount(or_zero(F.sum(F.when(kind == WITHDRAWAL, F.col("amount"))))).alias(
-                "new_withdrawals"
-            ),
+            _sum_of(kind == DEPOSIT).alias("new_deposits"),
+            _sum_of(kind == WITHDRAWAL).alias("new_withdrawals"),
         )
     )
 
 
+def _sum_of(chosen: Column) -> Column:
+    """0 without such rows, NULL where the sum is out of range."""
+    total = amount_or_null(F.try_sum(F.when(chosen, F.col("amount"))))
+    return F.when(F.count(F.when(chosen, F.col("amount"))) == 0, zero()).otherwise(total)
+
+
 def match_holdings(holding: DataFrame, due: DataFrame, snapshot: DataFrame) -> DataFrame:
     """Holdings of the due accounts with the snapshot price, NULL where there is
     none. One pass gives both the priced and the unpriced ones."""
@@ -69,21 +74,27 @@ def unpriced_holdings(matched: DataFrame) -> DataFrame:
 
 
 def value_holdings(current: DataFrame) -> DataFrame:
-    """Value and number of priced holdings per account."""
+    """Value and number of priced holdings per account; the value is NULL where it is
+    out of range."""
     return current.groupBy("accnt_id").agg(
-        amount(F.sum(F.col("units") * F.col("price"))).alias("current_holdings_value"),
+        amount_or_null(F.try_sum(F.col("units") * F.col("price"))).alias("current_holdings_value"),
         F.count("*").alias("current_holdings_count"),
     )
 
 
 def target_balance(due: DataFrame, value: DataFrame, queued: DataFrame) -> DataFrame:
     """Holdings plus cash plus deposits less withdrawals, per due account; NULL
-    where the sum is out of range."""
-    cols = ["current_holdings_value", "new_deposits", "new_withdrawals"]
+    where that or a part of it is out of range. What has no rows counts as zero."""
+    queued = queued.withColumn("_queued", F.lit(True))
     filled = due.join(value, "accnt_id", "left").join(queued, "accnt_id", "left")
-    for name in cols:
-        filled = filled.withColumn(name, or_zero(F.col(name)))
-    return filled.withColumn(
+    parts = {
+        "current_holdings_value": "current_holdings_count",
+        "new_deposits": "_queued",
+        "new_withdrawals": "_queued",
+    }
+    for name, mark in parts.items():
+        filled = filled.withColumn(name, F.when(F.col(mark).isNull(), zero()).otherwise(F.col(name)))
+    return filled.drop("_queued").withColumn(
         "current_holdings_count",
         F.coalesce(F.col("current_holdings_count"), F.lit(0)).cast("bigint"),
     ).withColumn(

@@ -30,11 +30,12 @@ def close_rebalances(
     listing_price: DataFrame,
     as_of: str,
     earlier: DataFrame | None = None,
+    rejected: DataFrame | None = None,
 ) -> CloseResult:
     """Close every open rebalance without remaining accounts: log the fund total,
     count the close, stamp the header, open the successor and freeze its prices.
-    ``earlier`` is the fund log so far."""
-    progress = funds.rebalance_progress(account, rebal_fund, processed)
+    ``earlier`` is the fund log so far; ``rejected`` accounts do not remain."""
+    progress = funds.rebalance_progress(account, rebal_fund, processed, rejected)
     closing = funds.finished(progress, rebal_fund)
     rolled = funds.roll_rebalances(rebal_fund, closing, as_of)
     opened = funds.open_rebalances(rolled).join(

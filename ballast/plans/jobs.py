@@ -140,7 +140,8 @@ def run_close(spark: SparkSession, folders: Folders, out_dir: str, as_of: str) -
     tables = read_tables(
         spark,
         folders,
-        ["account", "balance", "fund_balance", "rebal_fund", "rebal_account", "listing_price"],
+        ["account", "balance", "fund_balance", "rebal_fund", "rebal_account", "rebal_rejected"]
+        + ["listing_price"],
     )
     closed = close_rebalances(
         tables["account"],
@@ -151,6 +152,7 @@ def run_close(spark: SparkSession, folders: Folders, out_dir: str, as_of: str) -
         tables["listing_price"],
         as_of,
         read_table(spark, folders, "fund_balance_history"),
+        tables["rebal_rejected"],
     )
     return write_tables(closed.tables(), out_dir, folders)
 

@@ -347,19 +347,20 @@ ORACLES: dict[str, str] = {
     "rebalance_progress": over_views(
         """SELECT r.rebal_id, r.fund_id, CAST(count(a.accnt_id) FILTER (WHERE r.curr_code <> 'C4') AS BIGINT) AS done,
         CAST(count(a.accnt_id) FILTER (WHERE r.curr_code = 'C4') AS BIGINT) AS remaining,
-        CAST(CASE WHEN count(a.accnt_id) FILTER (WHERE r.curr_code = 'C4') = 0 THEN 1 ELSE 0 END AS BIGINT) AS complete
+        CAST(CASE WHEN count(a.accnt_id) > 0 AND count(a.accnt_id) FILTER (WHERE r.curr_code = 'C4') = 0 THEN 1 ELSE 0 END AS BIGINT) AS complete
         FROM rebal r LEFT JOIN account a ON a.fund_id = r.fund_id GROUP BY r.rebal_id, r.fund_id, r.curr_code"""
     ),
     "rebalance_roll": over_views(
         f"""SELECT rebal_id, fund_id, curr_code, accnts_count, start_dt,
-        CASE WHEN curr_code <> 'C4' THEN TIMESTAMP '{AS_OF}' ELSE end_dt END AS end_dt FROM rebal
+        CASE WHEN curr_code <> 'C4' AND fund_id IN (SELECT fund_id FROM account)
+          THEN TIMESTAMP '{AS_OF}' ELSE end_dt END AS end_dt FROM rebal
         UNION ALL
         SELECT 'R' || fund_id || '-2', fund_id, curr_code, accnts_count, TIMESTAMP '{AS_OF}', end_dt
-        FROM rebal WHERE curr_code <> 'C4'"""
+        FROM rebal WHERE curr_code <> 'C4' AND fund_id IN (SELECT fund_id FROM account)"""
     ),
     "fund_rebalance_counter": over_views(
-        """SELECT fund_id, curr_code, CAST(CASE WHEN curr_code <> 'C4' THEN 1 ELSE 0 END AS DECIMAL(20,6)) AS balance
-        FROM fund"""
+        """SELECT fund_id, curr_code, CAST(CASE WHEN curr_code <> 'C4' AND fund_id IN (SELECT fund_id FROM account)
+        THEN 1 ELSE 0 END AS DECIMAL(20,6)) AS balance FROM fund"""
     ),
     "fund_balance_history": over_result(
         f"""SELECT row_number() OVER (ORDER BY fund_id) AS id, fund_id, rebal_id, curr_code, TIMESTAMP '{AS_OF}' AS log_dt, {money('sum(inv + cash)')} AS balance
@@ -367,7 +368,7 @@ ORACLES: dict[str, str] = {
     ),
     "next_price_snapshot": over_views(
         """SELECT 'R' || fund_id || '-2' AS rebal_id, fund_id, asset_id, exch_code, curr_code, price
-        FROM snapshot WHERE curr_code <> 'C4'"""
+        FROM snapshot WHERE curr_code <> 'C4' AND fund_id IN (SELECT fund_id FROM account)"""
     ),
     # prices
     "price_update_latest": over_ticks(_LATEST),

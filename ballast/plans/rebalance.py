@@ -47,6 +47,7 @@ class Rebalance:
     # In the order in which their inputs become ready.
     OUTPUTS = (
         "rebal_account",
+        "rebal_rejected",
         "transact",
         "transact_queue",
         "rejects",
@@ -227,6 +228,13 @@ class Rebalance:
     def rebal_account(self) -> DataFrame:
         return trades.rebalance_accounts(self.done)
 
+    @cached_property
+    def rebal_rejected(self) -> DataFrame:
+        """Accounts set aside. They stay due, but do not keep their fund open."""
+        columns = ["rebal_id", "fund_id", "accnt_id", "curr_code", "model_id"]
+        gone = self.target.select("rebal_id", "accnt_id")
+        return self.judged.select(columns).join(gone, ["rebal_id", "accnt_id"], "left_anti")
+
     @cached_property
     def transact(self) -> DataFrame:
         return cash.settle_queue(self.state.queue, self.done, self.as_of)

@@ -80,6 +80,9 @@ TABLES: dict[str, T.StructType] = {
         "rebal_id string, item_no long, accnt_id long, fund_id long, curr_code string,"
         "model_id long"
     ),
+    "rebal_rejected": _table(
+        "rebal_id string, fund_id long, accnt_id long, curr_code string, model_id long"
+    ),
     "price_snapshot": _table(
         "rebal_id string, fund_id long, asset_id long, exch_code string, curr_code string,"
         "price amount"

@@ -6,6 +6,9 @@ from pyspark.sql import SparkSession
 
 # Runtime settings only, so they can be applied to a session that runs already.
 SETTINGS = {
+    # Overflow must fail or give NULL where asked for, and products must round once.
+    "spark.sql.ansi.enabled": "true",
+    "spark.sql.decimalOperations.allowPrecisionLoss": "true",
     "spark.sql.adaptive.enabled": "true",
     # Split skewed join partitions even where that costs one more shuffle: an
     # account, asset or currency may hold a large part of all rows.

@@ -27,6 +27,7 @@ APPENDED = {
     "account_asset",
     "account_audit",
     "rebal_account",
+    "rebal_rejected",
     "transact",
     "price_snapshot",
     "listing_price_history",

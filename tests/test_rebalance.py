@@ -176,3 +176,23 @@ def test_amount_out_of_range_is_rejected(world):
     run = Rebalance(world(cash=[(1, 10, big), (2, 10, 10)], queue=[("a", 1, 1, big)]), AS_OF)
     assert rows_of(run.rebal_account, "accnt_id") == [(2,)]
     assert rows_of(run.rejects, "key") == [("R1-1/1",)]
+
+
+def test_holdings_beyond_the_range_set_only_that_account_aside(world):
+    state = world(
+        cash=[(1, 10, 1000), (2, 10, 1000)], holding=[(1, 1, 30_000_000_000_000), (2, 1, 5)]
+    )
+    run = Rebalance(state, AS_OF)
+    assert rows_of(run.rebal_account, "accnt_id") == [(2,)]
+    assert rows_of(run.rebal_rejected, "rebal_id", "accnt_id") == [("R1-1", 1)]
+    assert rows_of(run.rejects, "key") == [("R1-1/1",)]
+
+
+def test_deposits_beyond_the_range_set_only_that_account_aside(world):
+    most = 99_999_999_999_999
+    state = world(
+        cash=[(1, 10, 0), (2, 10, 1000)], queue=[("a", 1, 1, most), ("b", 1, 1, most), ("c", 2, 1, 5)]
+    )
+    run = Rebalance(state, AS_OF)
+    assert rows_of(run.rebal_account, "accnt_id") == [(2,)]
+    assert rows_of(run.rebal_rejected, "accnt_id") == [(1,)]

@@ -123,3 +123,32 @@ def test_fund_total_treats_null_as_zero(table):
         "balance", [(1, 1, "GBP", 1, 1, dec(5), None), (2, 2, "GBP", 1, 1, None, dec(-2))]
     )
     assert rows_of(funds.fund_totals(balance)) == [(1, dec(3))]
+
+
+def test_progress_counts_accounts_not_markers(table, headers):
+    account = table("account", [(1, 1, "GBP", 1, 1), (2, 2, "GBP", 1, 1)])
+    done = table("rebal_account", [("R1-9", 1, a, 1, "GBP", 1) for a in (1, 9)])
+    progress = funds.rebalance_progress(account, headers, done)
+    assert rows_of(progress, "rebal_id", "done", "remaining", "complete") == [
+        ("R1-9", 1, 1, 0),
+        ("R2-1", 0, 0, 0),  # a fund without accounts is never complete
+    ]
+
+
+def test_rejected_accounts_do_not_keep_a_fund_open(table, headers):
+    account = table("account", [(1, 1, "GBP", 1, 1), (2, 2, "GBP", 1, 1)])
+    done = table("rebal_account", [("R1-9", 1, 1, 1, "GBP", 1)])
+    rejected = table("rebal_rejected", [("R1-9", 1, 2, "GBP", 1), ("R1-9", 1, 1, "GBP", 1)])
+    progress = funds.rebalance_progress(account, headers, done, rejected)
+    assert rows_of(funds.finished(progress, headers), "rebal_id") == [("R1-9",)]
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from ballast.functions.sizing import shared_dir
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *_: None))
+    with pytest.raises(ValueError):
+        shared_dir(session)
