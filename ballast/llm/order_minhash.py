@@ -13,9 +13,12 @@ over all runs of either text, 0.8 or more. Links are closed to classes.
 
 Hot groups: exact copies are combined before anything else. In a key of up to ``SMALL``
 texts all pairs are candidates. In a larger one every text is compared with a hub, the
-text that shares most keys with others, so n texts cost n pairs. If that leaves the key's
-texts in different classes, they meet again under that key joined with each later key,
-which only closer texts share, with hubs or in pairs, ``LEVELS`` times in all.
+text that shares most keys with others, so n texts cost n pairs. If that leaves up to
+``SMALL`` of the key's texts outside its largest class, each of them is compared with all
+texts of the key that are not of its class, so at most ``SMALL`` pairs a text. If it leaves
+more, the key's texts meet again under that key joined with each later key, which only
+closer texts share, and so on until no key is open or no later key is left. Texts of one
+class, and pairs that were compared before, are not compared again.
 
 Null and blank texts are one class of copies. A text of fewer than ``K`` words is one run.
 Texts are compared by words; other white space does not count. Repeated rows are copies.
@@ -31,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ballast.functions.sizing import staged
@@ -43,7 +46,6 @@ LEAST = 0.8
 SKETCHES = 16
 PICKED = 2
 SMALL = 8
-LEVELS = 2
 
 _DRAW = np.random.default_rng(2019)
 _ODD = _DRAW.integers(0, 2**63, (SKETCHES, 1), dtype=np.int64).astype(np.uint64) * 2 + 1
@@ -174,48 +176,105 @@ def sketches(texts: DataFrame) -> DataFrame:
     )
 
 
+def _plausible(x: Column, y: Column) -> Column:
+    """Pairs of rows that are of different classes and not too different in length."""
+    shorter, longer = F.least(x["n"], y["n"]), F.greatest(x["n"], y["n"])
+    return (x["label"] != y["label"]) & (shorter >= LEAST * longer)
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b, from structs x and y."""
+    x, y = F.col("x"), F.col("y")
+    return pairs.filter(_plausible(x, y)).select(
+        F.least(x["node"], y["node"]).alias("a"), F.greatest(x["node"], y["node"]).alias("b")
+    )
+
+
 def _candidates(shared: DataFrame) -> DataFrame:
-    """Pairs (a, b), a < b, from rows (node, key, n, copies, size) of shared keys."""
+    """Pairs (a, b), a < b, from rows (node, key, n, copies, label, size) of shared keys."""
     # The text most at home among the others is the hub of its keys.
     fame = shared.groupBy("node").agg(F.sum(F.col("size") + F.col("copies")).alias("fame"))
     large = staged(shared.filter(F.col("size") > SMALL).join(fame, "node"), "large")
     hubs = staged(
         large.groupBy("key").agg(
-            F.max(F.struct("fame", (-F.col("node")).alias("low"), "n")).alias("hub")
+            F.max(
+                F.struct("fame", (-F.col("node")).alias("low"), F.struct("node", "n", "label").alias("x"))
+            )["x"].alias("y")
         ),
         "hubs",
     )
-    stars = large.join(hubs, "key").select(
-        F.least(F.col("node"), -F.col("hub.low")).alias("a"),
-        F.greatest(F.col("node"), -F.col("hub.low")).alias("b"),
-        F.col("n").alias("na"),
-        F.col("hub.n").alias("nb"),
-    )
+    stars = large.join(hubs, "key").select(F.struct("node", "n", "label").alias("x"), "y")
     members = (
         shared.filter(F.col("size") <= SMALL)
         .groupBy("key")
-        .agg(F.sort_array(F.collect_list(F.struct("node", "n"))).alias("all"))
+        .agg(F.sort_array(F.collect_list(F.struct("node", "n", "label"))).alias("all"))
     )
     each = members.select(F.posexplode("all").alias("i", "x"), "all")
-    pairs = each.select("x", F.explode(F.expr("slice(all, i + 2, size(all))")).alias("y")).select(
-        F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb")
-    )
-    return (
-        pairs.unionByName(stars)
-        .filter((F.col("a") < F.col("b")) & (F.least("na", "nb") >= LEAST * F.greatest("na", "nb")))
-        .select("a", "b")
-        .distinct()
-    )
+    pairs = each.select("x", F.explode(F.expr("slice(all, i + 2, size(all))")).alias("y"))
+    return _ordered(pairs.unionByName(stars)).distinct()
 
 
 def _shared(keyed: DataFrame) -> DataFrame:
-    """Rows whose key more than one text has, with the number of texts."""
+    """Rows whose key texts of more than one class have, with the number of texts."""
     sizes = staged(
-        keyed.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "sizes"
+        keyed.groupBy("key")
+        .agg(F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
+        .filter("low <> high")
+        .select("key", "size"),
+        "sizes",
     )
     return staged(keyed.join(sizes, "key"), "shared")
 
 
+def _open(shared: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of the large keys whose texts are still in different classes, with
+    ``outside``, the number of texts outside the key's largest class, and ``main``,
+    that class; and these keys alone."""
+    large = (
+        shared.filter(F.col("size") > SMALL)
+        .drop("size", "label")
+        .join(labels, "node", "left")
+        .withColumn("label", F.coalesce("label", "node"))
+    )
+    rows = staged(large, "labelled")
+    keys = staged(
+        rows.groupBy("key", "label")
+        .agg(F.count("*").alias("size"))
+        .groupBy("key")
+        .agg(F.sum("size").alias("all"), F.max(F.struct("size", "label")).alias("most"))
+        .select("key", (F.col("all") - F.col("most.size")).alias("outside"), F.col("most.label").alias("main"))
+        .filter("outside > 0"),
+        "open",
+    )
+    return rows.join(keys, "key"), keys
+
+
+def _outsiders(rows: DataFrame) -> DataFrame:
+    """Candidate pairs of the texts outside a key's largest class, where these are few,
+    with the key's others."""
+    few = rows.filter(F.col("outside") <= SMALL)
+    out = few.filter("label <> main").select("key", F.struct("node", "n", "label").alias("y"))
+    return _ordered(few.select("key", F.struct("node", "n", "label").alias("x")).join(out, "key")).distinct()
+
+
+def _next_level(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of the open keys with many outsiders, once per later key of the text."""
+    later = keys.select("node", F.col("place").alias("later"), F.col("key").alias("with"))
+    return (
+        rows.filter(F.col("outside") > SMALL)
+        .join(later, "node")
+        .filter("later > place")
+        .select(
+            "node",
+            F.col("later").alias("place"),
+            F.xxhash64("key", "with").alias("key"),
+            "n",
+            "copies",
+            "label",
+        )
+    )
+
+
 def verified(pairs: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFrame:
     """The pairs whose alignment reaches ``least``, with ``similarity``."""
 
@@ -231,6 +290,8 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFr
             )
             yield out.filter(pa.array([s >= least for s in scores], pa.bool_()))
 
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    texts = texts.join(wanted, "node", "left_semi")
     first = texts.select(F.col("node").alias("a"), F.col("ids").alias("x"))
     second = texts.select(F.col("node").alias("b"), F.col("ids").alias("y"))
     both = pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y")
@@ -271,41 +332,29 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     """A row per row of ``docs``: row_id, doc_id, class_id, n_links, class_size, kept.
 
     ``class_id`` is the smallest id of the class, whose first row is kept. ``n_links``
-    counts the verified links of the row's text to different texts.
+    counts the verified links of the row's text to different texts; texts that other
+    links have brought into one class are not compared for it.
     """
     rows, texts = distinct_texts(docs, doc_id, text)
     keys = staged(sketches(texts), "keys")
-    level = keys
-    links = None
-    for number in range(LEVELS):
-        shared = _shared(level)
-        pairs = _candidates(shared)
-        if links is not None:
-            pairs = pairs.join(links, ["a", "b"], "left_anti")
-        found = staged(verified(staged(pairs, "pairs"), texts), "verified")
-        links = found if links is None else staged(links.unionByName(found), "verified")
-        labels = components(links)
-        if number + 1 == LEVELS:
-            break
-        large = shared.filter(F.col("size") > SMALL)
-        open_keys = staged(
-            large.join(labels, "node", "left")
-            .groupBy("key")
-            .agg(
-                F.min(F.coalesce("label", "node")).alias("low"),
-                F.max(F.coalesce("label", "node")).alias("high"),
-            )
-            .filter("low <> high")
-            .select("key"),
-            "open",
-        )
-        if open_keys.isEmpty():
+    level = keys.withColumn("label", F.col("node"))
+    shared = _shared(level)
+    tested = staged(_candidates(shared), "pairs")
+    links = staged(verified(tested, texts), "verified")
+    labels = components(links)
+    while True:
+        rows_open, keys_open = _open(shared, labels)
+        if keys_open.isEmpty():
             break
-        again = large.join(open_keys, "key").select("node", "place", "key")
-        later = keys.select("node", F.col("place").alias("later"), F.col("key").alias("with"), "n", "copies")
-        level = again.join(later, "node").filter("later > place").select(
-            "node", F.col("later").alias("place"), F.xxhash64("key", "with").alias("key"), "n", "copies"
-        )
+        late = staged(_outsiders(rows_open), "outsiders")
+        shared = _shared(_next_level(rows_open, keys))
+        pairs = late.unionByName(_candidates(shared)).distinct().join(tested, ["a", "b"], "left_anti")
+        pairs = staged(pairs, "pairs")
+        tested = tested.unionByName(pairs)
+        found = staged(verified(pairs, texts), "verified")
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            labels = components(links)
     degree = (
         links.select(F.explode(F.array("a", "b")).alias("node"))
         .groupBy("node")
