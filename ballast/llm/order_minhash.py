@@ -16,8 +16,10 @@ texts all pairs are candidates. In a larger one every text is compared with a hu
 text that shares most keys with others, so n texts cost n pairs. If that leaves up to
 ``SMALL`` of the key's texts outside its largest class, each of them is compared with all
 texts of the key that are not of its class, so at most ``SMALL`` pairs a text. If it leaves
-more, the key's texts meet again under that key joined with each later key, which only
-closer texts share, and so on until no key is open or no later key is left. Texts of one
+more, the key's texts meet again under that key joined with each of the next ``REACH``
+keys, which only closer texts share, and so on until no key is open or no later key is
+left. Similar texts share most keys, so some chain of keys nearly always leads to them;
+all later keys would lead there many times over. Texts of one
 class, and pairs that were compared before, are not compared again.
 
 Null and blank texts are one class of copies. A text of fewer than ``K`` words is one run.
@@ -46,6 +48,7 @@ LEAST = 0.8
 SKETCHES = 16
 PICKED = 2
 SMALL = 8
+REACH = 3
 
 _DRAW = np.random.default_rng(2019)
 _ODD = _DRAW.integers(0, 2**63, (SKETCHES, 1), dtype=np.int64).astype(np.uint64) * 2 + 1
@@ -258,12 +261,12 @@ def _outsiders(rows: DataFrame) -> DataFrame:
 
 
 def _next_level(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows of the open keys with many outsiders, once per later key of the text."""
+    """Rows of the open keys with many outsiders, once per key of the text that is next."""
     later = keys.select("node", F.col("place").alias("later"), F.col("key").alias("with"))
     return (
         rows.filter(F.col("outside") > SMALL)
         .join(later, "node")
-        .filter("later > place")
+        .filter((F.col("later") > F.col("place")) & (F.col("later") <= F.col("place") + REACH))
         .select(
             "node",
             F.col("later").alias("place"),
