@@ -12,15 +12,14 @@ that no alignment of the wanted similarity can leave. The similarity is the alig
 over all runs of either text, 0.8 or more. Links are closed to classes.
 
 Hot groups: exact copies are combined before anything else. In a key of up to ``SMALL``
-texts all pairs are candidates. In a larger one every text is compared with a hub, the
-text that shares most keys with others, so n texts cost n pairs. If that leaves up to
-``SMALL`` of the key's texts outside its largest class, each of them is compared with all
-texts of the key that are not of its class, so at most ``SMALL`` pairs a text. If it leaves
-more, the key's texts meet again under that key joined with each of the next ``REACH``
-keys, which only closer texts share, and so on until no key is open or no later key is
-left. Similar texts share most keys, so some chain of keys nearly always leads to them;
-all later keys would lead there many times over. Texts of one
-class, and pairs that were compared before, are not compared again.
+texts all pairs are candidates. In a larger one every text is first compared with a hub,
+the text that shares most keys with others, so n texts cost n pairs. Keys whose texts are
+not of one class then are open, and their texts are joined by rare runs, which misses no
+pair: similar texts share one of the rarest fifth, plus one, of the runs of either, and
+what follows that run must still hold all the runs the two have to share. Within a run,
+the texts outside its largest class are compared with all that this leaves. So of two
+similar texts with a key in common both are in one class at the end. Texts of one class,
+and pairs that were compared before, are not compared again.
 
 Null and blank texts are one class of copies. A text of fewer than ``K`` words is one run.
 Texts are compared by words; other white space does not count. Repeated rows are copies.
@@ -36,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ballast.functions.sizing import staged
@@ -48,7 +47,6 @@ LEAST = 0.8
 SKETCHES = 16
 PICKED = 2
 SMALL = 8
-REACH = 3
 
 _DRAW = np.random.default_rng(2019)
 _ODD = _DRAW.integers(0, 2**63, (SKETCHES, 1), dtype=np.int64).astype(np.uint64) * 2 + 1
@@ -229,10 +227,8 @@ def _shared(keyed: DataFrame) -> DataFrame:
     return staged(keyed.join(sizes, "key"), "shared")
 
 
-def _open(shared: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows of the large keys whose texts are still in different classes, with
-    ``outside``, the number of texts outside the key's largest class, and ``main``,
-    that class; and these keys alone."""
+def _open(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """Texts (node, n, label) of the large keys whose texts are still in different classes."""
     large = (
         shared.filter(F.col("size") > SMALL)
         .drop("size", "label")
@@ -240,42 +236,79 @@ def _open(shared: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
         .withColumn("label", F.coalesce("label", "node"))
     )
     rows = staged(large, "labelled")
-    keys = staged(
-        rows.groupBy("key", "label")
-        .agg(F.count("*").alias("size"))
-        .groupBy("key")
-        .agg(F.sum("size").alias("all"), F.max(F.struct("size", "label")).alias("most"))
-        .select("key", (F.col("all") - F.col("most.size")).alias("outside"), F.col("most.label").alias("main"))
-        .filter("outside > 0"),
-        "open",
+    keys = (
+        rows.groupBy("key")
+        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        .filter("low <> high")
+        .select("key")
     )
-    return rows.join(keys, "key"), keys
+    return staged(rows.join(staged(keys, "open"), "key").select("node", "n", "label").distinct(), "texts")
 
 
-def _outsiders(rows: DataFrame) -> DataFrame:
-    """Candidate pairs of the texts outside a key's largest class, where these are few,
-    with the key's others."""
-    few = rows.filter(F.col("outside") <= SMALL)
-    out = few.filter("label <> main").select("key", F.struct("node", "n", "label").alias("y"))
-    return _ordered(few.select("key", F.struct("node", "n", "label").alias("x")).join(out, "key")).distinct()
+def _runs(texts: DataFrame) -> DataFrame:
+    """node, run: the labelled runs of each text."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            runs = [labelled(ids).view(np.int64) for ids in _arrays(batch.column(1))]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.repeat(batch.column(0).to_numpy(), [len(r) for r in runs])),
+                    pa.array(np.concatenate(runs or [np.zeros(0, np.int64)])),
+                ],
+                ["node", "run"],
+            )
 
+    return texts.select("node", "ids").mapInArrow(task, "node bigint, run bigint")
 
-def _next_level(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows of the open keys with many outsiders, once per key of the text that is next."""
-    later = keys.select("node", F.col("place").alias("later"), F.col("key").alias("with"))
-    return (
-        rows.filter(F.col("outside") > SMALL)
-        .join(later, "node")
-        .filter((F.col("later") > F.col("place")) & (F.col("later") <= F.col("place") + REACH))
+
+def _reaches(n: Column, at: Column, total: Column) -> Column:
+    """Whether the runs from place ``at`` on are as many as two texts of ``total`` runs
+    have to share."""
+    return n - at + 1e-6 >= LEAST / (1 + LEAST) * total
+
+
+def _by_rare_runs(open_texts: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b, of different classes, among them all similar ones. The runs
+    of each text are put in one order, rarest first; ``at`` is a run's place in it. From
+    the first run that two texts share, all that they share is still to come in both."""
+    runs = staged(_runs(texts.join(open_texts, "node", "left_semi")), "runs")
+    # Runs of one text only come first and meet nothing, so they are only counted.
+    often = runs.groupBy("run").agg(F.count("*").alias("often")).filter("often > 1")
+    own = Window.partitionBy("node")
+    placed = (
+        runs.join(often, "run")
         .select(
             "node",
-            F.col("later").alias("place"),
-            F.xxhash64("key", "with").alias("key"),
-            "n",
-            "copies",
-            "label",
+            "run",
+            F.row_number().over(own.orderBy("often", "run")).alias("nth"),
+            F.count("*").over(own).alias("common"),
         )
+        .join(open_texts, "node")
+        .withColumn("at", (F.col("n") - F.col("common") + F.col("nth") - 1).cast("int"))
+    )
+    # The other text has LEAST of this one's runs at least.
+    rare = staged(
+        placed.filter(_reaches(F.col("n"), F.col("at"), (1 + LEAST) * F.col("n"))).select(
+            "run", F.struct("node", "n", "label", "at").alias("x")
+        ),
+        "rare",
     )
+    mains = staged(
+        rare.groupBy("run", F.col("x.label").alias("label"))
+        .agg(F.count("*").alias("size"))
+        .groupBy("run")
+        .agg(F.count("*").alias("labels"), F.max(F.struct("size", "label"))["label"].alias("main"))
+        .filter("labels > 1")
+        .select("run", "main"),
+        "mains",
+    )
+    out = rare.join(mains, "run").filter(F.col("x.label") != F.col("main")).select("run", F.col("x").alias("y"))
+    x, y = F.col("x"), F.col("y")
+    total = x["n"] + y["n"]
+    near = _reaches(x["n"], x["at"], total) & _reaches(y["n"], y["at"], total)
+    met = rare.join(out, (rare["run"] == out["run"]) & near & _plausible(x, y))
+    return _ordered(met.select("x", "y")).distinct()
 
 
 def verified(pairs: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFrame:
@@ -340,21 +373,14 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     """
     rows, texts = distinct_texts(docs, doc_id, text)
     keys = staged(sketches(texts), "keys")
-    level = keys.withColumn("label", F.col("node"))
-    shared = _shared(level)
+    shared = _shared(keys.withColumn("label", F.col("node")))
     tested = staged(_candidates(shared), "pairs")
     links = staged(verified(tested, texts), "verified")
     labels = components(links)
-    while True:
-        rows_open, keys_open = _open(shared, labels)
-        if keys_open.isEmpty():
-            break
-        late = staged(_outsiders(rows_open), "outsiders")
-        shared = _shared(_next_level(rows_open, keys))
-        pairs = late.unionByName(_candidates(shared)).distinct().join(tested, ["a", "b"], "left_anti")
-        pairs = staged(pairs, "pairs")
-        tested = tested.unionByName(pairs)
-        found = staged(verified(pairs, texts), "verified")
+    open_texts = _open(shared, labels)
+    if not open_texts.isEmpty():
+        pairs = _by_rare_runs(open_texts, texts).join(tested, ["a", "b"], "left_anti")
+        found = staged(verified(staged(pairs, "pairs"), texts), "verified")
         if not found.isEmpty():
             links = links.unionByName(found)
             labels = components(links)
