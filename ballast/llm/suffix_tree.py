@@ -2,16 +2,17 @@
 
 A text is the bytes of its words, lower-cased in A-Z and joined by single spaces,
 then an end symbol. The tree's nodes are contexts, strings of up to ``DEPTH`` bytes
-that come before a symbol. A context is a candidate if it stands before at least the
-share ``LEAST_SHARE`` of all symbols; it is kept if its next-symbol distribution diverges
-from that of its suffix one byte shorter by ``LEAST_GAIN`` or more (Kullback-Leibler
-divergence times its share, in nats a symbol), and so are the suffixes of what is kept.
-Distributions are smoothed towards the suffix's, down to the root's. Each symbol is
-scored in the state of its longest kept context.
-
-All training rows are counted: tasks count their own byte strings, Spark adds them up.
-By the share rule at most ``DEPTH / LEAST_SHARE`` contexts exist, which bounds what the
-driver collects and executors hold, whatever the corpus.
+that come before a symbol. A context is a candidate if it stands before ``LEAST_COUNT``
+symbols or more; it is kept if its next-symbol distribution diverges from that of its
+suffix one byte shorter by ``LEAST_NATS`` or more (Kullback-Leibler divergence times its
+count), and so are the suffixes of what is kept. Both are counts, so a larger corpus has
+more contexts. In a small corpus they are lowered to ``LEAST_SHARE`` of all symbols and
+``LEAST_GAIN`` nats a symbol. Distributions are smoothed towards the suffix's, down to the
+root's. Each symbol is scored by its longest kept context.
+
+All training rows are counted: tasks count their own byte strings, Spark adds them up,
+and tests contexts by joins with their suffixes. What is kept is collected and sent to the
+executors as sorted arrays, 16 bytes for each symbol seen after a kept context.
 
 The unigram figures beside it count words over all training rows. Frequent words, of
 which the share rule allows at most ``HOT_WORDS``, meet their counts by broadcast, the
@@ -30,13 +31,15 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ballast.functions.sizing import staged
 from ballast.llm.shared import whole, words
 
-DEPTH = 4
+DEPTH = 5
+LEAST_COUNT = 50
+LEAST_NATS = 2.0
 LEAST_SHARE = 1e-4
 LEAST_GAIN = 1e-6
 BACK_OFF = 4.0  # symbols' worth of the suffix's distribution mixed into a context's
@@ -114,121 +117,137 @@ def gram_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 @dataclass
-class Tree:
-    """Kept contexts as states, shorter ones first; state 0 is the root."""
+class Level:
+    """The kept contexts of one length, and the symbols seen after them, as sorted codes."""
 
-    depth: np.ndarray
     context: np.ndarray  # its bytes as a number, the last byte lowest
-    counts: list[tuple[np.ndarray, np.ndarray]]  # symbols and how often, by state
-
-    def tables(self) -> tuple[np.ndarray, np.ndarray]:
-        """Next state by (state, byte further back), -1 where none; log10
-        probability by (state, symbol)."""
-        size = len(self.depth)
-        find = {(int(d), int(c)): i for i, (d, c) in enumerate(zip(self.depth, self.context))}
-        child = np.full((size + 1, 256), -1, np.int32)
-        chance = np.zeros((size, 256))
-        for i in range(size):
-            d, c = int(self.depth[i]), int(self.context[i])
-            seen, n = self.counts[i]
-            if d == 0:
-                up, weight = np.full(256, 1 / 256), 1.0
-            else:
-                parent = find[d - 1, c & ((1 << 8 * (d - 1)) - 1)]
-                child[parent, c >> 8 * (d - 1)] = i
-                up, weight = chance[parent], BACK_OFF
-            chance[i] = weight * up
-            chance[i, seen] += n
-            chance[i] /= weight + n.sum()
-        return child, np.log10(chance)
+    unseen: np.ndarray  # log10 of what an unseen symbol's chance in the suffix is multiplied by
+    gram: np.ndarray  # context and symbol
+    chance: np.ndarray  # log10
+
+
+@dataclass
+class Tree:
+    root: np.ndarray  # log10 probability by symbol
+    levels: list[Level]  # by length, from 1
+
+
+def _find(codes: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the wanted codes are, and whether they are there."""
+    if not len(codes):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.searchsorted(codes, wanted).clip(max=len(codes) - 1)
+    return at, codes[at] == wanted
+
+
+def _suffix(context: Column, length: int) -> Column:
+    return context.bitwiseAND(F.lit((1 << 8 * length) - 1).cast("bigint"))
 
 
 def grow(grams: DataFrame) -> Tree:
     """Chooses contexts from ``gram_counts``; ``grams`` should be a stored table."""
-    root = [(r["symbol"], r["n"]) for r in grams.groupBy("symbol").agg(F.sum("n").alias("n")).collect()]
-    total = sum(n for _, n in root)
-    kinds = "int", "bigint", "int", "bigint"
-    empty = pd.DataFrame({k: [] for k in ("depth", "context", "symbol", "n")})
+    seen = grams.groupBy("symbol").agg(F.sum("n").alias("n")).collect()
+    total = sum(r["n"] for r in seen)
+    chance = np.full(256, 1 / 256)
+    for r in seen:
+        chance[r["symbol"]] += r["n"]
+    root = np.log10(chance / (1 + total))
     if not total:
-        return Tree(np.zeros(1, int), np.zeros(1, int), [(np.zeros(0, int), np.zeros(0, int))])
-    levels: DataFrame | None = None
-    for d in range(1, DEPTH + 1):
-        at = grams.groupBy(
-            F.lit(d).alias("depth"),
-            F.col("context").bitwiseAND((1 << 8 * d) - 1).alias("context"),
-            "symbol",
-        ).agg(F.sum("n").alias("n"))
-        often = (
-            at.groupBy("context")
-            .agg(F.sum("n").alias("total"))
-            .filter(F.col("total") >= LEAST_SHARE * total)
+        return Tree(root, [])
+    least = min(LEAST_COUNT, LEAST_SHARE * total)
+    gain = min(LEAST_NATS, LEAST_GAIN * total)
+    own = Window.partitionBy("context")
+    # Suffixes are at least as frequent, so those of candidates are among these.
+    levels = [
+        staged(
+            grams.groupBy(_suffix(F.col("context"), d).alias("context"), "symbol")
+            .agg(F.sum("n").alias("n"))
+            .withColumn("size", F.sum("n").over(own))
+            .filter(F.col("size") >= least),
+            "contexts",
+        )
+        for d in range(DEPTH + 1)
+    ]
+    below: DataFrame | None = None
+    kept = []
+    for d in range(DEPTH, 0, -1):
+        up = levels[d - 1].select(
+            F.col("context").alias("up"), "symbol", F.col("n").alias("up_n"), F.col("size").alias("up_size")
+        )
+        odds = F.log(F.col("n") / F.col("size") / (F.col("up_n") / F.col("up_size")))
+        keep = (
+            levels[d]
+            .withColumn("up", _suffix(F.col("context"), d - 1))
+            .join(up, ["up", "symbol"])
+            .groupBy("context")
+            .agg(F.sum(F.col("n") * odds).alias("gain"))
+            .filter(F.col("gain") >= gain)
             .select("context")
         )
-        at = at.join(F.broadcast(often), "context", "left_semi")
-        at = at.select(*[F.col(k).cast(t) for k, t in zip(empty.columns, kinds)])
-        levels = at if levels is None else levels.unionByName(at)
-    # Candidates only: at most DEPTH / LEAST_SHARE contexts.
-    found = levels.toPandas().sort_values(["depth", "context", "symbol"], ignore_index=True)
-    states = {(0, 0): (np.array([s for s, _ in root]), np.array([n for _, n in root]))}
-    for (d, c), rows in found.groupby(["depth", "context"], sort=True):
-        states[int(d), int(c)] = (rows["symbol"].to_numpy(), rows["n"].to_numpy())
-    kept = {(0, 0)}
-    for d, c in sorted(states, reverse=True):
-        if d == 0:
-            continue
-        up = (d - 1, c & ((1 << 8 * (d - 1)) - 1))
-        if (d, c) in kept or _gain(states[d, c], states[up], total) >= LEAST_GAIN:
-            kept |= {(d, c), up}
-    order = sorted(kept)
-    return Tree(
-        np.array([d for d, _ in order]), np.array([c for _, c in order]), [states[k] for k in order]
-    )
+        if below is not None:
+            keep = keep.unionByName(below.select(_suffix(F.col("context"), d).alias("context"))).distinct()
+        below = staged(keep, "kept")
+        kept.append(
+            levels[d]
+            .join(below, "context", "left_semi")
+            .select((F.shiftleft("context", 8) + F.col("symbol")).alias("gram"), "n", "size")
+        )
+    tree = Tree(root, [])
+    up_gram, up_chance = np.arange(256), 10.0**root
+    for d, rows in enumerate(reversed(kept), 1):
+        # As Arrow arrays; rows as objects would take many times the memory.
+        gram, n, size = (c.to_numpy() for c in rows.toArrow().columns)
+        order = np.argsort(gram)
+        gram, n, size = gram[order], n[order], size[order]
+        above = up_chance[np.searchsorted(up_gram, gram & ((1 << 8 * d) - 1))]
+        chance = (n + BACK_OFF * above) / (size + BACK_OFF)
+        context, first = np.unique(gram >> 8, return_index=True)
+        tree.levels.append(
+            Level(context, np.log10(BACK_OFF / (size[first] + BACK_OFF)), gram, np.log10(chance))
+        )
+        up_gram, up_chance = gram, chance
+    return tree
 
 
-def _gain(own: tuple, up: tuple, total: int) -> float:
-    """The context's share times its divergence from its suffix."""
-    n, m = own[1], dict(zip(up[0].tolist(), up[1].tolist()))
-    base = np.array([m[s] for s in own[0].tolist()]) / up[1].sum()
-    p = n / n.sum()
-    return float(n.sum() / total * (p * np.log(p / base)).sum())
+def gram_scores(tree: Tree, code: np.ndarray) -> np.ndarray:
+    """log10 probability of the symbol that ends each string of DEPTH + 1 bytes."""
+    out = tree.root[code & 255]
+    left = np.arange(len(code))
+    for d, level in enumerate(tree.levels, 1):
+        gram = code[left] & ((1 << 8 * (d + 1)) - 1)
+        at, there = _find(level.context, gram >> 8)
+        left, gram, at = left[there], gram[there], at[there]
+        place, known = _find(level.gram, gram)
+        out[left] += level.unseen[at]
+        out[left[known]] = level.chance[place[known]]
+    return out
 
 
-def log_scores(child: np.ndarray, log_chance: np.ndarray, texts: list[str]) -> np.ndarray:
+def log_scores(tree: Tree, texts: list[str]) -> np.ndarray:
     """log10 probability of each text."""
     out = []
     part, size = [], 0
-    nexts, chances = child.ravel(), log_chance.ravel()
     for i, t in enumerate(texts):
         part.append(t)
         size += len(t)
         if size < CHUNK // 4 and i < len(texts) - 1:
             continue
-        stream, starts = _streams(part)
-        total = len(stream) - DEPTH
-        state = np.zeros(total, np.int32)
-        longest = state
-        for d in range(1, DEPTH + 1):
-            # States are numbered by length, so the longest is the largest. A context
-            # that ended is -1, and stays that in the last row.
-            state = nexts.take((state << 8) + stream[DEPTH - d : DEPTH - d + total])
-            longest = np.maximum(longest, state)
-        each = chances.take((longest << 8) + stream[DEPTH:])
-        each[_unreal(starts)] = 0
-        out.append(np.add.reduceat(each, starts))
+        _, starts = _streams(part)
+        code, back = np.unique(_codes(part), return_inverse=True)
+        # Without the leading ends of the texts before.
+        out.append(np.add.reduceat(gram_scores(tree, code)[back], starts - DEPTH * np.arange(len(part))))
         part, size = [], 0
     return np.concatenate(out) if out else np.zeros(0)
 
 
 def model_score(docs: DataFrame, tree: Tree, text: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with the log10 probability of each text."""
-    # Bounded by the share rule, see above.
     shared = docs.sparkSession.sparkContext.broadcast(tree)
 
     @F.pandas_udf("double")
     def judged(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        child, log_chance = shared.value.tables()
         for batch in batches:
-            yield pd.Series(log_scores(child, log_chance, batch.tolist()), dtype="float64")
+            yield pd.Series(log_scores(shared.value, batch.tolist()), dtype="float64")
 
     return docs.withColumn(out, judged(whole(F.col(text))))
 

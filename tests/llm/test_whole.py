@@ -4,8 +4,9 @@ import random
 
 import numpy as np
 import plain
+from pyspark.sql import functions as F
 
-from ballast.llm import order_minhash
+from ballast.llm import order_minhash, suffix_tree
 
 
 def overlapping(seed: int, n: int, size: int, width: int) -> list[tuple]:
@@ -45,3 +46,12 @@ def test_overlapping_large_groups_have_the_classes_of_all_pairs(spark, tmp_path)
     got = order_minhash.classes(spark.read.parquet(f"{tmp_path}/d")).collect()
     want = all_pairs(rows)
     assert {r.doc_id: r.class_id for r in got} == want and len(set(want.values())) < len(rows)
+
+
+def test_contexts_seen_often_are_kept_in_a_corpus_of_any_size(spark, tmp_path):
+    draw = random.Random(1)
+    rows = [(i, " ".join(draw.choice("abcdefgh") for _ in range(5000))) for i in range(200)]
+    rows += [(1000 + i, "qzx7" if i % 2 else "kzx3") for i in range(200)]  # each 1/20,000 of all symbols
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/d")
+    got = suffix_tree.scores(spark.read.parquet(f"{tmp_path}/d"), F.lit(False)).collect()
+    assert min(r.score for r in got if r.doc_id >= 1000) > np.log10(0.2)
