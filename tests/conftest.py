@@ -2,8 +2,6 @@ from __future__ import annotations
 
 import os
 import sys
-from datetime import datetime
-from decimal import Decimal
 
 import pytest
 from pyspark.sql import DataFrame, SparkSession
@@ -13,10 +11,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from ballast.schemas import TABLES  # noqa: E402
 from ballast.session import tune  # noqa: E402
 
-AS_OF = "2024-02-01 00:00:00"
-OPEN = datetime(1900, 1, 1)
-THEN = datetime(2024, 1, 1)
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -42,11 +36,3 @@ def table(spark):
         return spark.createDataFrame(rows, TABLES[name])
 
     return make
-
-
-def dec(value) -> Decimal:
-    return Decimal(str(value)).quantize(Decimal("0.000001"))
-
-
-def rows_of(df: DataFrame, *columns: str) -> list[tuple]:
-    return sorted((tuple(r) for r in df.select(*columns or df.columns).collect()), key=repr)

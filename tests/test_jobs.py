@@ -1,7 +1,7 @@
 """The whole cycle on stored tables: generate, rebalance, close, trade again."""
 
 import pytest
-from conftest import THEN, rows_of
+from portfolio import THEN, rows_of
 from pyspark.sql import functions as F
 
 from ballast.operators import quality

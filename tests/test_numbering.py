@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import rows_of
+from portfolio import rows_of
 
 from ballast.functions.numbering import number_by_id, number_by_pair
 from ballast.operators import shaping

@@ -2,7 +2,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import dec, rows_of
+from portfolio import dec, rows_of
 
 from ballast.functions.tickfold import next_price
 from ballast.operators import prices

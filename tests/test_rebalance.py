@@ -1,7 +1,7 @@
 """Hand-made accounts, each with a result worked out by hand."""
 
 import pytest
-from conftest import AS_OF, OPEN, THEN, dec, rows_of
+from portfolio import AS_OF, OPEN, THEN, dec, rows_of
 
 from ballast.plans.rebalance import Portfolio, Rebalance
 

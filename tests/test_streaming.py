@@ -2,7 +2,7 @@
 
 from datetime import timedelta
 
-from conftest import THEN, dec, rows_of
+from portfolio import THEN, dec, rows_of
 
 from ballast.operators import prices
 from ballast.schemas import TABLES

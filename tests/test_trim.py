@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import dec, rows_of
+from portfolio import dec, rows_of
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

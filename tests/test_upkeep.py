@@ -3,7 +3,7 @@
 from datetime import datetime
 
 import pytest
-from conftest import AS_OF, OPEN, THEN, dec, rows_of
+from portfolio import AS_OF, OPEN, THEN, dec, rows_of
 from pyspark.sql import functions as F
 
 from ballast.operators import archive, cash, funds, quality
