@@ -101,9 +101,29 @@ SELECT page_id, j.host AS host, path, rule, coalesce(own, CASE WHEN
 FROM j LEFT JOIN t_{n} ON j.host = t_{n}.host LEFT JOIN u_{n} ON j.host = u_{n}.host"""
 
 
+NEGATIVES = """
+WITH v AS MATERIALIZED (SELECT vec_id,
+    CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS comps
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, r.vec_id AS vec_id, a.label = r.label AS same,
+    list_sum(list_transform(range(1, len(a.comps) + 1), lambda i: a.comps[i] * r.comps[i]))::BIGINT AS score
+  FROM v a, v r WHERE a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+    row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS n FROM s WHERE same),
+f AS (SELECT p.anchor_id AS anchor_id, positive_id, positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, n ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same
+    AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score
+  WHERE n <= 5)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM f WHERE rank <= 5"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_secret_ledger": _secrets(),
         "op4_host_trust": _hosts(),
         "op5_block_naming": COPIES,
+        "op13_rns_negatives": NEGATIVES,
     }

@@ -18,7 +18,9 @@ from ballast.llm import (
     packing,
     pfair,
     pu_quality,
+    rns_negatives,
     secret_ledger,
+    subword_toxicity,
     suffix_tree,
     target_ratio,
 )
@@ -114,6 +116,28 @@ def op10_pu_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_subword_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    held_out = id_bucket(F.col("doc_id"), 3) == 1
+    model = subword_toxicity.fit(docs, _table(spark, folder, "labels"), ~held_out)
+    return subword_toxicity.score(docs, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= subword_toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op13_rns_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings").withColumn(
+        "label",
+        F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")),
+    )
+    return rns_negatives.mine(vectors, F.col("vec_id") % 100 == 0).select(
+        "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"
+    )
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -134,6 +158,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_pfair_mixture,
             op9_suffix_tree,
             op10_pu_quality,
+            op12_subword_toxicity,
+            op13_rns_negatives,
             pipeline,
         )
     }
