@@ -101,6 +101,38 @@ SELECT page_id, j.host AS host, path, rule, coalesce(own, CASE WHEN
 FROM j LEFT JOIN t_{n} ON j.host = t_{n}.host LEFT JOIN u_{n} ON j.host = u_{n}.host"""
 
 
+TRIE = r"""
+WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x, turn,
+    sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS name
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT c, list({'name': name, 'words': len(list_filter(
+      string_split_regex(x, '[\x20\x09-\x0D]+'), lambda w: w <> ''))} ORDER BY turn NULLS FIRST, name[:32]) AS turns,
+    xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+      list_transform(string_split(c::VARCHAR, ''), lambda y: ord(y)::BIGINT)),
+      lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)),
+        lambda z, k: xor(z >> 1, 3988292384 * (z & 1))))) % 4 AS h
+  FROM t GROUP BY c),
+seqs AS MATERIALIZED (SELECT o.c AS c, coalesce(b.turns[:o.h], []) || o.turns[o.h + 1:] AS turns
+  FROM own o LEFT JOIN own b ON b.c = o.c - o.c % 20),
+each AS (SELECT c, unnest(range(0, len(turns) + 1)) AS depth, turns,
+    list_transform(turns, lambda y: y.name) AS names FROM seqs),
+nodes AS MATERIALIZED (SELECT array_to_string(names[:depth], '') AS id, depth,
+    array_to_string(any_value(names)[:depth - 1], '') AS up, any_value(names)[:depth] AS names,
+    min(c) AS conv_id, count(*) AS n_convs,
+    CASE WHEN depth = 0 THEN 0 ELSE any_value(turns)[depth].words END AS words,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (len(turns) = depth), '')) AS ends_sha256
+  FROM each GROUP BY id, depth),
+kids AS (SELECT up, depth - 1 AS depth, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+leaves AS (SELECT n.*, coalesce(k.n, 0) AS n_children FROM nodes n LEFT JOIN kids k ON k.up = n.id AND k.depth = n.depth),
+below AS (SELECT array_to_string(names[:a], '') AS id, a AS depth, count(*) FILTER (n_children = 0) AS n_leaves,
+    sum((n_convs - 1) * words)::BIGINT AS saved_tokens
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS a FROM leaves) GROUP BY ALL)
+SELECT l.conv_id AS conv_id, l.depth AS depth, p.conv_id AS parent_conv_id, l.n_convs AS n_convs, n_children,
+  n_leaves, saved_tokens, l.ends_sha256 AS ends_sha256
+FROM leaves l JOIN below b ON b.id = l.id AND b.depth = l.depth
+LEFT JOIN nodes p ON p.id = l.up AND p.depth = l.depth - 1"""
+
+
 NEGATIVES = """
 WITH v AS MATERIALIZED (SELECT vec_id,
     CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
@@ -125,5 +157,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_secret_ledger": _secrets(),
         "op4_host_trust": _hosts(),
         "op5_block_naming": COPIES,
+        "op11_prefix_trie": TRIE,
         "op13_rns_negatives": NEGATIVES,
     }

@@ -17,6 +17,7 @@ from ballast.llm import (
     order_minhash,
     packing,
     pfair,
+    prefix_trie,
     pu_quality,
     rns_negatives,
     secret_ledger,
@@ -116,6 +117,12 @@ def op10_pu_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    found = prefix_trie.sequences(_table(spark, folder, "conversations"))
+    head = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4).cast("int")
+    return prefix_trie.nodes(prefix_trie.spliced(found, 20, 3, head))
+
+
 def op12_subword_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     held_out = id_bucket(F.col("doc_id"), 3) == 1
@@ -158,6 +165,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_pfair_mixture,
             op9_suffix_tree,
             op10_pu_quality,
+            op11_prefix_trie,
             op12_subword_toxicity,
             op13_rns_negatives,
             pipeline,
