@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ballast.llm.shared import free_name, whole
+from ballast.llm.shared import free_name, give_back, whole
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -33,7 +33,7 @@ PER_LANGUAGE = 600
 EPOCHS = 24
 UNKNOWN = "und"
 CHUNK = 256  # windows at a time
-TEXTS = 500  # texts at a time
+TEXTS = 100  # texts at a time
 
 
 @dataclass
@@ -216,15 +216,18 @@ def predict(
 
     @F.pandas_udf("struct<lang:string,score:double>")
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            langs = np.full(len(batch), UNKNOWN, object)
-            scores = np.zeros(len(batch))
-            texts = np.flatnonzero(batch.notna())
-            for begin in range(0, len(texts), TEXTS):
-                some = texts[begin : begin + TEXTS]
-                best, scores[some] = predict_texts(net, batch.iloc[some].tolist())
-                langs[some] = np.array(net.languages, object)[best]
-            yield pd.DataFrame({"lang": langs, "score": scores})
+        try:
+            for batch in batches:
+                langs = np.full(len(batch), UNKNOWN, object)
+                scores = np.zeros(len(batch))
+                texts = np.flatnonzero(batch.notna())
+                for begin in range(0, len(texts), TEXTS):
+                    some = texts[begin : begin + TEXTS]
+                    best, scores[some] = predict_texts(net, batch.iloc[some].tolist())
+                    langs[some] = np.array(net.languages, object)[best]
+                yield pd.DataFrame({"lang": langs, "score": scores})
+        finally:
+            give_back()
 
     # Texts without a letter reach Python as nulls.
     lettered = F.when(F.col(text).rlike(r"\p{L}"), whole(F.col(text)))

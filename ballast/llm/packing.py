@@ -31,6 +31,8 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from ballast.llm.shared import tidy
+
 WINDOW = 2048
 END_ID = 1
 MAX_OPEN = 8192
@@ -51,6 +53,12 @@ def _shown() -> dict[int, str]:
 SHOWN = _shown()
 
 
+def prepared(text: str) -> str:
+    """What the tokenizer makes of letters before it cuts them into pieces."""
+    text = normalize("NFC", text)
+    return text if text.islower() else "".join([c.lower() for c in text])
+
+
 class Words(dict):
     """Ids of whole texts, from the ids of their words: the tokenizer never joins
     across a blank. Maps each word seen to its ids as bytes."""
@@ -72,7 +80,7 @@ class Words(dict):
     def __missing__(self, word: str) -> bytes:
         if word.isascii() and word != word.lower():
             ids = self[word.lower()]  # the tokenizer knows lower case only
-        elif len(word) > 1 and word[-1] in ",." and word[-2].isalnum():
+        elif len(word) > 1 and word[-1] in ",." and prepared(word[-2]).isalnum():
             ids = self[word[:-1]] + self[word[-1]]  # no token holds both
         else:
             ids = self.of_letters(word) if self.lettered and word.isalpha() else None
@@ -87,11 +95,9 @@ class Words(dict):
         to run; none if lower-casing brings in something else."""
         plain = word
         if not word.isascii():
-            plain = normalize("NFC", word)
-            if not plain.islower():
-                plain = "".join([c.lower() for c in plain])
-                if not plain.isalpha():
-                    return None
+            plain = prepared(word)
+            if not plain.isalpha():
+                return None  # a mark came in, which is a piece for itself
             plain = plain.encode().decode("latin1").translate(SHOWN)
         return np.asarray([t.id for t in self.model.tokenize(plain)], "<u4").tobytes()
 
@@ -280,10 +286,11 @@ def pack(
                                 close(pieces)
                     if held > OUT_BYTES:
                         yield written()
+        words.clear()
         for pieces in levels.flush():
             close(pieces)
             if held > OUT_BYTES:
                 yield written()
         yield written()
 
-    return source.mapInArrow(task, schema)
+    return source.mapInArrow(tidy(task), schema)
