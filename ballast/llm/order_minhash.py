@@ -38,15 +38,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ballast.functions.sizing import staged
+from ballast.functions.sizing import sized_broadcast, staged
 from ballast.llm.block_naming import normalised
-from ballast.llm.shared import free_name, words
+from ballast.llm.shared import free_name, tidy, words
 
 K = 5
 LEAST = 0.8
 SKETCHES = 16
 PICKED = 2
 SMALL = 8
+# Numbers of texts, 8 bytes each, that are broadcast at most: some 50 MB as a hash table.
+FEW_NODES = 1_000_000
 
 _DRAW = np.random.default_rng(2019)
 _ODD = _DRAW.integers(0, 2**63, (SKETCHES, 1), dtype=np.int64).astype(np.uint64) * 2 + 1
@@ -173,7 +175,7 @@ def sketches(texts: DataFrame) -> DataFrame:
             )
 
     return texts.select("node", "copies", "ids").mapInArrow(
-        task, "node bigint, place int, key bigint, n int, copies bigint"
+        tidy(task), "node bigint, place int, key bigint, n int, copies bigint"
     )
 
 
@@ -246,7 +248,7 @@ def _open(shared: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _runs(texts: DataFrame) -> DataFrame:
-    """node, run: the labelled runs of each text."""
+    """node, run, place: the labelled runs of each text in text order."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -255,11 +257,12 @@ def _runs(texts: DataFrame) -> DataFrame:
                 [
                     pa.array(np.repeat(batch.column(0).to_numpy(), [len(r) for r in runs])),
                     pa.array(np.concatenate(runs or [np.zeros(0, np.int64)])),
+                    pa.array(np.concatenate([np.arange(len(r), dtype=np.int32) for r in runs] or [np.zeros(0, np.int32)])),
                 ],
-                ["node", "run"],
+                ["node", "run", "place"],
             )
 
-    return texts.select("node", "ids").mapInArrow(task, "node bigint, run bigint")
+    return texts.select("node", "ids").mapInArrow(tidy(task), "node bigint, run bigint, place int")
 
 
 def _reaches(n: Column, at: Column, total: Column) -> Column:
@@ -271,8 +274,9 @@ def _reaches(n: Column, at: Column, total: Column) -> Column:
 def _by_rare_runs(open_texts: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs (a, b), a < b, of different classes, among them all similar ones. The runs
     of each text are put in one order, rarest first; ``at`` is a run's place in it. From
-    the first run that two texts share, all that they share is still to come in both."""
-    runs = staged(_runs(texts.join(open_texts, "node", "left_semi")), "runs")
+    the first run that an alignment of two texts has, all that it has is still to come in
+    both; and that run lies within the band, as all aligned runs do."""
+    runs = staged(_runs(texts.join(_few(open_texts.select("node")), "node", "left_semi")), "runs")
     # Runs of one text only come first and meet nothing, so they are only counted.
     often = runs.groupBy("run").agg(F.count("*").alias("often")).filter("often > 1")
     own = Window.partitionBy("node")
@@ -281,6 +285,7 @@ def _by_rare_runs(open_texts: DataFrame, texts: DataFrame) -> DataFrame:
         .select(
             "node",
             "run",
+            "place",
             F.row_number().over(own.orderBy("often", "run")).alias("nth"),
             F.count("*").over(own).alias("common"),
         )
@@ -290,7 +295,7 @@ def _by_rare_runs(open_texts: DataFrame, texts: DataFrame) -> DataFrame:
     # The other text has LEAST of this one's runs at least.
     rare = staged(
         placed.filter(_reaches(F.col("n"), F.col("at"), (1 + LEAST) * F.col("n"))).select(
-            "run", F.struct("node", "n", "label", "at").alias("x")
+            "run", F.struct("node", "n", "label", "at", "place").alias("x")
         ),
         "rare",
     )
@@ -306,11 +311,22 @@ def _by_rare_runs(open_texts: DataFrame, texts: DataFrame) -> DataFrame:
     out = rare.join(mains, "run").filter(F.col("x.label") != F.col("main")).select("run", F.col("x").alias("y"))
     x, y = F.col("x"), F.col("y")
     total = x["n"] + y["n"]
-    near = _reaches(x["n"], x["at"], total) & _reaches(y["n"], y["at"], total)
+    band = F.greatest(x["n"], y["n"]) - LEAST / (1 + LEAST) * total + 1e-6
+    near = (
+        _reaches(x["n"], x["at"], total)
+        & _reaches(y["n"], y["at"], total)
+        & (F.abs(x["place"] - y["place"]) <= band)
+    )
     met = rare.join(out, (rare["run"] == out["run"]) & near & _plausible(x, y))
     return _ordered(met.select("x", "y")).distinct()
 
 
+def _few(nodes: DataFrame) -> DataFrame:
+    """Numbers of texts, broadcast up to ``FEW_NODES``, so that the texts themselves
+    need not be shuffled to pick some; beyond that both sides are."""
+    return sized_broadcast(nodes, FEW_NODES)
+
+
 def verified(pairs: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFrame:
     """The pairs whose alignment reaches ``least``, with ``similarity``."""
 
@@ -326,12 +342,12 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFr
             )
             yield out.filter(pa.array([s >= least for s in scores], pa.bool_()))
 
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = texts.join(wanted, "node", "left_semi")
+    wanted = staged(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
+    texts = texts.join(_few(wanted), "node", "left_semi")
     first = texts.select(F.col("node").alias("a"), F.col("ids").alias("x"))
     second = texts.select(F.col("node").alias("b"), F.col("ids").alias("y"))
     both = pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y")
-    return both.mapInArrow(task, "a bigint, b bigint, similarity double")
+    return both.mapInArrow(tidy(task), "a bigint, b bigint, similarity double")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -365,11 +381,9 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """A row per row of ``docs``: row_id, doc_id, class_id, n_links, class_size, kept.
+    """A row per row of ``docs``: row_id, doc_id, class_id, class_size, kept.
 
-    ``class_id`` is the smallest id of the class, whose first row is kept. ``n_links``
-    counts the verified links of the row's text to different texts; texts that other
-    links have brought into one class are not compared for it.
+    ``class_id`` is the smallest id of the class, whose first row is kept.
     """
     rows, texts = distinct_texts(docs, doc_id, text)
     keys = staged(sketches(texts), "keys")
@@ -382,17 +396,10 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
         pairs = _by_rare_runs(open_texts, texts).join(tested, ["a", "b"], "left_anti")
         found = staged(verified(staged(pairs, "pairs"), texts), "verified")
         if not found.isEmpty():
-            links = links.unionByName(found)
-            labels = components(links)
-    degree = (
-        links.select(F.explode(F.array("a", "b")).alias("node"))
-        .groupBy("node")
-        .agg(F.count("*").alias("n_links"))
-    )
+            labels = components(links.unionByName(found))
     named = (
         texts.drop("ids")
         .join(labels, "node", "left")
-        .join(degree, "node", "left")
         .withColumn("label", F.coalesce("label", "node"))
     )
     heads = named.groupBy("label").agg(
@@ -404,13 +411,12 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
             "mark",
             F.col("k.id").alias("class_id"),
             F.col("k.node").alias("kept_row"),
-            F.coalesce("n_links", F.lit(0)).alias("n_links"),
             "class_size",
         ),
         "classes",
     )
     return rows.join(known, "mark").select(
-        "row_id", "doc_id", "class_id", "n_links", "class_size", (F.col("kept_row") == F.col("row_id")).alias("kept")
+        "row_id", "doc_id", "class_id", "class_size", (F.col("kept_row") == F.col("row_id")).alias("kept")
     )
 
 
