@@ -5,18 +5,19 @@ then an end symbol. The tree's nodes are contexts, strings of up to ``DEPTH`` by
 that come before a symbol. A context is a candidate if it stands before ``LEAST_COUNT``
 symbols or more; it is kept if its next-symbol distribution diverges from that of its
 suffix one byte shorter by ``LEAST_NATS`` or more (Kullback-Leibler divergence times its
-count), and so are the suffixes of what is kept. Both are counts, so a larger corpus has
-more contexts. In a small corpus they are lowered to ``LEAST_SHARE`` of all symbols and
-``LEAST_GAIN`` nats a symbol. Distributions are smoothed towards the suffix's, down to the
-root's. Each symbol is scored by its longest kept context.
+count), and so are the suffixes of what is kept. Both are fixed counts, the same in a
+corpus of any size, so a larger corpus has more contexts. Distributions are smoothed
+towards the suffix's, down to the root's. Each symbol is scored by its longest kept
+context.
 
 All training rows are counted: tasks count their own byte strings, Spark adds them up,
 and tests contexts by joins with their suffixes. What is kept is collected and sent to the
 executors as sorted arrays, 16 bytes for each symbol seen after a kept context.
 
-The unigram figures beside it count words over all training rows. Frequent words, of
-which the share rule allows at most ``HOT_WORDS``, meet their counts by broadcast, the
-others by a shuffle in which none of them is hot.
+The unigram figures beside it count words over all training rows. Words with at least a
+``HOT_WORDS``-th of all tokens, so at most that many, go to the tasks, which sum them up
+in the same pass over the texts; the others meet their counts in a shuffle in which none
+of them is hot.
 
 A null text is empty: one end symbol, one token. Repeated rows are counted and scored
 each for itself; rows are told apart by their place in the scan, so ``docs`` is a stored
@@ -29,19 +30,17 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ballast.functions.sizing import staged
-from ballast.llm.shared import whole, words
+from ballast.llm.shared import tidy, whole, words
 
 DEPTH = 5
 LEAST_COUNT = 50
 LEAST_NATS = 2.0
-LEAST_SHARE = 1e-4
-LEAST_GAIN = 1e-6
 BACK_OFF = 4.0  # symbols' worth of the suffix's distribution mixed into a context's
 END = 10  # a byte that no word holds; also what stands before a text
 HOT_WORDS = 200_000
@@ -104,7 +103,7 @@ def gram_counts(docs: DataFrame, text: str = "text") -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], ["gram", "n"])
                     part, size = [], 0
 
-    counted = docs.select(whole(F.col(text)).alias("text")).mapInArrow(task, "gram bigint, n bigint")
+    counted = docs.select(whole(F.col(text)).alias("text")).mapInArrow(tidy(task), "gram bigint, n bigint")
     return (
         counted.groupBy("gram")
         .agg(F.sum("n").alias("n"))
@@ -154,8 +153,6 @@ def grow(grams: DataFrame) -> Tree:
     root = np.log10(chance / (1 + total))
     if not total:
         return Tree(root, [])
-    least = min(LEAST_COUNT, LEAST_SHARE * total)
-    gain = min(LEAST_NATS, LEAST_GAIN * total)
     own = Window.partitionBy("context")
     # Suffixes are at least as frequent, so those of candidates are among these.
     levels = [
@@ -163,7 +160,7 @@ def grow(grams: DataFrame) -> Tree:
             grams.groupBy(_suffix(F.col("context"), d).alias("context"), "symbol")
             .agg(F.sum("n").alias("n"))
             .withColumn("size", F.sum("n").over(own))
-            .filter(F.col("size") >= least),
+            .filter(F.col("size") >= LEAST_COUNT),
             "contexts",
         )
         for d in range(DEPTH + 1)
@@ -181,7 +178,7 @@ def grow(grams: DataFrame) -> Tree:
             .join(up, ["up", "symbol"])
             .groupBy("context")
             .agg(F.sum(F.col("n") * odds).alias("gain"))
-            .filter(F.col("gain") >= gain)
+            .filter(F.col("gain") >= LEAST_NATS)
             .select("context")
         )
         if below is not None:
@@ -240,18 +237,6 @@ def log_scores(tree: Tree, texts: list[str]) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0)
 
 
-def model_score(docs: DataFrame, tree: Tree, text: str = "text", out: str = "score") -> DataFrame:
-    """``docs`` with the log10 probability of each text."""
-    shared = docs.sparkSession.sparkContext.broadcast(tree)
-
-    @F.pandas_udf("double")
-    def judged(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series(log_scores(shared.value, batch.tolist()), dtype="float64")
-
-    return docs.withColumn(out, judged(whole(F.col(text))))
-
-
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return (
         docs.select(F.explode(words(F.col(text))).alias("word"))
@@ -260,41 +245,67 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def unigram_scores(docs: DataFrame, train: Column, row_id: str, text: str = "text") -> DataFrame:
-    """Per row: n_tokens, n_known, train_tokens, base_score (see the contract)."""
-    counts = staged(word_counts(docs.filter(train), text), "words")
-    sums = counts.agg(F.sum("c").alias("c"), F.count("*").alias("v")).first()
-    ends = docs.filter(train).count()
-    n = (sums["c"] or 0) + ends
-    distinct = sums["v"] + (1 if ends else 0)
-    hot_at = n / HOT_WORDS
-    each = docs.select(
-        F.col(row_id).alias("row_id"), F.explode(words(F.col(text))).alias("word")
-    ).withColumn("word", lowered(F.col("word")))
-
-    def summed(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("row_id").agg(
-            F.count("*").alias("n"),
-            F.count_if(F.coalesce("c", F.lit(0)) > 0).alias("known"),
-            F.sum(F.log10(F.coalesce("c", F.lit(0)) + BASE_ADD)).alias("logs"),
-        )
+@dataclass
+class Frequent:
+    """Words met very often in training, and log10 of their counts plus ``BASE_ADD``."""
 
-    hot = F.broadcast(counts.filter(F.col("c") >= hot_at))
-    often = summed(each.join(hot, "word"))
-    rare = summed(each.join(hot, "word", "left_anti").join(counts, "word", "left"))
-    total = F.lit(float(np.log10(n + BASE_ADD * (distinct + 1))))
-    return (
-        docs.select(F.col(row_id).alias("row_id"))
-        .withColumns({"n": F.lit(1), "known": F.lit(int(ends > 0)), "logs": F.lit(float(np.log10(ends + BASE_ADD)))})
-        .unionByName(often)
-        .unionByName(rare)
-        .groupBy("row_id")
-        .agg(
-            F.sum("n").alias("n_tokens"),
-            F.sum("known").alias("n_known"),
-            F.lit(n).cast("bigint").alias("train_tokens"),
-            (F.sum("logs") - F.sum("n") * total).alias("base_score"),
-        )
+    words: pa.Array
+    logs: np.ndarray
+
+
+def frequent(counts: DataFrame, total: int) -> Frequent:
+    """Words with at least a ``HOT_WORDS``-th of all tokens, so at most that many."""
+    found = counts.filter(F.col("c") >= total / HOT_WORDS).toArrow()
+    logs = np.log10(found["c"].to_numpy().astype(float) + BASE_ADD)
+    return Frequent(found["word"].combine_chunks().cast(pa.binary()), logs)
+
+
+def _by_row(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return np.diff(np.concatenate([[0], np.cumsum(values)])[np.concatenate([[0], ends])])
+
+
+def _unigrams(often: Frequent, texts: list[str]) -> list[pa.Array]:
+    """Of each text: words, those of them that are frequent, the sum of their logs, and
+    the other words."""
+    split = [t.encode().translate(_DOWN).split() for t in texts]
+    ends = np.cumsum([len(w) for w in split])
+    flat = pa.array([w for some in split for w in some], pa.binary())
+    at = pc.index_in(flat, value_set=often.words)
+    rare = pc.is_null(at)
+    logs = np.concatenate([often.logs, [0.0]])[pc.fill_null(at, -1).to_numpy()]
+    hot = _by_row(~rare.to_numpy(zero_copy_only=False), ends)
+    sizes = _by_row(np.ones(len(flat), np.int64), ends)
+    offsets = np.concatenate([[0], np.cumsum(sizes - hot)]).astype(np.int32)
+    others = pa.ListArray.from_arrays(pa.array(offsets), flat.filter(rare).cast(pa.string()))
+    return [pa.array(sizes), pa.array(hot.astype(np.int64)), pa.array(_by_row(logs, ends)), others]
+
+
+def seen(rows: DataFrame, tree: Tree, often: Frequent) -> DataFrame:
+    """row_id, doc_id, held_out, score, and each text's words: n, known and logs of the
+    frequent ones, ``rare`` with the others. One pass over the texts."""
+    shared = rows.sparkSession.sparkContext.broadcast((tree, often))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree, often = shared.value
+        for batch in batches:
+            texts = batch["text"].to_pylist()
+            cuts = np.cumsum([len(t) for t in texts]) // (CHUNK // 4)
+            edges = [0, *(np.flatnonzero(np.diff(cuts)) + 1).tolist(), len(texts)]
+            for first, last in zip(edges[:-1], edges[1:]):
+                part = texts[first:last]
+                if part:
+                    kept = batch.slice(first, last - first)
+                    columns = [kept[c] for c in ("row_id", "doc_id", "held_out")]
+                    yield pa.RecordBatch.from_arrays(
+                        [*columns, pa.array(log_scores(tree, part)), *_unigrams(often, part)],
+                        ["row_id", "doc_id", "held_out", "score", "n", "known", "logs", "rare"],
+                    )
+
+    return rows.select("row_id", "doc_id", "held_out", whole(F.col("text")).alias("text")).mapInArrow(
+        tidy(task),
+        f"row_id bigint, doc_id {kind}, held_out boolean, score double, n bigint, known bigint, "
+        "logs double, rare array<string>",
     )
 
 
@@ -308,14 +319,34 @@ def scores(
         held_out.alias("held_out"),
         F.col(text).alias("text"),
     )
-    grams = staged(gram_counts(rows.filter("not held_out")), "grams")
+    train = rows.filter("not held_out")
+    grams = staged(gram_counts(train), "grams")
     tree = grow(grams)
-    base = unigram_scores(rows, ~F.col("held_out"), "row_id")
-    return (
-        model_score(rows, tree)
-        .drop("text")
-        .join(base, "row_id")
-        .select(
-            "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    counts = staged(word_counts(train), "words")
+    sums = counts.agg(F.sum("c").alias("c"), F.count("*").alias("v")).first()
+    ends = train.count()
+    total = (sums["c"] or 0) + ends
+    distinct = sums["v"] + (1 if ends else 0)
+    told = staged(seen(rows, tree, frequent(counts, total)), "seen")
+    rare = (
+        told.select("row_id", F.explode("rare").alias("word"))
+        .join(counts, "word", "left")
+        .groupBy("row_id")
+        .agg(
+            F.count("c").alias("rare_known"),
+            F.sum(F.log10(F.coalesce("c", F.lit(0)) + BASE_ADD)).alias("rare_logs"),
         )
     )
+    no_chance = F.lit(float(np.log10(total + BASE_ADD * (distinct + 1))))
+    logs = F.col("logs") + F.coalesce("rare_logs", F.lit(0.0)) + F.lit(float(np.log10(ends + BASE_ADD)))
+    known = F.col("known") + F.coalesce("rare_known", F.lit(0)) + F.lit(int(ends > 0))
+    tokens = F.col("n") + 1
+    return told.join(rare, "row_id", "left").select(
+        "doc_id",
+        "held_out",
+        tokens.alias("n_tokens"),
+        known.cast("bigint").alias("n_known"),
+        F.lit(total).cast("bigint").alias("train_tokens"),
+        (logs - tokens * no_chance).alias("base_score"),
+        "score",
+    )

@@ -117,7 +117,7 @@ def unigrams(rows: list[tuple]) -> dict:
     return out
 
 
-def suffix_scores(rows: list[tuple], depth: int, share: float, gain: float, back: float) -> dict:
+def suffix_scores(rows: list[tuple], depth: int, least: int, nats: float, back: float) -> dict:
     """doc_id -> log10 probability, by dictionaries of all contexts."""
     down = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -132,8 +132,7 @@ def suffix_scores(rows: list[tuple], depth: int, share: float, gain: float, back
             for i in range(depth, len(s)):
                 for d in range(depth + 1):
                     counts[s[i - d : i]][s[i]] += 1
-    total = sum(counts[b""].values())
-    often = {c for c, n in counts.items() if sum(n.values()) >= share * total}
+    often = {c for c, n in counts.items() if sum(n.values()) >= least}
     kept = {b""}
     for c in sorted(often, key=len, reverse=True):
         if not c:
@@ -141,7 +140,7 @@ def suffix_scores(rows: list[tuple], depth: int, share: float, gain: float, back
         n, up = counts[c], counts[c[1:]]
         size, up_size = sum(n.values()), sum(up.values())
         kl = sum(k / size * math.log(k / size / (up[s] / up_size)) for s, k in n.items())
-        if c in kept or size / total * kl >= gain:
+        if c in kept or size * kl >= nats:
             kept |= {c, c[1:]}
 
     cache = {}
