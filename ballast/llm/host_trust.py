@@ -6,19 +6,25 @@ number of pages. Hosts whose pages the rules allow are trusted seeds, hosts whos
 they block are blocked seeds, each with the share of its pages. Trust is a personalised
 PageRank from the trusted seeds along the edges; distrust one from the blocked seeds
 against them, so that who links to blocked hosts is distrusted. Seeds weigh the same
-in a table of any size. A host is blocked if distrust exceeds trust by ``MARGIN``.
+in a table of any size. A host is blocked if distrust makes up more than ``SHARE`` of its
+trust and distrust. Both shrink alike where mass is divided over many neighbours, so the
+share has no scale: it does not matter how many others link to a blocked host.
 
-Each step is a join and a sum, partly done before the shuffle; every ``CUT`` steps the
-ranks are written to the shared folder.
+What is still on its way after k steps is at most ``DAMPING`` ** k of the seeds' mass, so
+``STEPS`` follows from ``TOLERANCE``, for any graph. Trust and distrust are moved together,
+a join and a sum a step, partly done before the shuffle; every ``CUT`` steps the ranks are
+written to the shared folder. A host with at least a 2000th of all edges is a hub; its
+edges are dealt out under numbers, and its rank goes to each of them.
 
 A null url, or one without ``://``, has an empty host and path; no rule fits it, and as
-it has no edges it is allowed. A null html has no links. Repeated rows are judged alike
+it has no edges it is allowed. Of rules of equal length the first by name counts. A null html has no links. Repeated rows are judged alike
 and add weight. Without rules or pages nothing is blocked. Other columns do not
 interfere.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -26,12 +32,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ballast.functions.sizing import staged
-from ballast.llm.shared import whole
+from ballast.llm.shared import HOT_SHARE, whole
 
 DAMPING = 0.85
-STEPS = 8
-CUT = 4
-MARGIN = 0.05
+TOLERANCE = 1e-3
+STEPS = math.ceil(math.log(TOLERANCE) / math.log(DAMPING))
+CUT = 6
+SHARE = 0.5
+DIGITS = 9  # of the share, so that sums in another order give the same verdict
+HUB_EDGES = 1000  # of a hub, under one number
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINK = r"""(?i)href\s*=\s*["']?([a-z][a-z0-9+.-]*://[^"'\s<>]+)"""
 
@@ -116,22 +125,45 @@ def edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
 
 
 def spread(seeds: DataFrame, edges: DataFrame, steps: int = STEPS) -> DataFrame:
-    """Personalised PageRank: host, rank; ``seeds`` has host and seed, each host once.
-    What reaches a host without edges stays there."""
-    out = edges.groupBy("src").agg(F.sum("weight").alias("out"))
+    """Personalised PageRank, once for each ``side``: side, host, rank; ``seeds`` has
+    side, host and seed, each pair once; ``edges`` side, src, dst and weight. What reaches
+    a host without edges goes no further."""
+    out = staged(
+        edges.groupBy("side", "src").agg(F.sum("weight").alias("out"), F.count("*").alias("n")), "out"
+    )
+    total = out.agg(F.sum("n")).first()[0] or 0
+    # At most HOT_SHARE of them.
+    hubs = out.filter(F.col("n") >= max(HUB_EDGES, total / HOT_SHARE)).select(
+        "side", "src", F.ceil(F.col("n") / HUB_EDGES).cast("int").alias("numbers")
+    )
+    any_hub = not hubs.isEmpty()
     shares = staged(
-        edges.join(out, "src").select("src", "dst", (F.col("weight") / F.col("out")).alias("share")),
+        edges.join(out, ["side", "src"])
+        .join(F.broadcast(hubs), ["side", "src"], "left")
+        .select(
+            "side",
+            "src",
+            F.coalesce(F.pmod(F.xxhash64("dst"), F.col("numbers")), F.lit(0)).cast("int").alias("number"),
+            "dst",
+            (F.col("weight") / F.col("out")).alias("share"),
+        ),
         "shares",
     )
-    start = seeds.select("host", ((1 - DAMPING) * F.col("seed")).alias("rank"))
+    start = seeds.select("side", "host", ((1 - DAMPING) * F.col("seed")).alias("rank"))
     rank = start
     for step in range(1, steps + 1):
-        moved = (
-            rank.join(shares, rank.host == shares.src)
-            .groupBy(F.col("dst").alias("host"))
-            .agg((DAMPING * F.sum(F.col("rank") * F.col("share"))).alias("rank"))
+        dealt = rank.withColumnRenamed("host", "src")
+        if any_hub:
+            number = F.explode(F.sequence(F.lit(0), F.coalesce("numbers", F.lit(1)) - 1))
+            dealt = dealt.join(F.broadcast(hubs), ["side", "src"], "left").select(
+                "side", "src", "rank", number.alias("number")
+            )
+        else:
+            dealt = dealt.withColumn("number", F.lit(0))
+        moved = dealt.join(shares, ["side", "src", "number"]).select(
+            "side", F.col("dst").alias("host"), (DAMPING * F.col("rank") * F.col("share")).alias("rank")
         )
-        rank = start.unionByName(moved).groupBy("host").agg(F.sum("rank").alias("rank"))
+        rank = start.unionByName(moved).groupBy("side", "host").agg(F.sum("rank").alias("rank"))
         if step % CUT == 0 or step == steps:
             rank = staged(rank, "rank")
     return rank
@@ -158,18 +190,22 @@ def judge(
         "seeds",
     )
     along = staged(edges(pages, url, html), "edges")
-    against = along.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
-    trust = spread(shares.filter("good > 0").select("host", F.col("good").alias("seed")), along)
-    distrust = spread(shares.filter("bad > 0").select("host", F.col("bad").alias("seed")), against)
+    both = along.withColumn("side", F.lit("trust")).unionByName(
+        along.select(
+            F.col("dst").alias("src"), F.col("src").alias("dst"), "weight", F.lit("distrust").alias("side")
+        )
+    )
+    seeds = shares.select("host", F.expr("stack(2, 'trust', good, 'distrust', bad) as (side, seed)"))
+    ranks = spread(seeds.filter("seed > 0"), both)
     judged = staged(
         shares.select("host")
-        .join(trust.withColumnRenamed("rank", "trust"), "host", "left")
-        .join(distrust.withColumnRenamed("rank", "distrust"), "host", "left")
+        .join(ranks.groupBy("host").pivot("side", ["trust", "distrust"]).agg(F.sum("rank")), "host", "left")
         .na.fill(0.0, ["trust", "distrust"]),
         "judged",
     )
+    share = F.round(F.col("distrust") / (F.col("trust") + F.col("distrust")), DIGITS)
     # Both sides are stored or scanned, so Spark can split a host with very many pages.
-    by_host = F.when(F.col("distrust") - F.col("trust") > MARGIN, "block").otherwise("allow")
+    by_host = F.when((F.col("distrust") > 0) & (share > SHARE), "block").otherwise("allow")
     return parts.join(judged, "host", "left").select(
         "page_id",
         "host",

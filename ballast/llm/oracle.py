@@ -96,8 +96,9 @@ edges AS MATERIALIZED (SELECT src, dst, count(*)::DOUBLE AS weight FROM (SELECT
   WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY src, dst),
 {spread("t", "good", "src", "dst")},
 {spread("u", "bad", "dst", "src")}
-SELECT page_id, j.host AS host, path, rule, coalesce(own, CASE WHEN
-  coalesce(u_{n}.r, 0) - coalesce(t_{n}.r, 0) > {host_trust.MARGIN} THEN 'block' ELSE 'allow' END) AS verdict
+SELECT page_id, j.host AS host, path, rule, coalesce(own, CASE WHEN u_{n}.r > 0
+  AND round(u_{n}.r / (u_{n}.r + coalesce(t_{n}.r, 0)), {host_trust.DIGITS}) > {host_trust.SHARE}
+  THEN 'block' ELSE 'allow' END) AS verdict
 FROM j LEFT JOIN t_{n} ON j.host = t_{n}.host LEFT JOIN u_{n} ON j.host = u_{n}.host"""
 
 
