@@ -25,6 +25,7 @@ the block in which they begin. Other columns pass through ``mixed``.
 from __future__ import annotations
 
 import heapq
+import math
 from fractions import Fraction
 
 from pyspark.sql import DataFrame
@@ -42,8 +43,12 @@ OTHERS = "\x00others"
 
 def whole_slots(weights: dict[str, float], cycle: int = CYCLE) -> dict[str, int]:
     """Weights as slots of a cycle of at least ``cycle``: each source at least one, the
-    others by largest remainder, ties by name."""
+    others by largest remainder, ties by name. A weight that is null, not finite, or
+    not above zero is no weight: its source is left to the others' slot."""
+    weights = {k: w for k, w in weights.items() if w is not None and 0 < w < math.inf}
     names = sorted(weights)
+    if not names:
+        return {}
     cycle = max(cycle, 4 * len(names))
     total = sum(weights.values())
     exact = {k: Fraction(weights[k]) / Fraction(total) * (cycle - len(names)) for k in names}
@@ -126,8 +131,8 @@ def schedule(
     """A row per row of ``docs``: row_id, doc_id, source, n_chars, block, slot, release,
     deadline, begins. Sorting by (slot, begins, row_id) gives the mixture."""
     spark = docs.sparkSession
-    given = {r["source"]: r["weight"] for r in weights.collect()}
-    slots = whole_slots(given, cycle) if given else {}
+    slots = whole_slots({r["source"]: r["weight"] for r in weights.collect()}, cycle)
+    given = list(slots)
     names = F.broadcast(
         spark.createDataFrame([(k, k) for k in given], "source string, component string")
     )

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ballast.functions.sizing import staged
+from ballast.functions.sizing import sized_broadcast, staged
 from ballast.llm.shared import whole
 
 
@@ -122,14 +122,23 @@ def scan_unseen(
 ) -> DataFrame:
     """New ledger rows: a row per blob with a rule version that has not seen it.
 
-    Equal contents are combined before and after the one exchange of texts.
+    Equal contents are combined before and after the one exchange of texts. What the
+    ledger holds in full is taken off by ids before that; the ids are broadcast if they
+    are few enough, and meet the texts in a shuffle if not.
     """
-    blobs = (
-        versions.select(blob_id(F.col(content)).alias("blob_id"), whole(F.col(content)).alias("text"))
-        .groupBy("blob_id")
-        .agg(F.first("text").alias("text"))
-    )
     wanted = F.array(*[F.lit(r.name) for r in rules])
+    named = versions.select(blob_id(F.col(content)).alias("blob_id"), whole(F.col(content)).alias("text"))
+    if ledger is not None:
+        seen_all = (
+            ledger.select("blob_id", F.explode("rules").alias("rule"))
+            .filter(F.col("rule").isin([r.name for r in rules]))
+            .groupBy("blob_id")
+            .agg(F.count_distinct("rule").alias("n"))
+            .filter(F.col("n") == len(rules))
+            .select("blob_id")
+        )
+        named = named.join(sized_broadcast(staged(seen_all, "seen")), "blob_id", "left_anti")
+    blobs = named.groupBy("blob_id").agg(F.first("text").alias("text"))
     if ledger is None:
         todo = blobs.withColumn("todo", wanted)
     else:
@@ -162,10 +171,11 @@ def findings_by_path(
     """
     order = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.name), F.lit(i))])
     names = [r.name for r in rules]
+    # A ledger row that was appended twice counts once: the same finding of a blob is one.
     known = (
         ledger.filter(F.size("findings") > 0)
         .groupBy("blob_id")
-        .agg(F.flatten(F.collect_list("findings")).alias("findings"))
+        .agg(F.array_distinct(F.flatten(F.collect_set("findings"))).alias("findings"))
         .select(
             "blob_id",
             F.transform(

@@ -3,16 +3,22 @@
 Words and pairs of adjacent words are hashed into ``BUCKETS`` buckets. Counts over all
 trusted documents and over all documents give two multinomials, both smoothed by one.
 A document's ratio is the sum over its n-grams of the log of target over raw chance,
-divided by the number of n-grams. It is kept if the rules pass and the ratio reaches
-``THRESHOLD``; there is no randomness and no rank, so a document's verdict depends on
-the two corpora alone.
+divided by the number of n-grams. It is kept if the rules pass and the ratio reaches a
+threshold. That is taken from trusted documents that pass the rules and whose ids'
+checksums keep them out of the target counts: ``SPREAD`` times as far below the median of
+their ratios as the lowest hundredth (exact percentiles of ratios to four decimals). There
+is no randomness, so a document's verdict depends on the two corpora alone.
 
 The ratios of all ``BUCKETS`` buckets are one value that every task has. Everything else
-happens within the row, or in sums by bucket that are combined before their shuffle.
+happens within the row, or in sums by bucket that are combined before their shuffle; only
+trusted texts are joined, with ids that are broadcast up to ``FEW_IDS``. The number of
+buckets does not grow: in a very large corpus each holds many n-grams, and the ratio tells
+frequent n-grams apart, not rare ones.
 Windows of three words are compared by 64-bit hashes of their own.
 
 A null text has no words. Without words the ratio is 0. Without trusted documents all
-ratios are 0 and the rules decide. Repeated rows are judged each for itself; trusted ids
+ratios are 0 and the rules decide; without such that are kept out of the counts, the rules
+decide alone. Repeated rows are judged each for itself; trusted ids
 that are repeated, null or unknown change nothing. Other columns do not interfere, and
 are left out.
 """
@@ -22,12 +28,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ballast.functions.sizing import staged
-from ballast.llm.shared import whole, words
+from ballast.functions.sizing import sized_broadcast, staged
+from ballast.llm.shared import id_bucket, whole, words
 
 BUCKETS = 1 << 14
-# Nats per n-gram. Trusted text lies around 0, text of foreign n-grams well below.
-THRESHOLD = -0.5
+SPREAD = 2.0
+PARTS = 5  # one of so many trusted documents is kept out of the target counts
+FEW_IDS = 1_000_000  # ids that are broadcast at most, 8 bytes each
 LEAST_WORDS = 50
 # Fixed by the contract.
 SYMBOLS = "[#*$%&|<>]"
@@ -123,21 +130,25 @@ def rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     )
 
 
-def ratio_table(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """h, log_ratio for every bucket that occurs; ``trusted`` has the trusted ids."""
-    ids = trusted.select(F.col(doc_id).alias("id")).filter("id is not null").distinct()
-    # Both may be large, so they are always sorted and merged; no broadcast by chance.
-    marked = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(
-        ids.withColumn("target", F.lit(1)).hint("merge"), "id", "left"
-    )
-    counts = (
-        marked.select("target", words(F.col("text")).alias("w"))
+def _of(docs: DataFrame, ids: DataFrame, doc_id: str) -> DataFrame:
+    return docs.join(sized_broadcast(ids, FEW_IDS), docs[doc_id] == ids["id"], "left_semi")
+
+
+def _counts(docs: DataFrame, text: str, out: str) -> DataFrame:
+    return (
+        docs.select(words(F.col(text)).alias("w"))
         .withColumn("pair", pairs(F.col("w")))
-        .select("target", F.explode(buckets(F.col("w"), F.col("pair"))).alias("h"))
+        .select(F.explode(buckets(F.col("w"), F.col("pair"))).alias("h"))
         .groupBy("h")
-        .agg(F.count("*").alias("raw"), F.count("target").alias("good"))
+        .agg(F.count("*").alias(out))
     )
-    stored = staged(counts, "buckets")
+
+
+def ratio_table(docs: DataFrame, target: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """h, log_ratio for every bucket that occurs; ``target`` has the ids of the target."""
+    raw = _counts(docs, text, "raw")
+    good = _counts(_of(docs, target, doc_id), text, "good")
+    stored = staged(raw.join(good, "h", "left").na.fill(0, ["good"]), "buckets")
     sums = stored.agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).first()
     raw, good = sums["raw"] or 0, sums["good"] or 0
     ratio = F.log((F.col("good") + 1) / F.lit(float(good + BUCKETS))) - F.log(
@@ -146,19 +157,11 @@ def ratio_table(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str) ->
     return stored.select("h", (ratio if good else F.lit(0.0)).alias("log_ratio"))
 
 
-def judge(
-    docs: DataFrame,
-    trusted: DataFrame,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    threshold: float = THRESHOLD,
-) -> DataFrame:
-    """A row per row of ``docs``: doc_id, the rules' figures, ratio, kept."""
-    table = ratio_table(docs, trusted, doc_id, text)
+def ratios(docs: DataFrame, table: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The rules' figures and the ratio of every row."""
     # The ratios of all buckets in their order, one value of bounded size for all rows.
-    spark = docs.sparkSession
-    every = spark.range(BUCKETS).select(F.col("id").cast("int").alias("h"))
-    ratios = (
+    every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("h"))
+    known = (
         every.join(F.broadcast(table), "h", "left")
         .agg(F.sort_array(F.collect_list(F.struct("h", F.coalesce("log_ratio", F.lit(0.0)).alias("r")))).alias("all"))
         .select(F.col("all.r"))
@@ -168,13 +171,44 @@ def judge(
         "hashed", F.lit(0.0), lambda s, h: s + F.element_at("ratios", h + 1)
     )
     n = F.size("hashed")
-    scored = (
+    return (
         rules(docs, doc_id, text)
         .withColumn("hashed", buckets(F.col("w"), F.col("pair")))
         # Read once, so Catalyst puts the value itself in its place.
-        .withColumn("ratios", ratios)
+        .withColumn("ratios", known)
         .withColumn("ratio", F.when(n == 0, F.lit(0.0)).otherwise(total / n))
     )
+
+
+def threshold(docs: DataFrame, held: DataFrame, table: DataFrame, doc_id: str, text: str) -> float:
+    """From the ratios of the trusted documents that are not in the target counts."""
+    # Stored, for Spark would push a filter below the projections and work them out twice.
+    scored = staged(ratios(_of(docs, held, doc_id), table, doc_id, text).select("base_failed", "ratio"), "held")
+    found = (
+        scored.filter("not base_failed")
+        .groupBy(F.round("ratio", 4).alias("r"))
+        .agg(F.count("*").alias("n"))
+        .agg(F.percentile("r", F.array(F.lit(0.01), F.lit(0.5)), F.col("n")).alias("p"))
+        .first()["p"]
+    )
+    return found[1] - SPREAD * (found[1] - found[0]) if found else float("-inf")
+
+
+def judge(
+    docs: DataFrame,
+    trusted: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    least: float | None = None,
+) -> DataFrame:
+    """A row per row of ``docs``: doc_id, the rules' figures, ratio, kept. ``trusted`` has
+    the trusted ids; ``least`` sets the threshold."""
+    ids = trusted.select(F.col(doc_id).alias("id")).filter("id is not null").distinct()
+    ids = staged(ids.withColumn("held", id_bucket(F.col("id"), PARTS) == 0), "trusted")
+    table = ratio_table(docs, ids.filter("not held").select("id"), doc_id, text)
+    if least is None:
+        least = threshold(docs, ids.filter("held").select("id"), table, doc_id, text)
+    scored = ratios(docs, table, doc_id, text)
     return scored.select(
         "doc_id",
         "n_words",
@@ -184,5 +218,5 @@ def judge(
         "n_repeat_words",
         "base_failed",
         "ratio",
-        (~F.col("base_failed") & (F.col("ratio") >= threshold)).alias("kept"),
+        (~F.col("base_failed") & (F.col("ratio") >= F.lit(least))).alias("kept"),
     )

@@ -111,6 +111,14 @@ def test_ledger_scans_only_what_is_new(spark, docs):
     assert secret_ledger.scan_unseen(docs.filter("doc_id < 8"), "text", both, rules).count() == 0
 
 
+def test_a_ledger_row_appended_twice_is_one_finding(spark, docs):
+    known = shared_rows(spark, secret_ledger.scan_unseen(docs, "text"))
+    once = secret_ledger.findings_by_path(docs, "text", known).collect()
+    twice = secret_ledger.findings_by_path(docs, "text", known.unionByName(known)).collect()
+    found = lambda rows: sorted((str(r.doc_id), r.blob_id, str(r.findings)) for r in rows)
+    assert found(once) == found(twice) and any(r.findings for r in once)
+
+
 def shared_rows(spark, frame):
     return spark.createDataFrame(frame.collect(), frame.schema)
 
@@ -276,6 +284,14 @@ def test_schedule_keeps_every_share_within_one_block(weights):
             assert abs(done[k] - (slot + 1) * n / size) < 1
 
 
+@pytest.mark.parametrize("bad", [None, 0.0, -1.0, float("nan"), float("inf")])
+def test_bad_weights_are_no_weights(spark, docs, bad):
+    assert pfair.whole_slots({"a": 3, "b": bad}, 64) == {"a": 64}
+    assert pfair.whole_slots({"a": bad}) == {}
+    weights = spark.createDataFrame([("a", 1.0), ("b", bad)], "source string, weight double")
+    same_rows(pfair.mixed(docs, weights).collect())
+
+
 def test_blocks_are_numbered_as_by_one_running_sum(spark, tmp_path):
     draw = random.Random(8)
     rows = [(i, "x" * draw.randrange(90), draw.choice("aaab")) for i in range(500)]
@@ -346,6 +362,28 @@ def test_hosts(spark, tmp_path):
     assert host_trust.judge(table.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", [1, 3, 300])
+def test_linkers_of_a_blocked_host_are_blocked_however_many(spark, tmp_path, n, monkeypatch):
+    monkeypatch.setattr(host_trust, "HUB_EDGES", 20)
+    bad, good = "<a href='http://bad.net/fr/'>", "<a href='http://good.com/'>"
+    pages = [(0, "http://bad.net/fr/1", ""), (1, "http://good.com/", "")]
+    pages += [(10 + i, f"http://linker{i}.org/", bad) for i in range(n)]
+    pages += [(1000 + i, f"http://calm{i}.org/", good) for i in range(n)]
+    pages += [(2000 + i, f"http://com.good{i}.com/x", good + bad) for i in range(3)]
+    spark.createDataFrame(pages, "page_id bigint, url string, html string").write.parquet(f"{tmp_path}/p")
+    got = {r.page_id: r.verdict for r in host_trust.judge(spark.read.parquet(f"{tmp_path}/p")).collect()}
+    assert all(got[10 + i] == "block" and got[1000 + i] == "allow" for i in range(n))
+    assert all(got[2000 + i] == "allow" for i in range(3))
+
+
+def test_rules_of_equal_length_go_by_name(spark):
+    rules = (host_trust.Rule("block", "b.org", "/x"), host_trust.Rule("allow", "org", "/x/y"))
+    frame = spark.createDataFrame([("b.org", "/x/y")], "host string, path string")
+    assert len({len(r.name) for r in rules}) == 1
+    got = frame.select(host_trust.longest_rule(F.col("host"), F.col("path"), rules).alias("r")).first().r
+    assert (got.rule, got.verdict) == ("b.org/x", "block")
+
+
 def test_pipeline_stages(spark, docs, none, folder, tmp_path):
     frame = docs
     for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
