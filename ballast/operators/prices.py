@@ -5,11 +5,13 @@ listing depend on each other in order and no aggregate gives the result. The fol
 runs over sorted partitions as Arrow batches, keeping one price at a time.
 
 A listing with very many ticks is not left to one task. Its ticks are cut by a
-range partitioning on (listing, time, id) and all pieces are folded at once from
-estimated opening prices; each round hands every piece the closing price of the
-piece before it, until all of them agree. The first piece is exact from the
-start and each round makes at least one more exact, so the result equals the
-sequential fold.
+range partitioning on (listing, time, id) and all pieces are folded at once. The first
+round folds each from the stored price, which shows about where each will open. The
+second folds each from a bracket of neighbouring opening prices, which makes it a step
+function from opening to closing price; chained, they give every piece's exact opening
+price. A piece that opens outside its bracket is folded again around the price that the
+chain has for it; the first such piece then opens in the middle, so each round settles
+at least one more, and the result equals the sequential fold.
 """
 
 from __future__ import annotations
@@ -17,12 +19,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from fractions import Fraction
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from ballast.functions.money import AMOUNT, INTEGER, amount, micros
-from ballast.functions.sizing import cut_lineage
-from ballast.functions.tickfold import LISTING, fold, fold_piece, piece_ends
+from ballast.functions.sizing import cut_lineage, staged
+from ballast.functions.tickfold import BRACKET, LISTING, fold, fold_piece, piece_maps
 from ballast.operators.quality import reject
 
 # Above the first, a listing is cut into pieces of about the second.
@@ -70,13 +72,16 @@ FOLDED = (
     "asset_id bigint, exch_code string, curr_code string, event_id bigint, ts timestamp_ntz,"
     f" pre {INTEGER}, post {INTEGER}"
 )
-_PIECES = f"piece int, first string, last string, opening {INTEGER}, closing {INTEGER}"
+_PIECES = (
+    f"piece int, first string, last string, stored {INTEGER}, low {INTEGER}, closings array<{INTEGER}>"
+)
 
 
-def priced_ticks(listing_price: DataFrame, ticks: DataFrame) -> DataFrame:
-    """Ticks of known listings with the price they start from."""
+def priced_ticks(listing_price: DataFrame, ticks: DataFrame, how: str = "inner") -> DataFrame:
+    """Ticks of known listings with the price they start from; with a left join the
+    others, too."""
     opening = listing_price.select(*LISTING, micros(F.col("price")).alias("opening"))
-    return ticks.select(*LISTING, "event_id", "ts", "variance").join(opening, LISTING)
+    return ticks.select(*LISTING, "event_id", "ts", "variance").join(opening, LISTING, how)
 
 
 def _fold_by_listing(priced: DataFrame) -> DataFrame:
@@ -88,23 +93,45 @@ def _fold_by_listing(priced: DataFrame) -> DataFrame:
     )
 
 
-def _revised_openings(pieces: list[Row]) -> dict[int, int]:
-    """New opening prices of the pieces that did not open where the piece before
-    them closed. Where that one is itself to be folded again, its closing price is
-    expected to scale with its opening price."""
-    revised: dict[int, int] = {}
-    previous, expected = None, None
+def _chained(pieces: list[Row]) -> tuple[dict[int, int], dict[int, int]]:
+    """Opening price of each piece, by chaining their closing prices; and, of the pieces
+    that were not folded from it, where to fold them from next."""
+    opened: dict[int, int] = {}
+    missed: dict[int, int] = {}
+    last, price = None, 0
     for piece in pieces:
-        used = opening = int(piece.opening)
-        if previous is not None and piece.first == previous.last:
-            opening = expected
-        if opening != used:
-            revised[piece.piece] = opening
-        closing = int(piece.closing)
-        if opening != used and piece.first == piece.last and used != 0:
-            closing = round(Fraction(closing * opening, used))
-        previous, expected = piece, closing
-    return revised
+        opening = price if piece.first == last else int(piece.stored)
+        opened[piece.piece] = opening
+        last, closings = piece.last, piece.closings
+        if piece.first != piece.last:
+            price = int(closings[0])
+            continue
+        at = opening - int(piece.low)
+        if 0 <= at < len(closings) and closings[at] is not None:
+            price = int(closings[at])
+            continue
+        # Expected to scale with the opening price.
+        missed[piece.piece] = opening
+        middle = len(closings) // 2
+        used = int(piece.low) + middle
+        price = round(Fraction(int(closings[middle]) * opening, used)) if used else 0
+    return opened, missed
+
+
+def piece_openings(ranged: DataFrame, bracket: int = BRACKET) -> tuple[dict[int, int], int]:
+    """The exact opening price of every piece, and the rounds that took."""
+    ends: dict[int, Row] = {}
+    missed: dict[int, int] = {}
+    todo, rounds = ranged, 0
+    while True:
+        # One row per piece, so this is as small as the number of partitions.
+        for row in todo.mapInArrow(piece_maps(missed, bracket if rounds else 0), _PIECES).collect():
+            ends[row.piece] = row
+        rounds += 1
+        opened, missed = _chained([ends[piece] for piece in sorted(ends)])
+        if not missed:
+            return opened, rounds
+        todo = ranged.filter(F.col("piece").isin(list(missed)))
 
 
 def _fold_in_pieces(priced: DataFrame, pieces: int) -> DataFrame:
@@ -112,19 +139,7 @@ def _fold_in_pieces(priced: DataFrame, pieces: int) -> DataFrame:
     order = [*LISTING, "ts", "event_id"]
     ranged = priced.repartitionByRange(pieces, *order).sortWithinPartitions(*order)
     ranged = cut_lineage(ranged.withColumn("piece", F.spark_partition_id()))
-
-    opened: dict[int, int] = {}
-    ends: dict[int, Row] = {}
-    todo = ranged
-    while True:
-        # One row per piece, so this is as small as the number of partitions.
-        for row in todo.mapInArrow(piece_ends(opened), _PIECES).collect():
-            ends[row.piece] = row
-        revised = _revised_openings([ends[piece] for piece in sorted(ends)])
-        if not revised:
-            break
-        opened.update(revised)
-        todo = ranged.filter(F.col("piece").isin(list(revised)))
+    opened, _ = piece_openings(ranged)
     return ranged.mapInArrow(fold_piece(opened), FOLDED)
 
 
@@ -199,6 +214,70 @@ def apply_ticks(
     return PriceUpdate(latest_prices(listing_price, history), history, rejects)
 
 
+def prices_at(moments: DataFrame, history: DataFrame, listing_price: DataFrame, at: str) -> DataFrame:
+    """``moments`` (any columns, with the listing's and a time ``at``) with ``price``: that of
+    the last change up to the moment; else what the first later change started from; else
+    the current price, or null without one.
+
+    Moments and changes are merged in the order of (listing, time): a range partitioning,
+    so a listing with very many of either is spread over tasks. Within a partition a window
+    carries the last change on and the next one back; what crosses the partitions' edges
+    is one row for each, taken from the partitions before and after.
+    """
+    place, rank = "_place", "_rank"
+    asked = moments.select(
+        *LISTING, F.col(at).alias("_t"), F.lit(1).alias(rank), F.lit(None).cast("bigint").alias("_id"),
+        F.lit(None).cast(AMOUNT).alias("_post"), F.lit(None).cast(AMOUNT).alias("_pre"),
+        F.struct(*moments.columns).alias("_row"),
+    )
+    changes = history.select(
+        *LISTING, F.col("price_dt").alias("_t"), F.lit(0).alias(rank), F.col("id").alias("_id"),
+        F.col("price_post").alias("_post"), F.col("price_pre").alias("_pre"),
+        F.lit(None).cast(asked.schema["_row"].dataType).alias("_row"),
+    )
+    order = [*LISTING, "_t", rank, "_id"]
+    merged = staged(
+        changes.unionByName(asked)
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .withColumn(place, F.spark_partition_id()),
+        "merged",
+    )
+    change = F.when(F.col(rank) == 0, F.struct(*[F.col(c) for c in order], "_post", "_pre"))
+    edges = merged.groupBy(place).agg(
+        F.max(change).alias("last"), F.min(change).alias("first"),
+    )
+    # A row per partition.
+    parts = Window.orderBy(place)
+    around = edges.select(
+        place,
+        F.last("last", True).over(parts.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
+        F.first("first", True).over(parts.rowsBetween(1, Window.unboundedFollowing)).alias("_after"),
+    )
+    own = Window.partitionBy(place, *LISTING).orderBy("_t", rank, "_id")
+    carried = (
+        merged.join(F.broadcast(around), place)
+        .withColumn("_upto", F.last("_post", True).over(own))
+        .withColumn("_next", F.first("_pre", True).over(own.rowsBetween(0, Window.unboundedFollowing)))
+        .filter(F.col(rank) == 1)
+    )
+
+    def same(edge: str) -> Column:
+        return F.struct(*[F.col(f"{edge}.{c}").alias(c) for c in LISTING]) == F.struct(*LISTING)
+
+    found = F.coalesce(
+        "_upto",
+        F.when(same("_before"), F.col("_before._post")),
+        "_next",
+        F.when(same("_after"), F.col("_after._pre")),
+    )
+    return (
+        carried.select(*LISTING, found.alias("_found"), "_row")
+        .join(listing_price.select(*LISTING, "price"), LISTING, "left")
+        .select("_row.*", F.coalesce("_found", "price").alias("price"))
+    )
+
+
 def snapshot_asof(history: DataFrame, listing_price: DataFrame, at: str) -> DataFrame:
     """Price of every listing at a moment: the last change up to then; else what
     the first later change started from; else the current price."""

@@ -4,7 +4,11 @@ from datetime import datetime, timedelta
 import pytest
 from portfolio import dec, rows_of
 
-from ballast.functions.tickfold import next_price
+import numpy as np
+from pyspark.sql import functions as F
+
+from ballast.functions.sizing import cut_lineage
+from ballast.functions.tickfold import LISTING, fold_runs, next_price
 from ballast.operators import prices
 from ballast.plans.jobs import run_ticks
 from ballast.sources.state import read_table, write_tables
@@ -116,3 +120,58 @@ def test_tick_job_moves_the_price_table(spark, table, tmp_path):
         )
     assert rows_of(read_table(spark, folders, "listing_price"), "price") == [(dec("12.1"),)]
     assert read_table(spark, folders, "listing_price_history").count() == 2
+
+
+def test_runs_are_folded_as_one_by_one():
+    rng = random.Random(11)
+    for spread, top in [((-10, 10), 10**9), ((-300, 300), 10**4), ((-1, 1), 50), ((0, 900), 10**17), ((-10, 10**15), 10)]:
+        sizes = [rng.choice([1, 2, 40, 700, 3000]) for _ in range(5)]
+        openings = [rng.randint(-top, top) for _ in sizes]
+        variances = [rng.randint(*spread) for _ in range(sum(sizes))]
+        before, after, ends = fold_runs(openings, np.array(sizes), np.array(variances))
+        at = 0
+        for price, size, end in zip(openings, sizes, ends):
+            for i in range(at, at + size):
+                moved = next_price(price, variances[i])
+                assert (before[i], after[i]) == (price, moved)
+                price = price if moved is None else moved
+            assert end == price
+            at += size
+
+
+@pytest.mark.parametrize("spread", [(-10, 10), (-2, 2), (-10, 11)])
+def test_pieces_of_one_listing_agree_in_three_rounds(spark, table, spread):
+    rng = random.Random(12)
+    ticks = [tick(i, i, 1, rng.randint(*spread)) for i in range(4000)]
+    listing = table("listing_price", [(1, "X", "C0", dec("912.34"))])
+    order = [*LISTING, "ts", "event_id"]
+    ranged = prices.priced_ticks(listing, table("price_tick", ticks)).repartitionByRange(8, *order)
+    ranged = cut_lineage(ranged.sortWithinPartitions(*order).withColumn("piece", F.spark_partition_id()))
+    opened, rounds = prices.piece_openings(ranged)
+    price, wanted = int(dec("912.34") * MICRO), {}
+    pieces = {r.event_id: r.piece for r in ranged.collect()}
+    for event, _, _, _, _, variance in ticks:
+        wanted.setdefault(pieces[event], price)
+        moved = next_price(price, variance)
+        price = price if moved is None else moved
+    assert opened == wanted and len(opened) > 4 and rounds <= 3
+
+
+def test_prices_at_many_moments(spark, table):
+    rng = random.Random(13)
+    listing = table("listing_price", [(a, "X", "C0", dec(a)) for a in range(1, 6)])
+    ticks = [tick(i, rng.randint(0, 5000), rng.choice([1, 1, 1, 2, 3]), rng.randint(-9, 9)) for i in range(600)]
+    update = prices.apply_ticks(listing, table("price_tick", ticks))
+    moments = [(i, rng.choice([1, 1, 1, 2, 3, 4, 9]), "X", "C0", START + timedelta(minutes=rng.randint(-10, 5010))) for i in range(400)]
+    asked = spark.createDataFrame(moments, "no long, asset_id long, exch_code string, curr_code string, at timestamp_ntz")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r.no: r.price for r in prices.prices_at(asked, update.history, listing, "at").collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    log = sorted(update.history.collect(), key=lambda r: (r.price_dt, r.id))
+    for no, asset, _, _, at in moments:
+        own = [r for r in log if r.asset_id == asset]
+        upto = [r for r in own if r.price_dt <= at]
+        want = upto[-1].price_post if upto else own[0].price_pre if own else dec(asset) if asset < 6 else None
+        assert got[no] == want
