@@ -1,80 +1,75 @@
 """Dense numbering without sending a whole group through one task.
 
-``row_number`` over a big group sorts that group in a single task. Here rows
-are cut into order-preserving cells of at most ``width`` ids; each cell is
-numbered on its own and shifted by the number of rows in the cells before it.
-Only the cell counts are ever ordered together.
+``row_number`` over a big group sorts that group in a single task. Here rows are range
+partitioned by their order and sorted within partitions, which gives each its place in its
+partition; the partition's first number is the sum of the sizes of those before it. Ranges
+are sampled from the keys, so it does not matter how far apart ids lie. Only one row per
+partition is ever ordered together.
+
+The ranges are stored once, so every use sees the same ones. A group's numbers start at
+one by taking off the number before its first.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
-
-CELL_WIDTH = 1_000_000
 
+from ballast.functions.sizing import staged
 
-def _cell(key: str, width: int) -> Column:
-    return F.expr(f"cast({key} as bigint) div {width}")
+# What monotonically_increasing_id puts the partition's number above.
+PLACE_BITS = 33
 
 
-def _before(value: str, window) -> Column:
-    frame = window.rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum(value).over(frame), F.lit(0)).cast("bigint")
+def _numbered(df: DataFrame, order: Sequence[str], out: str) -> DataFrame:
+    """``out`` counts from 1 in the order of ``order``, whose values are unique."""
+    # Stored first: the sampling of ranges would work the input out a second time.
+    ranged = staged(
+        staged(df, "rows")
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .withColumn("_place", F.monotonically_increasing_id()),
+        "ranges",
+    ).withColumn("_part", F.shiftright("_place", PLACE_BITS))
+    sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    skips = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_skip"))
+    place = F.col("_place").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    return (
+        ranged.join(F.broadcast(skips), "_part")
+        .withColumn(out, (place + F.col("_skip") + 1).cast("bigint"))
+        .drop("_place", "_part", "_skip")
+    )
 
 
-def number_by_id(
-    df: DataFrame, key: str, out: str, group: Sequence[str] = (), width: int = CELL_WIDTH
-) -> DataFrame:
-    """``row_number() over (partition by group order by key)`` for an integer
-    key that is unique within its group."""
+def number_by_id(df: DataFrame, key: str, out: str, group: Sequence[str] = ()) -> DataFrame:
+    """``row_number() over (partition by group order by key)`` for a key that is unique
+    within its group."""
     group = list(group)
-    celled = df.withColumn("_cell", _cell(key, width))
-    counts = celled.groupBy(*group, "_cell").agg(F.count("*").alias("_n"))
-    offsets = counts.withColumn(
-        "_skip", _before("_n", Window.partitionBy(*group).orderBy("_cell"))
-    ).drop("_n")
-    within = Window.partitionBy(*group, "_cell").orderBy(key)
+    numbered = _numbered(df, [*group, key], out)
+    if not group:
+        return numbered
+    firsts = numbered.groupBy(*group).agg(F.min(out).alias("_first"))
     return (
-        celled.join(offsets, [*group, "_cell"])
-        .withColumn(out, (F.row_number().over(within) + F.col("_skip")).cast("bigint"))
-        .drop("_cell", "_skip")
+        numbered.join(firsts, group)
+        .withColumn(out, F.col(out) - F.col("_first") + 1)
+        .drop("_first")
     )
 
 
-def number_by_pair(
-    df: DataFrame, major: str, minor: str, out: str, width: int = CELL_WIDTH
-) -> DataFrame:
-    """``row_number() over (order by major, minor)`` over the whole frame, for
-    integer pairs that are unique. Counts are summed per (major, cell of minor),
-    then per range of majors, so neither a big major nor the whole frame is
-    ordered in one task."""
-    celled = df.withColumn("_cell", _cell(minor, width))
-    counts = (
-        celled.groupBy(major, "_cell")
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_range", _cell(major, width))
-    )
-    ranges = counts.groupBy("_range").agg(F.sum("_n").alias("_total"))
-    range_skip = ranges.withColumn(
-        "_range_skip", _before("_total", Window.partitionBy().orderBy("_range"))
-    ).drop("_total")
-    cell_skip = (
-        counts.withColumn(
-            "_cell_skip", _before("_n", Window.partitionBy("_range").orderBy(major, "_cell"))
-        )
-        .join(range_skip, "_range")
-        .select(major, "_cell", (F.col("_cell_skip") + F.col("_range_skip")).alias("_skip"))
-    )
-    within = Window.partitionBy(major, "_cell").orderBy(minor)
-    return (
-        celled.join(cell_skip, [major, "_cell"])
-        .withColumn(out, (F.row_number().over(within) + F.col("_skip")).cast("bigint"))
-        .drop("_cell", "_skip")
-    )
+def number_by_pair(df: DataFrame, major: str, minor: str, out: str) -> DataFrame:
+    """``row_number() over (order by major, minor)`` over the whole frame, for pairs that
+    are unique."""
+    return _numbered(df, [major, minor], out)
+
+
+def successor_of(df: DataFrame, key: str, out: str) -> DataFrame:
+    """Each row of unique keys with the next key, null after the last."""
+    numbered = _numbered(df, [key], "_no")
+    follow = numbered.select((F.col("_no") - 1).alias("_no"), F.col(key).alias(out))
+    return numbered.join(follow, "_no", "left").drop("_no")
 
 
 def continue_after(stored: DataFrame | None, id_col: str) -> Column:

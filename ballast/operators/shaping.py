@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ballast.functions.money import MICROS_PER_UNIT, WEIGHT
-from ballast.functions.numbering import number_by_id
+from ballast.functions.numbering import number_by_id, successor_of
 
 # Groups up to this size may be ordered by one window task.
 SMALL_GROUP = 100_000
@@ -18,22 +18,9 @@ def numbers(spark: SparkSession, n: int) -> DataFrame:
     return spark.range(1, n + 1).select(F.col("id").alias("n"))
 
 
-def successor(df: DataFrame, key: str, width: int = 1_000_000) -> DataFrame:
-    """Each distinct key with the next larger one (NULL for the last).
-
-    Keys are looked at within ranges of ``width`` ids; the last key of a range
-    takes the smallest key of the next non-empty range.
-    """
-    keys = df.select(F.col(key).alias("key")).distinct()
-    celled = keys.withColumn("_cell", F.expr(f"cast(key as bigint) div {width}"))
-    firsts = celled.groupBy("_cell").agg(F.min("key").alias("_first"))
-    following = firsts.select(
-        "_cell", F.lead("_first").over(Window.partitionBy().orderBy("_cell")).alias("_following")
-    )
-    inside = F.lead("key").over(Window.partitionBy("_cell").orderBy("key"))
-    return celled.join(following, "_cell").select(
-        "key", F.coalesce(inside, F.col("_following")).alias("next_key")
-    )
+def successor(df: DataFrame, key: str) -> DataFrame:
+    """Each distinct key with the next larger one (NULL for the last)."""
+    return successor_of(df.select(F.col(key).alias("key")).distinct(), "key", "next_key")
 
 
 def available_listings(
