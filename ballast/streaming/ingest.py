@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from ballast.functions.sizing import staged
 from ballast.functions.tickfold import LISTING, fold_arrivals
 from ballast.operators import cash, prices
 from ballast.schemas import TABLES
@@ -48,36 +49,71 @@ def _append(rows: DataFrame, folder: str, checkpoint: str) -> None:
     )
 
 
-def _first_only(rows: DataFrame, stored: DataFrame | None) -> DataFrame:
-    """Each ``tran_id`` once, however late a copy comes.
+def _append_once(rows: DataFrame, folder: str, checkpoint: str, stored: DataFrame | None) -> None:
+    """Append each transaction once, then stop.
 
-    The ids seen are streaming state without expiry, so a micro-batch costs its
-    own rows and nothing valid is ever dropped as late. ``stored`` holds ids from
-    before the stream began.
+    The ids seen are not streaming state, which would grow for ever: a micro-batch is
+    compared with the stored rows of its own months, which partition the folder. A copy
+    carries the date of the transaction it repeats, so however late it comes, its original
+    lies in the same month. Each micro-batch has a folder of its own and is written over
+    if it is repeated. ``stored`` holds rows from before the stream began.
     """
-    if stored is not None:
-        rows = rows.join(stored.select("tran_id"), "tran_id", "left_anti")
-    return rows.dropDuplicates(["tran_id"])
+    spark = rows.sparkSession
+    columns = rows.columns
+    month = F.date_format("queued_dt", "yyyy-MM")
+
+    def write(batch: DataFrame, number: int) -> None:
+        fresh = staged(cash.first_per_transaction(batch).withColumn("queued_month", month), "arrived")
+        first, last = fresh.agg(F.min("queued_month"), F.max("queued_month")).first()
+        if first is None:
+            return
+        known = _read_months(spark, folder, batch.select(columns).schema).filter(
+            F.col("queued_month").between(first, last) & (F.col("batch") != number)
+        )
+        fresh = fresh.join(known.select("queued_month", "tran_id"), ["queued_month", "tran_id"], "left_anti")
+        if stored is not None:
+            fresh = fresh.join(stored.select("tran_id"), "tran_id", "left_anti")
+        fresh.select(*columns, "queued_month").write.mode("overwrite").partitionBy("queued_month").parquet(
+            f"{folder}/batch={number}"
+        )
+
+    (
+        rows.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+
+
+def _read_months(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+    """What is stored, with its partitions; empty before the first batch."""
+    whole = T.StructType([*schema.fields, T.StructField("batch", T.LongType()), T.StructField("queued_month", T.StringType())])
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    there = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    if not there:
+        return spark.createDataFrame([], whole)
+    return spark.read.schema(whole).option("basePath", folder).parquet(folder)
 
 
 def stream_deposits(
     requests: DataFrame, out_dir: str, checkpoint: str, stored: DataFrame | None = None
 ) -> DataFrame:
     """Deposits into the queue."""
-    rows = _first_only(cash.as_deposits(requests), stored).select(cash.QUEUE)
+    rows = cash.as_deposits(requests).select(cash.QUEUE)
     folder = f"{out_dir}/transact_queue"
-    _append(rows, folder, checkpoint)
-    return requests.sparkSession.read.schema(TABLES["transact_queue"]).parquet(folder)
+    _append_once(rows, folder, checkpoint, stored)
+    return _read_months(requests.sparkSession, folder, TABLES["transact_queue"]).select(cash.QUEUE)
 
 
 def stream_withdrawals(
     requests: DataFrame, out_dir: str, checkpoint: str, stored: DataFrame | None = None
 ) -> DataFrame:
     """Withdrawals into the ledger, attached to no rebalance."""
-    rows = _first_only(cash.as_withdrawals(requests), stored).select(cash.LEDGER)
+    rows = cash.as_withdrawals(requests).select(cash.LEDGER)
     folder = f"{out_dir}/transact"
-    _append(rows, folder, checkpoint)
-    return requests.sparkSession.read.schema(TABLES["transact"]).parquet(folder)
+    _append_once(rows, folder, checkpoint, stored)
+    return _read_months(requests.sparkSession, folder, TABLES["transact"]).select(cash.LEDGER)
 
 
 def stream_prices(
@@ -86,8 +122,10 @@ def stream_prices(
     out_dir: str,
     checkpoint: str,
     gate_closed: DataFrame | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Ticks into the price log; returns the latest prices and the log.
+) -> prices.PriceUpdate:
+    """Ticks into the price log; returns the latest prices, the log and the ticks set
+    aside: those of unknown listings, and those whose price does not fit. All of a
+    micro-batch's ticks go to one stored log, so that neither part can be lost alone.
 
     The current price of a listing is kept as streaming state, so a micro-batch
     costs its own ticks only. Ticks are ordered by time and id within a batch; one
@@ -97,7 +135,7 @@ def stream_prices(
     if gate_closed is not None:
         ticks = prices.gate_ticks(ticks, gate_closed)
     folded = (
-        prices.priced_ticks(listing_price, ticks)
+        prices.priced_ticks(listing_price, ticks, "left")
         .groupBy(*LISTING)
         .applyInPandasWithState(
             fold_arrivals,
@@ -112,4 +150,12 @@ def stream_prices(
     _append(changes, folder, checkpoint)
     log = spark.read.schema(changes.schema).parquet(folder)
     history = log.filter(F.col("price_post").isNotNull())
-    return prices.latest_prices(listing_price, history, ("step",)), history.drop("step")
+    aside = log.filter(F.col("price_post").isNull())
+    reason = F.when(F.col("price_pre").isNull(), "unknown listing").otherwise("price out of range")
+    return prices.PriceUpdate(
+        prices.latest_prices(listing_price, history, ("step",)),
+        history.drop("step"),
+        aside.select(
+            F.lit("apply_ticks").alias("operator"), F.col("id").cast("string").alias("key"), reason.alias("reason")
+        ),
+    )

@@ -56,13 +56,16 @@ def test_prices_carry_over_batches_and_restarts(spark, table, tmp_path):
     second = [tick(5, 4, 1, 5), tick(6, 90, 1, 50)]
     for rows in (first, second):
         arrive(table, "price_tick", rows, inbox)
-        latest, history = run()
+        update = run()
+    latest, history = update.latest, update.history
     batch = prices.apply_ticks(listing, table("price_tick", first + second), closed)
     assert rows_of(latest) == rows_of(batch.latest)
     assert rows_of(history) == rows_of(batch.history)
+    assert rows_of(update.rejects) == rows_of(batch.rejects) and update.rejects.count() == 1
     # A tick older than what was applied counts on arrival.
     arrive(table, "price_tick", [tick(7, 1, 2, 10)], inbox)
-    latest, history = run()
+    update = run()
+    latest, history = update.latest, update.history
     log = rows_of(history.filter("id = 7"), "price_pre", "price_post")
     assert log == [(dec("10.3103"), dec("11.34133"))]
     assert dict(rows_of(latest, "asset_id", "price"))[2] == dec("11.34133")
