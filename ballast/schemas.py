@@ -148,7 +148,11 @@ KEYS: dict[str, list[str]] = {
     "account_queue": ["fund_id", "queue_no"],
     "rebal_fund": ["fund_id", "end_dt"],
     "rebal_account": ["rebal_id", "accnt_id"],
+    "rebal_rejected": ["rebal_id", "accnt_id"],
     "price_snapshot": ["rebal_id", "asset_id", "exch_code", "curr_code"],
+    "trade_type": ["trtyp_id"],
+    "transact_type": ["tx_type"],
+    "gate": ["curr_code"],
     "trade": ["rebal_id", "accnt_id", "asset_id", "trtyp_id"],
     "holding_history": ["rebal_id", "accnt_id", "asset_id"],
     "balance_history": ["accnt_id", "rebal_id"],
@@ -159,26 +163,63 @@ KEYS: dict[str, list[str]] = {
     "account_audit": ["rebal_id", "accnt_id"],
 }
 
+# Further columns that must be unique.
+UNIQUE: dict[str, list[list[str]]] = {
+    "currency": [["curr_name"]],
+    "fund": [["fund_name"]],
+    "investor": [["inv_name"]],
+    "exchange": [["exch_name"]],
+    "asset_class": [["class_name"]],
+    "asset": [["asset_name"]],
+    "advisor": [["advisor_name"]],
+    "model": [["model_name"]],
+    "trade_type": [["trtyp_name"]],
+    # Only one rebalance of a fund is open, as open ones share their end.
+    "rebal_fund": [["rebal_id"]],
+    "account_asset_archive": [["rebal_id", "accnt_id", "asset_id"]],
+}
+
+_ACCOUNT = ["accnt_id", "fund_id", "curr_code"]
+_LISTING = ["asset_id", "exch_code", "curr_code"]
+_REBAL = ["rebal_id", "fund_id", "curr_code"]
+_DONE = ["rebal_id", "accnt_id", "fund_id", "curr_code"]
+
 # Foreign keys: child, parent, shared columns.
 FOREIGN_KEYS: list[tuple[str, str, list[str]]] = [
     ("fund", "currency", ["curr_code"]),
+    ("fund_balance", "fund", ["fund_id", "curr_code"]),
     ("exchange", "currency", ["curr_code"]),
     ("asset", "asset_class", ["class_code"]),
     ("listing", "asset", ["asset_id"]),
     ("listing", "exchange", ["exch_code", "curr_code"]),
-    ("listing_price", "listing", ["asset_id", "exch_code", "curr_code"]),
+    ("listing_price", "listing", _LISTING),
     ("model", "advisor", ["advisor_id"]),
     ("model_asset", "model", ["model_id", "curr_code"]),
-    ("model_asset", "listing", ["asset_id", "exch_code", "curr_code"]),
+    ("model_asset", "listing", _LISTING),
     ("account", "investor", ["inv_id"]),
     ("account", "currency", ["curr_code"]),
-    ("account", "fund", ["fund_id", "curr_code"]),
     ("account", "model", ["model_id", "curr_code"]),
-    ("balance", "account", ["accnt_id"]),
-    ("holding", "account", ["accnt_id"]),
-    ("holding", "listing", ["asset_id", "exch_code", "curr_code"]),
-    ("transact_queue", "account", ["accnt_id"]),
-    ("price_snapshot", "rebal_fund", ["rebal_id"]),
-    ("trade", "rebal_fund", ["rebal_id"]),
-    ("transact", "rebal_fund", ["rebal_id"]),
+    ("account", "fund", ["fund_id", "curr_code"]),
+    ("balance", "account", _ACCOUNT),
+    ("balance_history", "account", _ACCOUNT),
+    ("rebal_fund", "fund", ["fund_id", "curr_code"]),
+    ("price_snapshot", "rebal_fund", _REBAL),
+    ("price_snapshot", "listing", _LISTING),
+    ("fund_balance_history", "fund", ["fund_id", "curr_code"]),
+    ("fund_balance_history", "rebal_fund", _REBAL),
+    ("rebal_account", "rebal_fund", _REBAL),
+    ("rebal_account", "account", _ACCOUNT),
+    ("account_audit", "rebal_account", _DONE),
+    ("account_asset", "rebal_account", _DONE),
+    ("holding", "account", _ACCOUNT),
+    ("holding", "listing", _LISTING),
+    ("listing_price_history", "listing", _LISTING),
+    ("trade", "price_snapshot", ["rebal_id", *_LISTING]),
+    ("trade", "trade_type", ["trtyp_id"]),
+    ("trade", "rebal_account", _DONE),
+    ("transact_queue", "account", _ACCOUNT),
+    ("transact_queue", "transact_type", ["tx_type"]),
+    ("transact", "account", _ACCOUNT),
+    ("transact", "rebal_account", _DONE),
+    ("transact", "transact_type", ["tx_type"]),
 ]

@@ -71,8 +71,8 @@ def test_declared_rules_over_tables(spark, table):
     fund = table("fund", [(1, "A", "GBP")])
     found = quality.declared_violations({"account": loose, "fund": fund})
     assert rows_of(found) == [
-        ("account", "1", "key is not unique"),
-        ("account", "1/1/USD", "no such fund"),
+        ("account", "1", "not unique: accnt_id"),
+        ("account", "1/1/USD", "no such fund: fund_id,curr_code"),
         ("account", "1/inv_id", "value is missing"),
     ]
 
