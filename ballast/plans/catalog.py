@@ -227,6 +227,31 @@ def transact_queue_remaining(src):
 # fund cycle
 
 
+@query
+def rebalance_rerun(src):
+    """A run after one that stopped half-way: accounts it has done are marked, others are
+    known to be rejected. Only what is left is added, and no rejection twice."""
+    first = _rebalance(src, store=JUDGED)
+    done = first.rebal_account.filter(F.col("accnt_id") % 10 != 3)
+    state = Portfolio(
+        **{**vars(first.state), "processed": staged(done, "done"), "rejected": first.rebal_rejected}
+    )
+    again = Rebalance(state, AS_OF)
+    markers = again.rebal_account.select("rebal_id", "accnt_id", F.lit("done").alias("state"))
+    return markers.unionByName(
+        again.rebal_rejected.select("rebal_id", "accnt_id", F.lit("rejected").alias("state"))
+    )
+
+
+@query
+def rebalance_progress_rejected(src):
+    """A third of the accounts processed, a third rejected, some of them both."""
+    every = trades.rebalance_accounts(_rebalance(src).due)
+    processed = every.filter(F.col("accnt_id") % 3 == 0)
+    rejected = every.filter((F.col("accnt_id") % 3 == 1) | (F.col("accnt_id") % 6 == 0))
+    return funds.rebalance_progress(src.account(), src.rebal_fund(), processed, rejected)
+
+
 def _processed(src: StarSource) -> DataFrame:
     return trades.rebalance_accounts(_gated_due(src))
 
@@ -301,6 +326,36 @@ def price_asof_snapshot(src):
     return prices.snapshot_asof(_folded(src).history, src.listing_price(), PRICE_MOMENT)
 
 
+@query
+def price_hot_listing(src):
+    """All ticks on one listing, folded in eight pieces."""
+    one = src.listing_price().filter(F.col("asset_id") == src.listing().agg(F.min("asset_id")).scalar())
+    ticks = src.ticks().drop("asset_id", "exch_code", "curr_code").crossJoin(F.broadcast(one.drop("price")))
+    pieces = max(1, src.raw("events").count() // 8)
+    folded = prices.fold_ticks(one, ticks, hot_ticks=0, piece_ticks=pieces)
+    return folded.select("id", "price_pre", "price_post")
+
+
+@query
+def price_asof_orders(src):
+    """The price of each line item's part when it was ordered."""
+    orders = src.raw("orders").select("o_orderkey", "o_orderdate")
+    listed = src.listing().withColumnRenamed("asset_id", "l_partkey")
+    moments = (
+        src.raw("lineitem")
+        .select("l_orderkey", "l_linenumber", "l_partkey")
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(listed, "l_partkey")
+        .select(
+            "l_orderkey", "l_linenumber", F.col("l_partkey").alias("asset_id"), "exch_code", "curr_code",
+            (F.lit("2024-01-01").cast("timestamp_ntz")
+             + F.make_dt_interval(F.col("l_orderkey").cast("int") % 30, F.col("l_linenumber"))).alias("at"),
+        )
+    )
+    found = prices.prices_at(moments, _folded(src).history, src.listing_price(), "at")
+    return found.select("l_orderkey", "l_linenumber", "asset_id", "at", "price")
+
+
 # cash
 
 
@@ -312,13 +367,19 @@ def _requests(src: StarSource, status: str) -> DataFrame:
 @query
 def deposit_enqueue(src):
     """Open orders arrive as deposits in a queue of withdrawals."""
-    return cash.enqueue_deposits(_requests(src, "P"), _requests(src, "O"))
+    requests = _requests(src, "O")
+    again = requests.filter(F.xxhash64("tran_id") % 5 == 0)
+    return cash.enqueue_deposits(_requests(src, "P"), requests.unionByName(again))
 
 
 @query
 def withdrawal_ledger(src):
     """Pending orders arrive as withdrawals in the ledger of finished ones."""
-    return cash.record_withdrawals(src.transact(), _requests(src, "P"))
+    requests = _requests(src, "P")
+    again = requests.filter(F.xxhash64("tran_id") % 5 == 0).unionByName(
+        _requests(src, "F").filter(F.xxhash64("tran_id") % 5 == 1)
+    )
+    return cash.record_withdrawals(src.transact(), requests.unionByName(again))
 
 
 # archive
@@ -446,6 +507,32 @@ def model_weight_check(src):
     return quality.weight_check(listed)
 
 
+@query
+def declared_violations(src):
+    """All declared rules over tables with broken rows of every kind: accounts that occur
+    twice or lack a model, a second open rebalance, queued rows of another fund; and held
+    and modelled assets without a listing, as the tables have them."""
+    account = src.account()
+    account = account.withColumn("model_id", F.when(F.col("accnt_id") % 89 != 0, F.col("model_id")))
+    headers = src.rebal_fund()
+    second = headers.filter("fund_id = 3").withColumn("rebal_id", F.lit("R3-9"))
+    queue = src.transact_queue()
+    return quality.declared_violations(
+        {
+            "currency": src.currency(),
+            "fund": src.fund(),
+            "account": account.unionByName(account.filter("accnt_id % 97 = 0")),
+            "rebal_fund": headers.unionByName(second),
+            "model_asset": src.model_asset(),
+            "listing": src.listing(),
+            "holding": src.holding(),
+            "transact_queue": queue.withColumn(
+                "fund_id", F.when(F.col("accnt_id") % 83 == 0, F.col("fund_id") + 1).otherwise(F.col("fund_id"))
+            ),
+        }
+    )
+
+
 @query
 def rejects(src):
     ticks = prices.apply_ticks(src.listing_price(), src.ticks(), src.gate_closed()).rejects
@@ -460,8 +547,10 @@ def _stream(src: StarSource, name: str) -> DataFrame:
 
 
 def _stream_requests(src: StarSource, status: str) -> DataFrame:
+    """Orders as requests, every third of which arrives twice."""
     orders = _stream(src, "orders").filter(F.col("o_orderstatus") == status)
-    return src.with_fund(order_events(orders))
+    times = F.array_repeat(F.lit(0), F.when(F.col("o_orderkey") % 3 == 0, 2).otherwise(1))
+    return src.with_fund(order_events(orders.withColumn("copy", F.explode(times))))
 
 
 @query
@@ -478,12 +567,20 @@ def stream_withdrawals(src):
 
 @query
 def stream_prices(src):
+    return _streamed(src).latest
+
+
+@query
+def stream_rejects(src):
+    return _streamed(src).rejects
+
+
+def _streamed(src: StarSource) -> prices.PriceUpdate:
     out = scratch_path(src.spark, "prices")
     ticks = event_ticks(_stream(src, "events"))
-    latest, _ = ingest.stream_prices(
+    return ingest.stream_prices(
         ticks, src.listing_price(), out, f"{out}/checkpoint", src.gate_closed()
     )
-    return latest
 
 
 # generators, sized by the tables

@@ -130,6 +130,7 @@ def run_rebalance(
         gate=read_table(spark, folders, "gate") if "gate" in folders else None,
         processed=read_table(spark, folders, "rebal_account"),
         balance_history=read_table(spark, folders, "balance_history"),
+        rejected=read_table(spark, folders, "rebal_rejected"),
     )
     stage = _Stage(out_dir)
     return stage.write(Rebalance(state, as_of, stage=stage, **options).outputs(), folders)

@@ -250,6 +250,20 @@ stick AS (
     FROM stick JOIN sized ON sized.model_id = stick.model_id WHERE j < n))
 """
 
+# Which accounts a gated rebalance has marked, and which rebalances that completes.
+_CYCLE = """, gate AS (
+  SELECT 'C' || r_regionkey AS curr_code, CASE WHEN r_regionkey = 4 THEN 0 ELSE 1 END AS gate_status FROM region),
+marked AS (
+  SELECT t.rebal_id, t.accnt_id, t.fund_id FROM target t JOIN rebal r ON r.rebal_id = t.rebal_id
+  JOIN gate g ON g.curr_code = r.curr_code WHERE g.gate_status = 1),
+progress AS (
+  SELECT r.rebal_id, r.fund_id, count(m.accnt_id) AS done, count(a.accnt_id) - count(m.accnt_id) AS remaining,
+         CAST(CASE WHEN count(a.accnt_id) > 0 AND count(m.accnt_id) = count(a.accnt_id) THEN 1 ELSE 0 END AS BIGINT) AS complete
+  FROM rebal r LEFT JOIN account a ON a.fund_id = r.fund_id
+  LEFT JOIN marked m ON m.rebal_id = r.rebal_id AND m.accnt_id = a.accnt_id GROUP BY r.rebal_id, r.fund_id),
+closing AS (SELECT rebal_id, fund_id FROM progress WHERE complete = 1)"""
+
+
 ORACLES: dict[str, str] = {
     # valuation
     "price_snapshot": over_views(
@@ -331,44 +345,53 @@ ORACLES: dict[str, str] = {
         """SELECT rebal_id, CAST(1 AS BIGINT) AS item_no, accnt_id, fund_id, curr_code, model_id FROM target"""
     ),
     "transact_processed": over_views(
-        f"""SELECT q.tran_id, q.accnt_id, t.fund_id, q.curr_code, q.tx_type, q.amount, q.queued_dt, t.rebal_id,
-        TIMESTAMP '{AS_OF}' AS processed_dt FROM queue q JOIN target t ON t.accnt_id = q.accnt_id
-        WHERE t.curr_code <> 'C4'"""
+        f"""{_CYCLE} SELECT q.tran_id, q.accnt_id, m.fund_id, q.curr_code, q.tx_type, q.amount, q.queued_dt, m.rebal_id,
+        TIMESTAMP '{AS_OF}' AS processed_dt FROM queue q JOIN marked m ON m.accnt_id = q.accnt_id"""
     ),
     "transact_queue_remaining": over_views(
-        """SELECT tran_id, accnt_id, fund_id, curr_code, tx_type, amount, queued_dt FROM queue
-        WHERE accnt_id NOT IN (SELECT accnt_id FROM target WHERE curr_code <> 'C4')"""
+        f"""{_CYCLE} SELECT tran_id, accnt_id, fund_id, curr_code, tx_type, amount, queued_dt FROM queue
+        WHERE accnt_id NOT IN (SELECT accnt_id FROM marked)"""
     ),
     # fund cycle
     "open_rebalances": over_views(
         "SELECT rebal_id, fund_id, curr_code, accnts_count, start_dt, end_dt FROM rebal"
         " WHERE end_dt = TIMESTAMP '1900-01-01 00:00:00'"
     ),
-    "rebalance_progress": over_views(
-        """SELECT r.rebal_id, r.fund_id, CAST(count(a.accnt_id) FILTER (WHERE r.curr_code <> 'C4') AS BIGINT) AS done,
-        CAST(count(a.accnt_id) FILTER (WHERE r.curr_code = 'C4') AS BIGINT) AS remaining,
-        CAST(CASE WHEN count(a.accnt_id) > 0 AND count(a.accnt_id) FILTER (WHERE r.curr_code = 'C4') = 0 THEN 1 ELSE 0 END AS BIGINT) AS complete
-        FROM rebal r LEFT JOIN account a ON a.fund_id = r.fund_id GROUP BY r.rebal_id, r.fund_id, r.curr_code"""
+    "rebalance_progress": over_views(f"{_CYCLE} SELECT rebal_id, fund_id, done, remaining, complete FROM progress"),
+    "rebalance_rerun": over_views(
+        "SELECT rebal_id, accnt_id, 'done' AS state FROM target WHERE accnt_id % 10 = 3"
+    ),
+    "rebalance_progress_rejected": over_views(
+        """, settled AS (SELECT rebal_id, accnt_id FROM target WHERE accnt_id % 3 = 0
+          UNION SELECT rebal_id, accnt_id FROM target WHERE accnt_id % 3 = 1 OR accnt_id % 6 = 0),
+        counted AS (SELECT r.rebal_id, r.fund_id, count(a.accnt_id) AS accounts, count(s.accnt_id) AS done
+          FROM rebal r LEFT JOIN account a ON a.fund_id = r.fund_id
+          LEFT JOIN settled s ON s.rebal_id = r.rebal_id AND s.accnt_id = a.accnt_id GROUP BY ALL)
+        SELECT rebal_id, fund_id, done, accounts - done AS remaining,
+        CAST(CASE WHEN accounts > 0 AND accounts = done THEN 1 ELSE 0 END AS BIGINT) AS complete FROM counted"""
     ),
     "rebalance_roll": over_views(
-        f"""SELECT rebal_id, fund_id, curr_code, accnts_count, start_dt,
-        CASE WHEN curr_code <> 'C4' AND fund_id IN (SELECT fund_id FROM account)
-          THEN TIMESTAMP '{AS_OF}' ELSE end_dt END AS end_dt FROM rebal
+        f"""{_CYCLE} SELECT rebal_id, fund_id, curr_code, accnts_count, start_dt,
+        CASE WHEN rebal_id IN (SELECT rebal_id FROM closing) THEN TIMESTAMP '{AS_OF}' ELSE end_dt END AS end_dt FROM rebal
         UNION ALL
         SELECT 'R' || fund_id || '-2', fund_id, curr_code, accnts_count, TIMESTAMP '{AS_OF}', end_dt
-        FROM rebal WHERE curr_code <> 'C4' AND fund_id IN (SELECT fund_id FROM account)"""
+        FROM rebal WHERE rebal_id IN (SELECT rebal_id FROM closing)"""
     ),
     "fund_rebalance_counter": over_views(
-        """SELECT fund_id, curr_code, CAST(CASE WHEN curr_code <> 'C4' AND fund_id IN (SELECT fund_id FROM account)
-        THEN 1 ELSE 0 END AS DECIMAL(20,6)) AS balance FROM fund"""
+        f"""{_CYCLE} SELECT f.fund_id, f.curr_code, CAST(count(c.rebal_id) AS DECIMAL(20,6)) AS balance
+        FROM fund f LEFT JOIN closing c ON c.fund_id = f.fund_id GROUP BY f.fund_id, f.curr_code"""
     ),
     "fund_balance_history": over_result(
-        f"""SELECT row_number() OVER (ORDER BY fund_id) AS id, fund_id, rebal_id, curr_code, TIMESTAMP '{AS_OF}' AS log_dt, {money('sum(inv + cash)')} AS balance
-        FROM summary WHERE curr_code <> 'C4' GROUP BY fund_id, rebal_id, curr_code"""
+        f"""{_CYCLE}, worths AS (SELECT s.fund_id, sum(CASE WHEN m.accnt_id IS NULL
+            THEN {micros('s.inv_balance')} + {micros('s.cash_balance')} ELSE s.inv + s.cash END) AS v
+          FROM summary s LEFT JOIN marked m ON m.accnt_id = s.accnt_id GROUP BY s.fund_id)
+        SELECT row_number() OVER (ORDER BY c.fund_id) AS id, c.fund_id, c.rebal_id, r.curr_code,
+        TIMESTAMP '{AS_OF}' AS log_dt, {money('v')} AS balance
+        FROM closing c JOIN rebal r ON r.rebal_id = c.rebal_id JOIN worths w ON w.fund_id = c.fund_id"""
     ),
     "next_price_snapshot": over_views(
-        """SELECT 'R' || fund_id || '-2' AS rebal_id, fund_id, asset_id, exch_code, curr_code, price
-        FROM snapshot WHERE curr_code <> 'C4' AND fund_id IN (SELECT fund_id FROM account)"""
+        f"""{_CYCLE} SELECT 'R' || fund_id || '-2' AS rebal_id, fund_id, asset_id, exch_code, curr_code, price
+        FROM snapshot WHERE rebal_id IN (SELECT rebal_id FROM closing)"""
     ),
     # prices
     "price_update_latest": over_ticks(_LATEST),
@@ -387,6 +410,26 @@ ORACLES: dict[str, str] = {
            WHERE h.asset_id = l.asset_id AND h.price_dt > TIMESTAMP '2024-01-15 12:00:00'), l.p)""")} AS price
         FROM listing l"""
     ),
+    "price_hot_listing": over_ticks(
+        f""", one AS (SELECT p FROM listing ORDER BY asset_id LIMIT 1),
+        listed AS (SELECT list(variance ORDER BY ts, event_id) AS vs, list(event_id ORDER BY ts, event_id) AS ids FROM tick),
+        chain AS (
+          SELECT CAST(0 AS BIGINT) AS k, CAST(NULL AS HUGEINT) AS pre, CAST(p AS HUGEINT) AS post FROM one
+          UNION ALL
+          SELECT k + 1, post, CAST({half_up('post * (100 + vs[k + 1])', '100')} AS HUGEINT)
+          FROM chain, listed WHERE k < len(vs))
+        SELECT ids[k] AS id, {money('pre')} AS price_pre, {money('post')} AS price_post FROM chain, listed WHERE k > 0"""
+    ),
+    "price_asof_orders": over_ticks(
+        f""", moment AS (SELECT l_orderkey, l_linenumber, l_partkey AS asset_id, l.p AS p,
+          TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(l_orderkey % 30 AS INTEGER)) + to_hours(l_linenumber) AS at
+          FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN listing l ON l.asset_id = l_partkey)
+        SELECT l_orderkey, l_linenumber, m.asset_id AS asset_id, m.at AS at, {money("""coalesce(
+          (SELECT arg_max(h.post, (h.price_dt, h.id)) FROM history h
+           WHERE h.asset_id = m.asset_id AND h.price_dt <= m.at),
+          (SELECT arg_min(h.pre, (h.price_dt, h.id)) FROM history h
+           WHERE h.asset_id = m.asset_id AND h.price_dt > m.at), m.p)""")} AS price FROM moment m"""
+    ),
     # cash
     "deposit_enqueue": over_views(
         "SELECT tran_id, accnt_id, fund_id, curr_code, tx_type, amount, queued_dt FROM queue"
@@ -482,10 +525,39 @@ ORACLES: dict[str, str] = {
         f"""SELECT model_id, {money('sum(w)')} AS weight FROM model_asset
         WHERE asset_id IN (SELECT asset_id FROM listing) GROUP BY model_id HAVING sum(w) <> 1000000"""
     ),
+    "declared_violations": over_views(
+        """, twice AS (SELECT accnt_id, fund_id, curr_code, CASE WHEN accnt_id % 89 <> 0 THEN model_id END AS model_id
+          FROM account UNION ALL
+          SELECT accnt_id, fund_id, curr_code, CASE WHEN accnt_id % 89 <> 0 THEN model_id END
+          FROM account WHERE accnt_id % 97 = 0),
+        shifted AS (SELECT tran_id, accnt_id, curr_code,
+          fund_id + CASE WHEN accnt_id % 83 = 0 THEN 1 ELSE 0 END AS fund_id FROM queue)
+        SELECT 'account' AS operator, accnt_id::VARCHAR AS key, 'not unique: accnt_id' AS reason
+          FROM twice GROUP BY accnt_id HAVING count(*) > 1
+        UNION ALL SELECT 'rebal_fund', '3/1900-01-01 00:00:00', 'not unique: fund_id,end_dt' FROM rebal WHERE fund_id = 3
+        UNION ALL SELECT 'account', accnt_id || '/model_id', 'value is missing' FROM twice WHERE model_id IS NULL
+        UNION ALL SELECT 'model_asset', model_id || '/' || asset_id || '/' || asset_id || '/' || exch_code || '/' || curr_code,
+          'no such listing: asset_id,exch_code,curr_code' FROM model_asset
+          WHERE asset_id NOT IN (SELECT asset_id FROM listing)
+        UNION ALL SELECT 'holding', accnt_id || '/' || asset_id || '/' || asset_id || '/' || exch_code || '/' || curr_code,
+          'no such listing: asset_id,exch_code,curr_code' FROM holding
+          WHERE asset_id NOT IN (SELECT asset_id FROM listing)
+        UNION ALL SELECT 'transact_queue', tran_id || '/' || accnt_id || '/' || fund_id || '/' || curr_code,
+          'no such account: accnt_id,fund_id,curr_code' FROM shifted s
+          WHERE NOT EXISTS (SELECT 1 FROM account a WHERE a.accnt_id = s.accnt_id AND a.fund_id = s.fund_id)"""
+    ),
+    "stream_rejects": over_ticks(
+        """SELECT 'apply_ticks' AS operator, CAST(event_id AS VARCHAR) AS key, 'unknown listing' AS reason FROM passed
+        WHERE asset_id NOT IN (SELECT asset_id FROM listing)"""
+    ),
     "rejects": over_ticks(
         """SELECT 'price_holdings' AS operator, accnt_id || '/' || asset_id AS key,
         'warning: no snapshot price' AS reason FROM holding
         WHERE asset_id NOT IN (SELECT asset_id FROM listing)
+        UNION ALL SELECT DISTINCT 'price_models', t.rebal_id || '/' || m.model_id || '/' || m.asset_id,
+        'warning: no snapshot price' FROM target t JOIN model_asset m ON m.model_id = t.model_id
+        WHERE NOT EXISTS (SELECT 1 FROM snapshot s WHERE s.rebal_id = t.rebal_id AND s.asset_id = m.asset_id
+          AND s.exch_code = m.exch_code AND s.curr_code = m.curr_code)
         UNION ALL SELECT 'apply_ticks', CAST(event_id AS VARCHAR), 'unknown listing' FROM passed
         WHERE asset_id NOT IN (SELECT asset_id FROM listing)"""
     ),

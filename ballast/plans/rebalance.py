@@ -28,6 +28,7 @@ class Portfolio:
     gate: DataFrame | None = None
     processed: DataFrame | None = None
     balance_history: DataFrame | None = None
+    rejected: DataFrame | None = None
 
 
 class Rebalance:
@@ -140,6 +141,18 @@ class Rebalance:
         target = valuation.target_balance(self.due, value, queued)
         return self.stage(allocation.judge(target, self.priced_models[1]), "judged")
 
+    @cached_property
+    def unpriced_models(self) -> DataFrame:
+        """Assets without a snapshot price, once per rebalance and model of a due account;
+        the accounts are combined before they meet the models' assets."""
+        used = self.judged.select("rebal_id", "model_id").distinct()
+        prices = self.snapshot.select("rebal_id", "asset_id", "exch_code", "curr_code")
+        return (
+            self.state.model_asset.select("model_id", "asset_id", "exch_code", "curr_code")
+            .join(used, "model_id")
+            .join(prices, ["rebal_id", "asset_id", "exch_code", "curr_code"], "left_anti")
+        )
+
     @cached_property
     def outside(self) -> DataFrame:
         """Held assets that the account's model does not contain."""
@@ -230,10 +243,15 @@ class Rebalance:
 
     @cached_property
     def rebal_rejected(self) -> DataFrame:
-        """Accounts set aside. They stay due, but do not keep their fund open."""
+        """Accounts set aside, unless an earlier run has stored that. They stay due, but do
+        not keep their fund open."""
         columns = ["rebal_id", "fund_id", "accnt_id", "curr_code", "model_id"]
         gone = self.target.select("rebal_id", "accnt_id")
-        return self.judged.select(columns).join(gone, ["rebal_id", "accnt_id"], "left_anti")
+        rows = self.judged.select(columns).join(gone, ["rebal_id", "accnt_id"], "left_anti")
+        if self.state.rejected is not None:
+            told = self.state.rejected.join(self.open_headers, "rebal_id", "left_semi")
+            rows = rows.join(told.select("rebal_id", "accnt_id"), ["rebal_id", "accnt_id"], "left_anti")
+        return rows
 
     @cached_property
     def transact(self) -> DataFrame:
@@ -241,7 +259,8 @@ class Rebalance:
 
     @cached_property
     def rejects(self) -> DataFrame:
-        """Accounts set aside, and a warning per holding without a price."""
+        """Accounts set aside, and a warning per holding, and per asset of a model in use,
+        without a price."""
         account = [F.col("rebal_id"), F.col("accnt_id")]
         rows = quality.reject(
             self.judged.filter("not sound"),
@@ -256,6 +275,14 @@ class Rebalance:
                 "warning: no snapshot price",
             )
         )
+        rows = rows.unionByName(
+            quality.reject(
+                self.unpriced_models,
+                "price_models",
+                [F.col("rebal_id"), F.col("model_id"), F.col("asset_id")],
+                "warning: no snapshot price",
+            )
+        )
         if self.strict:
             rows = rows.unionByName(
                 quality.reject(

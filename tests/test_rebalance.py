@@ -119,7 +119,7 @@ def test_unpriced_rows_vanish_and_are_reported(world):
     run = Rebalance(world(cash=[(1, 40, 100)], holding=[(1, 6, 7)]), AS_OF)
     assert units(run) == [(1, 1, dec(13))]  # 12.5 rounds up, away from zero
     assert rows_of(run.holding, "asset_id") == [(1,)]
-    assert rows_of(run.rejects, "operator", "key") == [("price_holdings", "1/6")]
+    assert rows_of(run.rejects, "operator", "key") == [("price_holdings", "1/6"), ("price_models", "R1-1/40/6")]
 
 
 def test_zero_price_sets_only_that_account_aside(world):
