@@ -21,11 +21,20 @@ from ballast.llm.shared import free_name, id_bucket
 
 # A text that no language explains better than this is rejected.
 LEAST_SCORE = 0.35
+# Rows that go to a Python worker at a time, unless the application chose a number: whole
+# texts are some kilobytes each, and workers and executors hold a few such batches.
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"
+
+
+def _bounded(spark: SparkSession) -> None:
+    if not spark.sparkContext.getConf().contains(BATCH[0]):
+        spark.conf.set(*BATCH)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose text has a letter and a language the model is sure of.
     The model learns from rows with a language that are not held out."""
+    _bounded(spark)
     net = byte_cnn.fit(docs, id_bucket(F.col("doc_id"), 4) != 2)
     lang, score = free_name(docs, "_lang"), free_name(docs, "_score")
     judged = byte_cnn.predict(docs, net, lang_pred=lang, score=score)
@@ -35,21 +44,25 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the first of each group of equal texts."""
+    _bounded(spark)
     return block_naming.drop_copies(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the first of each class of near duplicates."""
+    _bounded(spark)
     return order_minhash.drop_near(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order in which the sources' blocks are scheduled."""
+    _bounded(spark)
     return pfair.mixed(docs, pfair.tempered(docs))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents, with their ids."""
+    _bounded(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
