@@ -51,9 +51,19 @@ def _new(stored: DataFrame, rows: DataFrame) -> DataFrame:
     return fresh.join(stored.select("tran_id"), "tran_id", "left_anti").select(rows.columns)
 
 
+def new_deposits(queue: DataFrame, requests: DataFrame) -> DataFrame:
+    """Queue rows to append."""
+    return _new(queue, as_deposits(requests))
+
+
 def enqueue_deposits(queue: DataFrame, requests: DataFrame) -> DataFrame:
     """The queue with the new deposits."""
-    return queue.select(QUEUE).unionByName(_new(queue, as_deposits(requests)))
+    return queue.select(QUEUE).unionByName(new_deposits(queue, requests))
+
+
+def new_queued_withdrawals(queue: DataFrame, requests: DataFrame) -> DataFrame:
+    """Queue rows to append, which count in the next rebalance."""
+    return _new(queue, _typed(requests, WITHDRAWAL))
 
 
 def new_withdrawals(
@@ -69,7 +79,7 @@ def record_withdrawals(
     """Withdrawals go straight to the ledger, so they never reduce a target. With
     ``via_queue`` the target is the queue and they count in the next rebalance."""
     if via_queue:
-        return target.select(QUEUE).unionByName(_new(target, _typed(requests, WITHDRAWAL)))
+        return target.select(QUEUE).unionByName(new_queued_withdrawals(target, requests))
     return target.select(LEDGER).unionByName(new_withdrawals(target, requests, processed_dt))
 
 

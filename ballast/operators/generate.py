@@ -80,6 +80,11 @@ def draw(key: Column, salt: int) -> Column:
     return F.floor(value / DROPPED).cast("bigint")
 
 
+def wide_draw(key: Column, high: int, low: int) -> Column:
+    """As ``draw``, of twice as many bits, for picks among very many."""
+    return draw(key, high) * F.lit(MODULUS // DROPPED) + draw(key, low)
+
+
 def _positions(df: DataFrame, key: str, out: str) -> DataFrame:
     """Rows of a small reference table numbered from 0 by their code."""
     codes = df.agg(F.array_sort(F.collect_set(key)).alias("codes"))
@@ -144,10 +149,10 @@ def gen_model_assets(model: DataFrame, listing: DataFrame) -> DataFrame:
     sized = (
         model.join(listed, "curr_code")
         .withColumn("n", F.least(F.col("assets_count").cast("bigint"), F.col("listed")))
-        .withColumn("start", draw(F.col("model_id"), 3) % F.col("listed"))
+        .withColumn("start", wide_draw(F.col("model_id"), 3, 8) % F.col("listed"))
         .withColumn(
             "stride",
-            draw(F.col("model_id"), 4)
+            wide_draw(F.col("model_id"), 4, 9)
             % F.greatest(F.expr(f"listed div {MAX_ASSETS}"), F.lit(1))
             + 1,
         )
@@ -201,7 +206,7 @@ def gen_accounts(
     )
     return (
         rows.join(sized_broadcast(funds.join(choice, "curr_code")), "fund_no")
-        .withColumn("model_no", draw(F.col("accnt_id"), 6) % F.col("models") + 1)
+        .withColumn("model_no", wide_draw(F.col("accnt_id"), 6, 10) % F.col("models") + 1)
         .join(sized_broadcast(numbered), ["curr_code", "model_no"])
         .select(
             "accnt_id",

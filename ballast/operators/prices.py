@@ -39,28 +39,64 @@ class PriceUpdate:
     rejects: DataFrame
 
 
-def gate_ticks(ticks: DataFrame, gate_closed: DataFrame) -> DataFrame:
-    """Ticks that arrive while their currency's gate is open.
+def gate_index(gate_closed: DataFrame) -> DataFrame:
+    """Closed intervals as one row per currency and month they touch: their starts in
+    order, and beside each the latest end of any that started by then, so intervals may
+    overlap. ``steps`` are the powers of two that a search over the starts goes through.
 
-    Closed intervals are spread over the hours they touch, so the range condition
-    is only tested within one (currency, hour) and the join stays an equi-join.
+    A row holds what one currency closes in one month, however long intervals are.
+    Empty intervals and those with a null close nothing.
     """
-    hours = F.sequence(
-        F.date_trunc("hour", "closed_from"), F.date_trunc("hour", "closed_to"), F.expr("interval 1 hour")
+    first, last = F.date_trunc("month", "closed_from"), F.date_trunc("month", "closed_to")
+    so_far = (
+        Window.partitionBy("closed_curr", "month")
+        .orderBy("closed_from")
+        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    closed = gate_closed.filter(F.col("closed_from") < F.col("closed_to")).select(
-        F.col("curr_code").alias("closed_curr"),
-        "closed_from",
-        "closed_to",
-        F.explode(hours).alias("hour"),
+    bounds = F.array_sort(F.collect_set(F.struct("closed_from", "until")))
+    top = F.floor(F.log2(F.size("bounds"))).cast("int")
+    return (
+        gate_closed.filter(F.col("closed_from") < F.col("closed_to"))
+        .select(
+            F.col("curr_code").alias("closed_curr"),
+            "closed_from",
+            "closed_to",
+            F.explode(F.sequence(first, last, F.expr("interval 1 month"))).alias("month"),
+        )
+        .withColumn("until", F.max("closed_to").over(so_far))
+        .groupBy("closed_curr", "month")
+        .agg(bounds.alias("bounds"))
+        .select(
+            "closed_curr",
+            "month",
+            F.col("bounds.closed_from").alias("starts"),
+            F.col("bounds.until").alias("until"),
+            F.transform(
+                F.sequence(top, F.lit(0), F.lit(-1)), lambda k: F.pow(F.lit(2), k).cast("int")
+            ).alias("steps"),
+        )
     )
-    inside = (
-        (F.col("curr_code") == F.col("closed_curr"))
-        & (F.date_trunc("hour", "ts") == F.col("hour"))
-        & (F.col("ts") >= F.col("closed_from"))
-        & (F.col("ts") < F.col("closed_to"))
+
+
+def gate_ticks(ticks: DataFrame, gate_closed: DataFrame) -> DataFrame:
+    """Ticks that arrive while their currency's gate is open.
+
+    Each tick meets the one index row of its currency and month, an equi-join, and finds
+    the last start at or before it by binary search.
+    """
+
+    def further(found: Column, step: Column) -> Column:
+        there = F.get("starts", found + step - 1)
+        return F.when(there <= F.col("ts"), found + step).otherwise(found)
+
+    started = F.aggregate("steps", F.lit(0), further)
+    closed = F.col("ts") < F.get("until", started - 1)
+    same = (F.col("curr_code") == F.col("closed_curr")) & (F.date_trunc("month", "ts") == F.col("month"))
+    return (
+        ticks.join(gate_index(gate_closed), same, "left")
+        .filter(~F.coalesce(closed, F.lit(False)))
+        .select(*[ticks[name] for name in ticks.columns])
     )
-    return ticks.join(closed, inside, "left_anti")
 
 
 def unknown_ticks(ticks: DataFrame, listing_price: DataFrame) -> DataFrame:

@@ -321,6 +321,31 @@ def price_gate_filter(src):
     return prices.gate_ticks(src.ticks(), src.gate_closed())
 
 
+@query
+def price_gate_long(src):
+    """Every order closes its currency for a while: many short closings that overlap, some
+    of two years."""
+    key = F.col("o_orderkey")
+    began = F.expr("timestamp_ntz'2024-01-01 00:00:00'")
+    at = key * 433 % 2_592_000
+    long_from = F.expr("timestamp_ntz'2022-01-01 00:00:00' + make_dt_interval(cast(o_orderkey % 30 as int))")
+    long_to = F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(cast(o_orderkey % 11 as int))")
+    is_long = key % 97 == 0
+    owners = src.account().select(F.col("accnt_id").alias("o_custkey"), "curr_code")
+    closed = (
+        src.raw("orders")
+        .join(owners, "o_custkey")
+        .select(
+            "curr_code",
+            F.when(is_long, long_from).otherwise(began + F.make_dt_interval(secs=at)).alias("closed_from"),
+            F.when(is_long, long_to)
+            .otherwise(began + F.make_dt_interval(secs=at + key % 100))
+            .alias("closed_to"),
+        )
+    )
+    return prices.gate_ticks(src.ticks(), closed)
+
+
 @query
 def price_asof_snapshot(src):
     return prices.snapshot_asof(_folded(src).history, src.listing_price(), PRICE_MOMENT)

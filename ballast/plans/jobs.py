@@ -185,12 +185,19 @@ def run_ticks(
     )
 
 
+def _queued(folders: Folders, rows: DataFrame, out_dir: str) -> Folders:
+    """The queue is replaced by a rebalance but added to by requests: their rows become
+    one folder more, and what waits already is not written again."""
+    path = write_table(rows, f"{out_dir}/transact_queue", "transact_queue")
+    return {**folders, "transact_queue": [*folders.get("transact_queue", []), path]}
+
+
 def run_deposits(
     spark: SparkSession, folders: Folders, requests: DataFrame, out_dir: str
 ) -> Folders:
     """Add deposits to the queue."""
     queue = read_table(spark, folders, "transact_queue")
-    return write_tables({"transact_queue": cash.enqueue_deposits(queue, requests)}, out_dir, folders)
+    return _queued(folders, cash.new_deposits(queue, requests), out_dir)
 
 
 def run_withdrawals(
@@ -199,8 +206,7 @@ def run_withdrawals(
     """Add withdrawals to the ledger, or to the queue."""
     if via_queue:
         queue = read_table(spark, folders, "transact_queue")
-        added = cash.record_withdrawals(queue, requests, via_queue=True)
-        return write_tables({"transact_queue": added}, out_dir, folders)
+        return _queued(folders, cash.new_queued_withdrawals(queue, requests), out_dir)
     ledger = read_table(spark, folders, "transact")
     return write_tables({"transact": cash.new_withdrawals(ledger, requests)}, out_dir, folders)
 

@@ -226,6 +226,10 @@ def draw(key: str, salt: int) -> str:
     return f"({value} // 1024)"
 
 
+def wide_draw(key: str, high: int, low: int) -> str:
+    return f"({draw(key, high)} * 2097152 + {draw(key, low)})"
+
+
 _GRID = """
 grid AS (
   SELECT row_number() OVER (ORDER BY s_suppkey, r_regionkey, k) AS model_id,
@@ -238,7 +242,8 @@ placed AS (
   FROM listing),
 sized AS (
   SELECT model_id, grid.curr_code, listed, least({draw('model_id', 2)} % 16 + 5, listed) AS n,
-         {draw('model_id', 3)} % listed AS start, {draw('model_id', 4)} % greatest(listed // 20, 1) + 1 AS stride
+         {wide_draw('model_id', 3, 8)} % listed AS start,
+         {wide_draw('model_id', 4, 9)} % greatest(listed // 20, 1) + 1 AS stride
   FROM grid JOIN (SELECT curr_code, count(*) AS listed FROM listing GROUP BY curr_code) c
     ON c.curr_code = grid.curr_code),
 stick AS (
@@ -402,6 +407,17 @@ ORACLES: dict[str, str] = {
     "price_gate_filter": over_ticks(
         "SELECT event_id, ts, asset_id, exch_code, curr_code, variance FROM passed"
     ),
+    "price_gate_long": over_ticks(
+        """SELECT event_id, ts, asset_id, exch_code, curr_code, variance FROM tick WHERE NOT EXISTS (
+          SELECT 1 FROM orders JOIN customer ON c_custkey = o_custkey
+          WHERE 'C' || (c_nationkey % 5) = tick.curr_code
+          AND CASE WHEN o_orderkey % 97 = 0
+            THEN tick.ts >= TIMESTAMP '2022-01-01 00:00:00' + to_days(CAST(o_orderkey % 30 AS INTEGER))
+             AND tick.ts < TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(o_orderkey % 11 AS INTEGER))
+            ELSE tick.ts >= TIMESTAMP '2024-01-01 00:00:00' + to_seconds(o_orderkey * 433 % 2592000)
+             AND tick.ts < TIMESTAMP '2024-01-01 00:00:00' + to_seconds(o_orderkey * 433 % 2592000 + o_orderkey % 100)
+            END)"""
+    ),
     "price_asof_snapshot": over_ticks(
         f"""SELECT l.asset_id, l.exch_code, l.curr_code, {money("""coalesce(
           (SELECT arg_max(h.post, (h.price_dt, h.id)) FROM history h
@@ -603,6 +619,6 @@ ORACLES: dict[str, str] = {
         SELECT accnt_id, accnt_id AS inv_id, 'Investor' || accnt_id AS inv_name, people.curr_code, fund_id, model_id,
                CAST(({draw('accnt_id', 7)} % 100 + 1) * 1000 AS DECIMAL(20,6)) AS deposit
         FROM people JOIN choice ON choice.curr_code = people.curr_code
-         AND model_no = {draw('accnt_id', 6)} % models + 1"""
+         AND model_no = {wide_draw('accnt_id', 6, 10)} % models + 1"""
     ),
 }

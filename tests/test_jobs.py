@@ -50,6 +50,19 @@ def table(spark, folders, name):
     return read_table(spark, folders, name)
 
 
+def test_deposits_are_added_to_the_queue_without_rewriting_it(spark, cycle, tmp_path):
+    state = next(s for s in cycle if len(s.get("transact_queue", [])) > 1)
+    before = cycle[cycle.index(state) - 1]["transact_queue"]
+    assert state["transact_queue"][:-1] == before
+    added = read_table(spark, {"transact_queue": state["transact_queue"][-1:]}, "transact_queue")
+    again = jobs.run_deposits(
+        spark, state, added.drop("tx_type"), str(tmp_path / "again")
+    )
+    waiting = read_table(spark, state, "transact_queue").count()
+    assert added.count() > 0
+    assert read_table(spark, again, "transact_queue").count() == waiting
+
+
 def test_generated_tables_keep_their_keys(spark, cycle):
     names = [name for name in KEYS if name in cycle[0]]
     tables = {name: table(spark, cycle[0], name) for name in names}

@@ -95,6 +95,29 @@ def test_gate_drops_ticks_in_half_open_interval(spark, table):
     assert rows_of(prices.gate_ticks(ticks, closed), "event_id") == [(0,), (4,)]
 
 
+def test_gate_finds_the_interval_among_long_and_overlapping_ones(spark, table):
+    draw = random.Random(5)
+    minute = timedelta(minutes=1)
+    closed = [("C0", START - 4000 * 1440 * minute, START - 900 * 1440 * minute), ("C1", START, START)]
+    for _ in range(300):
+        begin = START + draw.randrange(-50_000, 150_000) * minute
+        length = draw.choice([-5, 0, 1, 3, 40, 60_000 if draw.random() < 0.05 else 7])
+        closed.append((draw.choice(["C0", "C1"]), begin, begin + length * minute))
+    at = [START + draw.randrange(-60_000, 210_000) * minute for _ in range(2000)]
+    at += [bound for _, a, b in closed for bound in (a, b)]
+    ticks = [(i, t, 1, "X", f"C{i % 3}", 1) for i, t in enumerate(at)]
+    kept = {
+        (i,)
+        for i, t, _, _, curr, _ in ticks
+        if not any(c == curr and a <= t < b for c, a, b in closed)
+    }
+    got = rows_of(prices.gate_ticks(table("price_tick", ticks), table("gate_closed", closed)), "event_id")
+    assert 100 < len(kept) < len(ticks) - 100 and got == sorted(kept, key=repr)
+    # Ten years are one row a month, however many hours they have.
+    ten = table("gate_closed", [("C0", START, START + timedelta(days=3650))])
+    assert prices.gate_index(ten).count() <= 121
+
+
 def test_asof_uses_change_before_then_after_then_current(spark, table):
     listing = table("listing_price", [(a, "X", "C0", dec(a)) for a in (1, 2, 3)])
     history = table(
