@@ -92,6 +92,34 @@ class Adam:
             value -= self.rate * near / (np.sqrt(v / (1 - 0.999**self.steps)) + 1e-8)
 
 
+def gradients(
+    net: Network, x: np.ndarray, y: np.ndarray, weight: np.ndarray
+) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Each of the network's parameters with the gradient of the mean cross-entropy, where
+    a row counts by the weight of its language."""
+    best, top = {}, []
+    for w in WIDTHS:
+        response = net.responses(x, w)
+        best[w] = response.argmax(axis=1)
+        top.append(np.take_along_axis(response, best[w][:, None], 1)[:, 0] + net.biases[w])
+    before = np.concatenate(top, axis=1)
+    hidden = np.maximum(before, 0)
+    delta = softmax(hidden @ net.out + net.out_bias)
+    delta[np.arange(len(y)), y] -= 1
+    delta *= (weight[y] / len(y))[:, None]
+    back = (delta @ net.out.T) * (before > 0)
+    pairs = [(net.out, (hidden.T @ delta).astype(np.float32))]
+    pairs.append((net.out_bias, delta.sum(axis=0).astype(np.float32)))
+    for i, w in enumerate(WIDTHS):
+        own = back[:, i * FILTERS : (i + 1) * FILTERS].astype(np.float32)
+        gradient = np.zeros_like(net.tables[w])
+        rows, columns = np.arange(len(y))[:, None], np.arange(FILTERS)[None]
+        for j in range(w):
+            np.add.at(gradient[j], (x[rows, best[w] + j], columns), own)
+        pairs += [(net.tables[w], gradient), (net.biases[w], own.sum(axis=0))]
+    return pairs
+
+
 def train(
     windows: np.ndarray, labels: np.ndarray, languages: list[str], seed: int = 7
 ) -> Network:
@@ -112,26 +140,7 @@ def train(
         for begin in range(0, len(order), 128):
             pick = order[begin : begin + 128]
             x, y = windows[pick], labels[pick]
-            best, top = {}, []
-            for w in WIDTHS:
-                response = net.responses(x, w)
-                best[w] = response.argmax(axis=1)
-                top.append(np.take_along_axis(response, best[w][:, None], 1)[:, 0] + net.biases[w])
-            before = np.concatenate(top, axis=1)
-            hidden = np.maximum(before, 0)
-            delta = softmax(hidden @ net.out + net.out_bias)
-            delta[np.arange(len(y)), y] -= 1
-            delta *= (weight[y] / len(y))[:, None]
-            back = (delta @ net.out.T) * (before > 0)
-            pairs = [(net.out, (hidden.T @ delta).astype(np.float32))]
-            pairs.append((net.out_bias, delta.sum(axis=0).astype(np.float32)))
-            for i, w in enumerate(WIDTHS):
-                own = back[:, i * FILTERS : (i + 1) * FILTERS].astype(np.float32)
-                gradient = np.zeros_like(net.tables[w])
-                rows, columns = np.arange(len(y))[:, None], np.arange(FILTERS)[None]
-                for j in range(w):
-                    np.add.at(gradient[j], (x[rows, best[w] + j], columns), own)
-                pairs += [(net.tables[w], gradient), (net.biases[w], own.sum(axis=0))]
+            pairs = gradients(net, x, y, weight)
             adam.step(pairs)
     return net
 

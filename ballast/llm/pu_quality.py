@@ -6,15 +6,17 @@ text positive, from which the share that hidden positives must have in it, the c
 prior, is taken off. Where the remainder falls below zero, which only over-fitting can
 do, the step goes back instead of on.
 
-The prior is the share of positives among the labelled training rows, counted over all
-of them. The fit uses a bounded sample, ``positives`` and ``unlabelled`` rows chosen
-by a hash of the id; negative labels serve for the prior alone. Features are made of
-each whole text in Spark tasks: frequencies of adjacent pairs of character classes and
-a few measures of repetition.
+The prior is estimated from positives and unlabelled rows alone. A logistic scorer is
+fitted to tell the two apart and applied to rows kept out of it, in folds. At any cut, the
+share of unlabelled rows above it, over that of positives, bounds the prior from above;
+the least bound over cuts is taken, less two standard errors. Rows labelled 0 count as
+unlabelled. The fit uses a bounded sample, ``positives`` and ``unlabelled`` rows chosen
+by a hash of the id. Features are made of each whole text, however long, in Spark tasks:
+frequencies of adjacent pairs of character classes and a few measures of repetition.
 
 A null text counts as empty and is scored like any text. Labels that are null, repeated
 or for no document are combined by their mean, or ignored. Without positives every text
-scores the prior, or 0 without labels. Other columns pass through.
+scores 0. Other columns pass through; one named as the score is replaced by it.
 """
 
 from __future__ import annotations
@@ -33,6 +35,9 @@ POSITIVES = 3000
 UNLABELLED = 6000
 STEPS = 800
 THRESHOLD = 0.3
+FOLDS = 4
+FOLD_STEPS = 200
+PRIORS = 0.02, 0.98
 MARKS = b"|*&%$#!.,:;'\"-_"
 CLASSES = 49
 MEASURES = 6
@@ -124,6 +129,52 @@ def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float, seed: int
     return Scorer(w, b)
 
 
+def apart(positive: np.ndarray, unlabelled: np.ndarray, draw: np.random.Generator) -> np.ndarray:
+    """Weights that tell positives from unlabelled rows, both weighing the same."""
+    w, b = np.zeros(positive.shape[1], np.float32), 0.0
+    m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
+    for step in range(1, FOLD_STEPS + 1):
+        p = positive[draw.integers(0, len(positive), 512)].astype(np.float32)
+        u = unlabelled[draw.integers(0, len(unlabelled), 512)].astype(np.float32)
+        gp, gu = (sigmoid(p @ w + b) - 1) / 1024, sigmoid(u @ w + b) / 1024
+        g, gb = p.T @ gp + u.T @ gu + 1e-4 * w, gp.sum() + gu.sum()
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
+        rate = 0.05 * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
+        w = (w - rate * m / (np.sqrt(v) + 1e-8)).astype(np.float32)
+        b -= float(rate * mb / (np.sqrt(vb) + 1e-8))
+    return w
+
+
+def least_bound(above_p: np.ndarray, above_u: np.ndarray, n_p: int, n_u: int) -> float:
+    """The least of ``above_u / above_p`` with regard to its error, less two errors.
+    Both are shares above the same cuts, of ``n_p`` and ``n_u`` rows."""
+    spread = above_u * (1 - above_u) / n_u + above_p * (1 - above_p) / n_p
+    error = np.sqrt(spread + 1 / n_p**2)
+    best = np.argmin((above_u + error) / above_p)
+    return float((above_u[best] / above_p[best] - 2 * error[best]).clip(*PRIORS))
+
+
+def class_prior(positive: np.ndarray, unlabelled: np.ndarray, seed: int = 5) -> float:
+    """Share of positives in the unlabelled rows; a half where either has one row only."""
+    draw = np.random.default_rng(seed)
+    folds = min(FOLDS, len(positive), len(unlabelled))
+    if folds < 2:
+        return 0.5
+    above = []
+    for fold in range(folds):
+        out_p = np.arange(len(positive)) % folds == fold
+        out_u = np.arange(len(unlabelled)) % folds == fold
+        w = apart(positive[~out_p], unlabelled[~out_u], draw)
+        p = np.sort(positive[out_p].astype(np.float32) @ w)
+        u = np.sort(unlabelled[out_u].astype(np.float32) @ w)
+        # Cuts that leave from half to all of the positives above.
+        cuts = p[((1 - np.linspace(0.5, 1, 51)) * len(p)).astype(int)]
+        above.append([1 - np.searchsorted(x, cuts) / len(x) for x in (p, u)])
+    above_p, above_u = np.mean(above, axis=0)
+    return least_bound(above_p, above_u, len(positive), len(unlabelled))
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -140,19 +191,16 @@ def fit(
         .groupBy(F.col(doc_id).alias("id"))
         .agg((F.avg(quality) >= 0.5).alias("good"))
     )
-    counts = known.agg(F.count("*").alias("n"), F.count_if("good").alias("good")).first()
-    rows = docs.filter(trainable).count()
-    if not counts["n"]:
+    good = known.filter("good")
+    n_good, rows = good.count(), docs.filter(trainable).count()
+    if not n_good or not rows:
         return Scorer(None, -50.0)
-    prior = min(0.98, max(0.02, counts["good"] / counts["n"]))
-    if not counts["good"] or not rows:
-        return Scorer(None, float(np.log(prior / (1 - prior))))
 
     def drawn(key: Column, share: float) -> Column:
         return F.pmod(F.xxhash64(key.cast("string")), F.lit(1 << 20)) < int(share * (1 << 20)) + 1
 
     # The positives drawn are about ``positives`` ids: a broadcast of bounded size.
-    chosen = known.filter("good").filter(drawn(F.col("id"), positives / counts["good"])).select("id")
+    chosen = good.filter(drawn(F.col("id"), positives / n_good)).select("id")
     key = F.concat(F.lit("u"), F.col(doc_id).cast("string"))
 
     @F.pandas_udf("binary")
@@ -176,12 +224,12 @@ def fit(
     p = x[sample["is_p"].notna().to_numpy()]
     u = x[sample["is_u"].to_numpy()]
     if not len(p) or not len(u):
-        return Scorer(None, float(np.log(prior / (1 - prior))))
-    return train(p, u, prior)
+        return Scorer(None, -50.0)
+    return train(p, u, class_prior(p, u))
 
 
-def score(docs: DataFrame, scorer: Scorer, text: str = "text") -> DataFrame:
-    """``docs`` with ``score``."""
+def score(docs: DataFrame, scorer: Scorer, text: str = "text", out: str = "score") -> DataFrame:
+    """``docs`` with the score as ``out``."""
 
     @F.pandas_udf("double")
     def judged(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -192,4 +240,4 @@ def score(docs: DataFrame, scorer: Scorer, text: str = "text") -> DataFrame:
             ]
             yield pd.Series(np.concatenate(parts) if parts else [], dtype="float64")
 
-    return docs.withColumn("score", judged(whole(F.col(text))))
+    return docs.withColumn(out, judged(whole(F.col(text))))
