@@ -70,6 +70,8 @@ def rebalance_progress(
     settled = processed.select("rebal_id", "accnt_id")
     if rejected is not None:
         settled = settled.unionByName(rejected.select("rebal_id", "accnt_id"))
+    # Of the whole history only the open rebalances matter.
+    settled = settled.join(running.select("rebal_id"), "rebal_id", "left_semi")
     settled = settled.distinct().withColumn("settled", F.lit(1))
     counts = (
         account.select("accnt_id", "fund_id")

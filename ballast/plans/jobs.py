@@ -35,7 +35,7 @@ class _Stage:
     def __call__(self, df: DataFrame, label: str) -> DataFrame:
         if label in TABLES:
             self.outputs[label] = write_table(df, f"{self.out_dir}/{label}", label)
-            return df.sparkSession.read.schema(TABLES[label]).parquet(self.outputs[label])
+            return read_table(df.sparkSession, {label: [self.outputs[label]]}, label)
         path = f"{self.out_dir}/_stage/{label}"
         df.write.parquet(path)
         return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -3,12 +3,16 @@
 State is never changed in place. A job reads the folders that make up the present
 state and writes new ones; a table then points at its new folder (state) or at one
 folder more (history).
+
+Histories that a rebalance looks into for its own rows are partitioned by rebalance, so
+that a job reads the partitions of the open ones, however long the history has become.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +39,9 @@ APPENDED = {
     "rejects",
 }
 
+# All folders of these are partitioned by the column, so they come from write_table.
+PARTITIONED = {"price_snapshot": "rebal_id", "rebal_account": "rebal_id", "rebal_rejected": "rebal_id"}
+
 WRITERS = 4
 
 
@@ -43,14 +50,24 @@ def read_table(spark: SparkSession, folders: Folders, name: str) -> DataFrame:
     schema = TABLES[name]
     if not folders.get(name):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*folders[name])
+    scan = spark.read.schema(schema)
+    if name not in PARTITIONED:
+        return scan.parquet(*folders[name])
+    # Spark takes partitioned folders without a common root one by one.
+    parts = [scan.parquet(path).select(schema.names) for path in folders[name]]
+    return reduce(DataFrame.unionAll, parts)
 
 
 def write_table(df: DataFrame, path: str, name: str) -> str:
     """Write in the declared column order and types; a value that does not fit
     fails the write, and so does a folder that exists."""
     columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLES[name].fields]
-    df.select(columns).write.parquet(path)
+    rows, by = df.select(columns), PARTITIONED.get(name)
+    if by is None:
+        rows.write.parquet(path)
+    else:
+        # A partition's rows come together, a large one in several tasks: few files each.
+        rows.hint("rebalance", by).write.partitionBy(by).parquet(path)
     return path
 
 

@@ -4,10 +4,11 @@ import pytest
 from portfolio import THEN, rows_of
 from pyspark.sql import functions as F
 
-from ballast.operators import quality
+from ballast.operators import funds, quality
 from ballast.plans import jobs
-from ballast.schemas import KEYS
-from ballast.sources.state import read_table
+from ballast.plans.rebalance import Portfolio, Rebalance
+from ballast.schemas import KEYS, TABLES
+from ballast.sources.state import PARTITIONED, read_table, read_tables
 
 DAYS = [f"2024-01-0{n} 00:00:00" for n in range(1, 8)]
 
@@ -50,6 +51,38 @@ def table(spark, folders, name):
     return read_table(spark, folders, name)
 
 
+def test_only_partitions_of_open_rebalances_are_read(spark, cycle):
+    state = cycle[-1]
+    assert len(state["rebal_account"]) > 1 and len(state["price_snapshot"]) > 1
+    read = {name: read_table(spark, state, name) for name in ("balance", "rebal_fund", *PARTITIONED)}
+    for name in PARTITIONED:
+        assert read[name].columns == TABLES[name].names
+    portfolio = Portfolio(
+        **read_tables(spark, state, ["balance", "holding", "model_asset", "rebal_fund"]),
+        queue=read_table(spark, state, "transact_queue"),
+        snapshot=read["price_snapshot"],
+        processed=read["rebal_account"],
+        rejected=read["rebal_rejected"],
+    )
+    again = Rebalance(portfolio, DAYS[4])
+    progress = funds.rebalance_progress(
+        read["balance"], read["rebal_fund"], read["rebal_account"], read["rebal_rejected"]
+    )
+    for plan in (again.due, again.snapshot, progress):
+        assert pruned(plan)
+    # Nothing of the closed rebalance is in what was read.
+    opened = {r.rebal_id for r in funds.open_rebalances(read["rebal_fund"]).collect()}
+    every = {r.rebal_id for r in read["price_snapshot"].select("rebal_id").distinct().collect()}
+    seen = {r.rebal_id for r in again.snapshot.select("rebal_id").distinct().collect()}
+    assert seen == opened and opened < every
+
+
+def pruned(df) -> bool:
+    """Whether a scan's partition filters have a condition known only at run time."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return any("dynamicpruning" in line and "PartitionFilters" in line for line in plan.splitlines())
+
+
 def test_deposits_are_added_to_the_queue_without_rewriting_it(spark, cycle, tmp_path):
     state = next(s for s in cycle if len(s.get("transact_queue", [])) > 1)
     before = cycle[cycle.index(state) - 1]["transact_queue"]
