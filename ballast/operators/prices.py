@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from ballast.functions.money import AMOUNT, INTEGER, amount, micros
-from ballast.functions.sizing import cut_lineage, staged
+from ballast.functions.sizing import cut_lineage, fits_broadcast, staged
 from ballast.functions.tickfold import BRACKET, LISTING, fold, fold_piece, piece_maps
 from ballast.operators.quality import reject
 
@@ -31,6 +31,9 @@ from ballast.operators.quality import reject
 HOT_TICKS = 5_000_000
 PIECE_TICKS = 2_000_000
 
+# Up to so many closings a tick carries those of its month; more are merged with the ticks.
+INDEX_ROWS = 1000
+
 
 @dataclass
 class PriceUpdate:
@@ -44,7 +47,8 @@ def gate_index(gate_closed: DataFrame) -> DataFrame:
     order, and beside each the latest end of any that started by then, so intervals may
     overlap. ``steps`` are the powers of two that a search over the starts goes through.
 
-    A row holds what one currency closes in one month, however long intervals are.
+    A row holds what one currency closes in one month, however long intervals are, and
+    every tick of that month carries it, so this is for few intervals.
     Empty intervals and those with a null close nothing.
     """
     first, last = F.date_trunc("month", "closed_from"), F.date_trunc("month", "closed_to")
@@ -78,12 +82,15 @@ def gate_index(gate_closed: DataFrame) -> DataFrame:
     )
 
 
-def gate_ticks(ticks: DataFrame, gate_closed: DataFrame) -> DataFrame:
+def gate_ticks(ticks: DataFrame, gate_closed: DataFrame, index_rows: int = INDEX_ROWS) -> DataFrame:
     """Ticks that arrive while their currency's gate is open.
 
-    Each tick meets the one index row of its currency and month, an equi-join, and finds
-    the last start at or before it by binary search.
+    Of few closings, each tick meets the one index row of its currency and month, an
+    equi-join, and finds the last start at or before it by binary search; so do the ticks
+    of a stream, which cannot be sorted. Of many, see :func:`_gate_by_merge`.
     """
+    if not ticks.isStreaming and not fits_broadcast(gate_closed.limit(index_rows + 1), index_rows):
+        return _gate_by_merge(ticks, gate_closed)
 
     def further(found: Column, step: Column) -> Column:
         there = F.get("starts", found + step - 1)
@@ -99,6 +106,49 @@ def gate_ticks(ticks: DataFrame, gate_closed: DataFrame) -> DataFrame:
     )
 
 
+def _gate_by_merge(ticks: DataFrame, gate_closed: DataFrame) -> DataFrame:
+    """Closings and ticks are merged in the order of (currency, time): a range partitioning,
+    so a row stays as narrow as it is and a currency with very many of either is spread over
+    tasks. A tick is closed if any closing that began by then ends after it. Within a
+    partition a window carries the latest end on; what crosses the partitions' edges is the
+    latest end of those before, a row for each partition and currency.
+    """
+    place, rank = "_place", "_rank"
+    asked = ticks.select(
+        "curr_code", F.col("ts").alias("_t"), F.lit(1).alias(rank),
+        F.xxhash64(*ticks.columns).alias("_spread"),
+        F.lit(None).cast(gate_closed.schema["closed_to"].dataType).alias("_until"),
+        F.struct(*ticks.columns).alias("_tick"),
+    )
+    closings = gate_closed.filter(F.col("closed_from") < F.col("closed_to")).select(
+        "curr_code", F.col("closed_from").alias("_t"), F.lit(0).alias(rank),
+        F.xxhash64("closed_to").alias("_spread"), F.col("closed_to").alias("_until"),
+        F.lit(None).cast(asked.schema["_tick"].dataType).alias("_tick"),
+    )
+    merged = staged(
+        closings.filter(F.col("curr_code").isNotNull())
+        .unionByName(asked)
+        .repartitionByRange("curr_code", "_t", rank, "_spread")
+        .withColumn(place, F.spark_partition_id())
+        .drop("_spread"),
+        "gated",
+    )
+    parts = Window.partitionBy("curr_code").orderBy(place)
+    before = (
+        merged.groupBy("curr_code", place)
+        .agg(F.max("_until").alias("_last"))
+        .select("curr_code", place, F.max("_last").over(parts.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"))
+    )
+    own = Window.partitionBy(place, "curr_code").orderBy("_t", rank)
+    latest = F.greatest("_before", F.max("_until").over(own.rowsBetween(Window.unboundedPreceding, 0)))
+    return (
+        merged.join(F.broadcast(before), [place, "curr_code"], "left")
+        .withColumn("_latest", latest)
+        .filter((F.col(rank) == 1) & ~F.coalesce(F.col("_latest") > F.col("_t"), F.lit(False)))
+        .select("_tick.*")
+    )
+
+
 def unknown_ticks(ticks: DataFrame, listing_price: DataFrame) -> DataFrame:
     """Ticks for a listing that has no price."""
     return ticks.join(listing_price.select(LISTING), LISTING, "left_anti")

@@ -198,3 +198,31 @@ def test_prices_at_many_moments(spark, table):
         upto = [r for r in own if r.price_dt <= at]
         want = upto[-1].price_post if upto else own[0].price_pre if own else dec(asset) if asset < 6 else None
         assert got[no] == want
+
+
+def test_many_closings_are_merged_with_the_ticks(spark):
+    draw = random.Random(8)
+    second = timedelta(seconds=1)
+    closed = [("C0", START, None), (None, START, START + 9000 * second), ("C1", START + second, START)]
+    for _ in range(2000):
+        begin = START + draw.randrange(-2000, 60_000) * second
+        length = draw.choice([-5, 0, 1, 3, 4000 if draw.random() < 0.02 else 7])
+        closed.append((draw.choice(["C0", "C1"]), begin, begin + length * second))
+    at = [START + draw.randrange(-3000, 70_000) * second for _ in range(3000)]
+    at += [bound for _, a, b in closed if b for bound in (a, b)] + [None]
+    ticks = [(i, t, 1, "X", [None, "C0", "C1", "C2"][i % 4], 1) for i, t in enumerate(at)]
+    ticks += ticks[:50]
+    kept = [
+        (i,)
+        for i, t, _, _, curr, _ in ticks
+        if t is None or not any(b and c == curr and a <= t < b for c, a, b in closed if c)
+    ]
+    tick_rows = spark.createDataFrame(
+        ticks, "event_id long, ts timestamp_ntz, asset_id long, exch_code string, curr_code string, variance long"
+    )
+    closings = spark.createDataFrame(closed, "curr_code string, closed_from timestamp_ntz, closed_to timestamp_ntz")
+    got = prices.gate_ticks(tick_rows, closings)
+    assert got.dtypes == tick_rows.dtypes
+    assert 100 < len(kept) < len(ticks) - 100 and rows_of(got, "event_id") == sorted(kept, key=repr)
+    # No tick carries the closings of a month.
+    assert "array" not in got._jdf.queryExecution().analyzed().toString()
