@@ -24,6 +24,13 @@ def sized_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFr
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
+def sized_lookup(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """As ``sized_broadcast``, but beyond the bound both sides are shuffled for certain.
+    For joins that make many rows of few, or whose other side was exploded: Catalyst takes
+    that side for small, and would broadcast it and do the work in this side's few tasks."""
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df.hint("merge")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``. Where that is unset,
     a temporary folder is used in local mode; on a cluster it would not be shared."""

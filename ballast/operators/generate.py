@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from ballast.functions.money import WEIGHT, amount
 from ballast.functions.numbering import number_by_id
-from ballast.functions.sizing import sized_broadcast
+from ballast.functions.sizing import sized_broadcast, sized_lookup
 from ballast.operators.shaping import isin_code, model_grid, number_listings
 from ballast.schemas import TABLES
 
@@ -143,11 +143,16 @@ def gen_model_assets(model: DataFrame, listing: DataFrame) -> DataFrame:
     a stride of at most a twentieth of them keeps up to twenty picks distinct, so
     no pair of model and listing is formed that is not picked. Weights break a
     stick of 100 percent: at least one percent each, the last takes the rest.
+
+    Models are dealt out before each becomes up to twenty rows; they come from one row per
+    advisor, and so from few tasks.
     """
+    tasks = int(model.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = number_listings(listing.select("asset_id", "exch_code", "curr_code"))
     listed = placed.groupBy("curr_code").agg(F.max("position").alias("listed"))
     sized = (
-        model.join(listed, "curr_code")
+        model.repartition(tasks, "model_id")
+        .join(F.broadcast(listed), "curr_code")
         .withColumn("n", F.least(F.col("assets_count").cast("bigint"), F.col("listed")))
         .withColumn("start", wide_draw(F.col("model_id"), 3, 8) % F.col("listed"))
         .withColumn(
@@ -179,7 +184,7 @@ def gen_model_assets(model: DataFrame, listing: DataFrame) -> DataFrame:
         .withColumn(
             "position", (F.col("start") + F.col("pos") * F.col("stride")) % F.col("listed") + 1
         )
-        .join(placed, ["curr_code", "position"])
+        .join(sized_lookup(placed), ["curr_code", "position"])
         .select(
             "model_id",
             "asset_id",

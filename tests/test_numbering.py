@@ -2,9 +2,10 @@ import random
 
 import pytest
 from portfolio import rows_of
+from pyspark.sql import functions as F
 
 from ballast.functions.numbering import number_by_id, number_by_pair
-from ballast.operators import shaping
+from ballast.operators import generate, shaping
 
 
 @pytest.mark.parametrize("top", [60, 1 << 62])
@@ -117,3 +118,14 @@ def test_sparse_ids_are_numbered_over_many_ranges(spark):
     assert got == {k: i + 1 for i, k in enumerate(sorted(keys))}
     # What meets in one partition is a count per range.
     assert "row_number" not in plan
+
+
+def test_model_assets_are_dealt_out_before_they_are_many(spark):
+    """Of many listings, neither the models nor what they become is broadcast."""
+    listing = spark.range(1, 200_101).selectExpr("id asset_id", "'X' exch_code", "concat('C', id % 2) curr_code")
+    model = spark.range(1, 41).selectExpr("id model_id", "concat('C', id % 2) curr_code", "20 assets_count")
+    picked = generate.gen_model_assets(model, listing)
+    plan = picked._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [curr_code" in plan and "hashpartitioning(model_id" in plan
+    sums = rows_of(picked.groupBy("model_id").agg(F.count_distinct("asset_id").alias("n"), F.sum("weighting").alias("w")))
+    assert [(m, n, w) for m, n, w in sorted(sums)] == [(m, 20, 1) for m in range(1, 41)]
