@@ -9,7 +9,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ballast.functions.sizing import sized_broadcast
+from ballast.functions.sizing import sized_broadcast, sized_lookup
 from ballast.operators import allocation, cash, funds, quality, trades, valuation
 
 
@@ -118,7 +118,7 @@ class Rebalance:
             frozen = valuation.price_snapshot(self.state.listing_price, self.open_headers)
         else:
             frozen = frozen.join(self.open_headers, "rebal_id", "left_semi")
-        return sized_broadcast(frozen)
+        return sized_lookup(frozen)
 
     @cached_property
     def matched(self) -> DataFrame:

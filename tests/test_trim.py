@@ -142,3 +142,25 @@ def test_cheapest_breaks_ties_by_asset(spark):
         "accnt_id long, asset_id long, price int, units_rounded int",
     )
     assert rows_of(allocation.cheapest(rows)) == [(1, 4, 2), (2, 7, 3)]
+
+
+def test_accounts_are_not_spread_in_the_tasks_of_the_models(spark, table, monkeypatch):
+    """Beyond the bound of a broadcast both sides are shuffled, however small one looks."""
+    monkeypatch.setattr(allocation, "MAX_BROADCAST_ROWS", 1)
+    snapshot = spark.createDataFrame(
+        [("R", 1, a, "X", "C0", dec(a)) for a in (1, 2)],
+        "rebal_id string, fund_id long, asset_id long, exch_code string, curr_code string, price decimal(20,6)",
+    )
+    models = spark.createDataFrame(
+        [(9, a, "X", "C0", dec("0.5")) for a in (1, 2)],
+        "model_id long, asset_id long, exch_code string, curr_code string, weighting decimal(20,6)",
+    )
+    target = spark.createDataFrame(
+        [("R", k, 1, "C0", 9, dec(k * 10)) for k in (1, 2, 3)],
+        "rebal_id string, accnt_id long, fund_id long, curr_code string, model_id long, target_invest_value decimal(20,6)",
+    )
+    spread = allocation.allocate(target, allocation.price_models(models, snapshot)[0])
+    assert "SortMergeJoin [rebal_id" in spread._jdf.queryExecution().executedPlan().toString()
+    assert rows_of(spread, "accnt_id", "asset_id", "units_target") == sorted(
+        ((k, a, dec(k * 5 / a)) for k in (1, 2, 3) for a in (1, 2)), key=repr
+    )
