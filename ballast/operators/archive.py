@@ -33,9 +33,14 @@ def archive(rows: DataFrame, id_col: str, keep: int = KEEP) -> tuple[DataFrame,
 
 
 def append_ignore_dup(stored: DataFrame, rows: DataFrame, key: Sequence[str]) -> DataFrame:
-    """The rows that really get appended: one per key, and no key stored before."""
+    """The rows that really get appended: one per key, and no key stored before.
+
+    Stored keys drop out first: that join leaves the others placed and sorted by key, so
+    choosing one of each neither moves nor sorts them again.
+    """
     key = list(key)
     rest = [name for name in rows.columns if name not in key]
-    once = rows.groupBy(*key).agg(F.min(F.struct(*rest)).alias("row"))
+    fresh = rows.join(stored.select(*key), key, "left_anti")
+    once = fresh.groupBy(*key).agg(F.min(F.struct(*rest)).alias("row"))
     once = once.select(*key, *[F.col(f"row.{name}").alias(name) for name in rest])
-    return once.join(stored.select(*key), key, "left_anti").select(rows.columns)
+    return once.select(rows.columns)

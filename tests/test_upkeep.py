@@ -144,11 +144,24 @@ def test_rejected_accounts_do_not_keep_a_fund_open(table, headers):
 
 
 def test_a_cluster_needs_a_shared_folder():
-    from types import SimpleNamespace
-
+    
     from ballast.functions.sizing import shared_dir
 
     context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
     session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *_: None))
     with pytest.raises(ValueError):
         shared_dir(session)
+
+
+def test_append_sorts_incoming_rows_once(spark):
+    stored = spark.createDataFrame([(1, "z"), (None, "z")], "id long, v string")
+    rows = spark.createDataFrame([(1, "a"), (2, "c"), (2, "b"), (3, None), (3, "d"), (None, "q"), (None, "p")], "id long, v string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = archive.append_ignore_dup(stored, rows, ["id"])
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hash") == 2 and plan.count("Sort [") == 2
+        assert rows_of(got) == sorted([(2, "b"), (3, None), (None, "p")], key=repr)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
