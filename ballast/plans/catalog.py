@@ -411,9 +411,10 @@ def withdrawal_ledger(src):
 
 
 def _asset_history(src: StarSource) -> DataFrame:
-    """Numbered per-asset rows, stored: the archive reads them more than once."""
-    rows = staged(_rebalance(src, store=HELD).account_asset, "account_asset")
-    return staged(number_by_pair(rows, "accnt_id", "asset_id", "history_id"), "history")
+    """Numbered per-asset rows. The numbering stores its input and its ranges, and the
+    numbers follow from the latter, so reading them more than once costs little."""
+    rows = _rebalance(src, store=HELD).account_asset
+    return number_by_pair(rows, "accnt_id", "asset_id", "history_id")
 
 
 @query

@@ -1,12 +1,14 @@
 """Cash, archive, quality, progress and closing."""
 
 from datetime import datetime
+from types import SimpleNamespace
 
 import pytest
 from portfolio import AS_OF, OPEN, THEN, dec, rows_of
 from pyspark.sql import functions as F
 
 from ballast.operators import archive, cash, funds, quality
+from ballast.plans import catalog
 
 NOW = datetime(2024, 2, 1)
 
@@ -144,7 +146,8 @@ def test_rejected_accounts_do_not_keep_a_fund_open(table, headers):
 
 
 def test_a_cluster_needs_a_shared_folder():
-    
+    from types import SimpleNamespace
+
     from ballast.functions.sizing import shared_dir
 
     context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
@@ -165,3 +168,11 @@ def test_append_sorts_incoming_rows_once(spark):
         assert rows_of(got) == sorted([(2, "b"), (3, None), (None, "p")], key=repr)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_archived_history_is_not_stored_again(spark, monkeypatch):
+    rows = spark.range(30).selectExpr("id div 3 accnt_id", "id asset_id")
+    monkeypatch.setattr(catalog, "_rebalance", lambda src, store: SimpleNamespace(account_asset=rows))
+    monkeypatch.setattr(catalog, "staged", lambda df, label: pytest.fail(f"{label} is stored"))
+    got = catalog._asset_history(None)
+    assert rows_of(got, "asset_id", "history_id") == sorted(((i, i + 1) for i in range(30)), key=repr)
