@@ -226,10 +226,12 @@ def pack(
     window: int = WINDOW,
     end_id: int = END_ID,
     max_open: int = MAX_OPEN,
+    slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """A row per piece: doc_id, start, length, ids (little-endian unsigned 32-bit,
     as binary), doc_tokens, sequence_id, offset. ``tokenizer_path`` must exist on
-    every executor."""
+    every executor. A worker tokenises about ``slice_bytes`` of text at a time, for
+    which it takes some thirty times that memory."""
     source = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
     schema = (
@@ -269,7 +271,7 @@ def pack(
 
         for batch in batches:
             id_type = batch.column(0).type
-            for first, last in slices(batch.column(1)):
+            for first, last in slices(batch.column(1), slice_bytes):
                 names = batch.column(0)[first:last].to_pylist()
                 for doc, ids in zip(names, words.ids(batch.column(1)[first:last])):
                     ids += end

@@ -24,6 +24,9 @@ LEAST_SCORE = 0.35
 # Rows that go to a Python worker at a time, unless the application chose a number: whole
 # texts are some kilobytes each, and workers and executors hold a few such batches.
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"
+# Of these, packing tokenises so many bytes at a time: its workers stand beside an executor
+# that the stages before have filled.
+PACK_BYTES = 1_000_000
 
 
 def _bounded(spark: SparkSession) -> None:
@@ -63,7 +66,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents, with their ids."""
     _bounded(spark)
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), slice_bytes=PACK_BYTES)
 
 
 STAGES = [

@@ -1,10 +1,12 @@
 """The ids of every code point, in several surroundings, are the tokenizer's."""
 
+import numpy as np
 import pyarrow as pa
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
-from ballast.llm import packing
+from ballast.llm import packing, suffix_tree
 
 
 def test_ids_of_every_code_point():
@@ -24,3 +26,22 @@ def test_ids_of_every_code_point():
             if memoryview(g).cast("I").tolist() != w.ids:
                 wrong.append(t)
     assert wrong == []
+
+
+def test_pieces_do_not_depend_on_how_much_is_tokenised_at_a_time(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    docs = spark.range(60).selectExpr(
+        "id doc_id", "if(id % 9 = 0, null, repeat(concat('Word ', id, ' naïve; '), cast(id * 5 as int))) text"
+    ).coalesce(1)
+    whole, sliced = (packing.pack(docs, path, slice_bytes=n).collect() for n in (4_000_000, 100))
+    assert sorted(whole, key=repr) == sorted(sliced, key=repr) and len(whole) >= 60
+
+
+def test_each_text_is_coded_once_when_scored(monkeypatch):
+    texts = ["a b", "", "a  c\nd", "b" * 30]
+    tree = suffix_tree.Tree(np.log10(np.full(256, 1 / 256)), [])
+    coded, symbols = [], suffix_tree.symbols
+    monkeypatch.setattr(suffix_tree, "symbols", lambda text: coded.append(text) or symbols(text))
+    got = suffix_tree.log_scores(tree, texts)
+    assert coded == texts
+    assert got == pytest.approx([-n * np.log10(256) for n in (4, 1, 6, 31)])
