@@ -76,10 +76,9 @@ def _unreal(starts: np.ndarray) -> np.ndarray:
     return (starts[1:, None] - DEPTH + np.arange(DEPTH)).ravel()
 
 
-def _codes(texts: list[str]) -> np.ndarray:
-    """For each symbol of the texts the number written by the DEPTH bytes before it
-    and itself."""
-    stream, starts = _streams(texts)
+def _codes(stream: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """For each symbol of the ``_streams`` of texts the number written by the DEPTH bytes
+    before it and itself."""
     total = max(0, len(stream) - DEPTH)
     code = np.zeros(total, np.int64)
     for j in range(DEPTH + 1):
@@ -99,7 +98,7 @@ def gram_counts(docs: DataFrame, text: str = "text") -> DataFrame:
                 part.append(t)
                 size += len(t)
                 if size >= CHUNK or i == len(texts) - 1:
-                    code, n = np.unique(_codes(part), return_counts=True)
+                    code, n = np.unique(_codes(*_streams(part)), return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], ["gram", "n"])
                     part, size = [], 0
 
@@ -229,8 +228,8 @@ def log_scores(tree: Tree, texts: list[str]) -> np.ndarray:
         size += len(t)
         if size < CHUNK // 4 and i < len(texts) - 1:
             continue
-        _, starts = _streams(part)
-        code, back = np.unique(_codes(part), return_inverse=True)
+        stream, starts = _streams(part)
+        code, back = np.unique(_codes(stream, starts), return_inverse=True)
         # Without the leading ends of the texts before.
         out.append(np.add.reduceat(gram_scores(tree, code)[back], starts - DEPTH * np.arange(len(part))))
         part, size = [], 0
