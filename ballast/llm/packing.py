@@ -63,11 +63,12 @@ class Words(dict):
     """Ids of whole texts, from the ids of their words: the tokenizer never joins
     across a blank. Maps each word seen to its ids as bytes."""
 
-    def __init__(self, tokenizer_path: str):
+    def __init__(self, tokenizer_path: str, kept: int = KEPT_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         super().__init__({"": b""})
+        self.kept = kept
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.model = self.tokenizer.model
         # Whether words of letters alone are lower-cased and go to the model whole.
@@ -103,7 +104,7 @@ class Words(dict):
 
     def ids(self, texts: pa.Array) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        if len(self) > KEPT_WORDS:
+        if len(self) > self.kept:
             self.clear()
             self[""] = b""
         blank = pc.replace_substring(pc.fill_null(texts, ""), "\n", " ")
@@ -227,11 +228,14 @@ def pack(
     end_id: int = END_ID,
     max_open: int = MAX_OPEN,
     slice_bytes: int = SLICE_BYTES,
+    out_bytes: int = OUT_BYTES,
+    kept_words: int = KEPT_WORDS,
 ) -> DataFrame:
     """A row per piece: doc_id, start, length, ids (little-endian unsigned 32-bit,
     as binary), doc_tokens, sequence_id, offset. ``tokenizer_path`` must exist on
     every executor. A worker tokenises about ``slice_bytes`` of text at a time, for
-    which it takes some thirty times that memory."""
+    which it takes some thirty times that memory; keeps the ids of about ``kept_words``
+    words, some 250 bytes each; and hands on pieces once they hold ``out_bytes`` of ids."""
     source = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
     schema = (
@@ -241,7 +245,7 @@ def pack(
     end = np.asarray([end_id], "<u4").tobytes()
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, levels = Words(tokenizer_path), Levels(window)
+        words, levels = Words(tokenizer_path, kept_words), Levels(window)
         next_sequence = TaskContext.get().partitionId() << 33
         out: list[tuple] = []
         held = 0
@@ -286,12 +290,12 @@ def pack(
                         elif levels.open >= max_open:
                             for pieces in levels.flush():
                                 close(pieces)
-                    if held > OUT_BYTES:
+                    if held > out_bytes:
                         yield written()
         words.clear()
         for pieces in levels.flush():
             close(pieces)
-            if held > OUT_BYTES:
+            if held > out_bytes:
                 yield written()
         yield written()
 

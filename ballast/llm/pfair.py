@@ -28,7 +28,8 @@ import heapq
 import math
 from fractions import Fraction
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -84,6 +85,14 @@ def cycle_slots(slots: dict) -> list[tuple]:
     return placed
 
 
+def _small(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A broadcast table of the driver's rows. They go over as Arrow: of a list Spark makes
+    an RDD, for which each executor starts Python workers that then stand idle."""
+    names = [column.split()[0] for column in schema.split(", ")]
+    columns = zip(names, zip(*rows)) if rows else ((name, ()) for name in names)
+    return F.broadcast(spark.createDataFrame(pa.table({k: pa.array(v) for k, v in columns}), schema))
+
+
 def tempered(docs: DataFrame, source: str = "source", text: str = "text") -> DataFrame:
     """Weights by the square root of each source's characters: source, weight."""
     return docs.groupBy(F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source")).agg(
@@ -133,9 +142,7 @@ def schedule(
     spark = docs.sparkSession
     slots = whole_slots({r["source"]: r["weight"] for r in weights.collect()}, cycle)
     given = list(slots)
-    names = F.broadcast(
-        spark.createDataFrame([(k, k) for k in given], "source string, component string")
-    )
+    names = _small(spark, [(k, k) for k in given], "source string, component string")
     rows = docs.select(
         F.monotonically_increasing_id().alias("row_id"),
         F.col(doc_id).alias("doc_id"),
@@ -146,13 +153,9 @@ def schedule(
     if not rows.select("source").join(names, "source", "left_anti").isEmpty():
         slots[OTHERS] = 1
     size = sum(slots.values())
-    share = F.broadcast(
-        spark.createDataFrame(list(slots.items()), "component string, per_cycle bigint")
-    )
-    table = F.broadcast(
-        spark.createDataFrame(
-            cycle_slots(slots), "component string, in_cycle bigint, at bigint, from bigint, to bigint"
-        )
+    share = _small(spark, list(slots.items()), "component string, per_cycle bigint")
+    table = _small(
+        spark, cycle_slots(slots), "component string, in_cycle bigint, at bigint, from bigint, to bigint"
     )
     placed = rows.join(names, "source", "left").withColumn(
         "component", F.coalesce("component", F.lit(OTHERS))

@@ -21,17 +21,22 @@ from ballast.llm.shared import free_name, id_bucket
 
 # A text that no language explains better than this is rejected.
 LEAST_SCORE = 0.35
-# Rows that go to a Python worker at a time, unless the application chose a number: whole
-# texts are some kilobytes each, and workers and executors hold a few such batches.
-BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"
-# Of these, packing tokenises so many bytes at a time: its workers stand beside an executor
-# that the stages before have filled.
-PACK_BYTES = 1_000_000
+# Rows that are read, and that go to a Python worker, at a time, unless the application chose
+# a number: whole texts are some kilobytes each, and workers and executors hold a few such
+# batches.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.parquet.columnarReaderBatchSize": "1000",
+}
+# Packing's workers stand beside an executor that the stages before have filled, so they
+# tokenise, hand on and keep little at a time.
+PACKING = {"slice_bytes": 250_000, "out_bytes": 1_000_000, "kept_words": 50_000}
 
 
 def _bounded(spark: SparkSession) -> None:
-    if not spark.sparkContext.getConf().contains(BATCH[0]):
-        spark.conf.set(*BATCH)
+    for key, rows in BATCHES.items():
+        if not spark.sparkContext.getConf().contains(key):
+            spark.conf.set(key, rows)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,7 +71,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents, with their ids."""
     _bounded(spark)
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), slice_bytes=PACK_BYTES)
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), **PACKING)
 
 
 STAGES = [

@@ -269,6 +269,12 @@ def test_mixture(docs, none):
     assert pfair.mixed(none, pfair.tempered(none)).count() == 0
 
 
+def test_small_tables_of_the_mixture_start_no_python(docs):
+    slots = pfair.schedule(docs, pfair.tempered(docs), block=64)
+    plan = slots._jdf.queryExecution().analyzed().toString()
+    assert "LocalRelation" in plan and "LogicalRDD" not in plan
+
+
 @pytest.mark.parametrize("weights", [{"a": 1}, {"a": 3, "b": 1}, {"a": 0.6, "b": 0.3, "c": 0.099, "d": 0.001}])
 def test_schedule_keeps_every_share_within_one_block(weights):
     slots = pfair.whole_slots(weights, 512)

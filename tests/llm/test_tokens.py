@@ -37,6 +37,21 @@ def test_pieces_do_not_depend_on_how_much_is_tokenised_at_a_time(spark):
     assert sorted(whole, key=repr) == sorted(sliced, key=repr) and len(whole) >= 60
 
 
+def test_packing_keeps_few_words_and_hands_on_few_ids(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    few = packing.Words(path, kept=50)
+    texts = [" ".join(f"word{i}x{j}" for j in range(20)) for i in range(40)]
+    got, most = [], 0
+    for text in texts:
+        got += few.ids(pa.array([text]))
+        most = max(most, len(few))
+    # Words of the last text come on top, each with its parts.
+    assert most <= 50 + 3 * 20 and got == list(packing.Words(path).ids(pa.array(texts)))
+    docs = spark.createDataFrame([(i, text * 9) for i, text in enumerate(texts)], "doc_id bigint, text string").coalesce(1)
+    many, few = (packing.pack(docs, path, **bounds) for bounds in ({}, {"out_bytes": 100, "kept_words": 50}))
+    assert many.collect() == few.collect() and many.count() >= 40
+
+
 def test_each_text_is_coded_once_when_scored(monkeypatch):
     texts = ["a b", "", "a  c\nd", "b" * 30]
     tree = suffix_tree.Tree(np.log10(np.full(256, 1 / 256)), [])
