@@ -22,7 +22,10 @@ each for itself, a null id is kept. Other columns are left out.
 from __future__ import annotations
 
 import os
+import re
+import struct
 from collections.abc import Iterator
+from string import punctuation
 from unicodedata import normalize
 
 import numpy as np
@@ -56,7 +59,12 @@ SHOWN = _shown()
 def prepared(text: str) -> str:
     """What the tokenizer makes of letters before it cuts them into pieces."""
     text = normalize("NFC", text)
-    return text if text.islower() else "".join([c.lower() for c in text])
+    # The tokenizer lower-cases letter by letter; str.lower looks further at final sigmas.
+    return text if text.islower() else text.replace("\u03a3", "\u03c3").lower()
+
+
+def _bytes(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class Words(dict):
@@ -71,6 +79,8 @@ class Words(dict):
         self.kept = kept
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.model = self.tokenizer.model
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added) or "(?!)", re.IGNORECASE)
         # Whether words of letters alone are lower-cased and go to the model whole.
         self.lettered = all(
             self.tokenizer.encode(w, add_special_tokens=False).ids
@@ -79,28 +89,33 @@ class Words(dict):
         )
 
     def __missing__(self, word: str) -> bytes:
-        if word.isascii() and word != word.lower():
-            ids = self[word.lower()]  # the tokenizer knows lower case only
-        elif len(word) > 1 and word[-1] in ",." and prepared(word[-2]).isalnum():
-            ids = self[word[:-1]] + self[word[-1]]  # no token holds both
+        plain = word.lower() if word.isascii() else prepared(word)
+        if not (self.lettered and word.isalpha() and plain.isalpha()):
+            ids = self.of_parts(word)
+        elif word.isascii() and plain != word:
+            ids = self[plain]  # the tokenizer knows lower case only
         else:
-            ids = self.of_letters(word) if self.lettered and word.isalpha() else None
-            if ids is None:
-                coded = self.tokenizer.encode(word, add_special_tokens=False)
-                ids = np.asarray(coded.ids, "<u4").tobytes()
+            ids = self.of_letters(plain)
         self[word] = ids
         return ids
 
-    def of_letters(self, word: str) -> bytes | None:
+    def of_letters(self, plain: str) -> bytes:
         """A word of letters is one piece for the model, which is all that is left
-        to run; none if lower-casing brings in something else."""
-        plain = word
-        if not word.isascii():
-            plain = prepared(word)
-            if not plain.isalpha():
-                return None  # a mark came in, which is a piece for itself
+        to run."""
+        if not plain.isascii():
             plain = plain.encode().decode("latin1").translate(SHOWN)
-        return np.asarray([t.id for t in self.model.tokenize(plain)], "<u4").tobytes()
+        return _bytes([t.id for t in self.model.tokenize(plain)])
+
+    def of_parts(self, word: str) -> bytes:
+        """No token holds both a letter or digit and the marks behind it. An added
+        token is a piece for itself, in the very letters it is written in."""
+        if not self.added.search(word):
+            stem = word.rstrip(punctuation)
+            if 0 < len(stem) < len(word) and prepared(stem[-1]).isalnum():
+                return self[stem] + self[word[len(stem) :]]
+            if word.isascii() and word != word.lower():
+                return self[word.lower()]
+        return _bytes(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
     def ids(self, texts: pa.Array) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -110,8 +125,11 @@ class Words(dict):
         blank = pc.replace_substring(pc.fill_null(texts, ""), "\n", " ")
         split = pc.split_pattern(blank.cast(pa.large_string()), " ")
         coded = split.flatten().dictionary_encode()
-        parts = [self[word] for word in coded.dictionary.to_pylist()]
-        each = np.fromiter((len(p) // 4 for p in parts), np.int64, len(parts))
+        # One string, cut at its blanks, comes over faster than a string a word.
+        listed = pa.ListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary)
+        joined = pc.binary_join(listed, pa.scalar(" ", listed.type.value_type))[0].as_py()
+        parts = [self[word] for word in joined.split(" ")]
+        each = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
         pool = np.frombuffer(b"".join(parts), "<u4")
         used = coded.indices.to_numpy()
         lengths = each[used]

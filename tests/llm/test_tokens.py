@@ -1,5 +1,7 @@
 """The ids of every code point, in several surroundings, are the tokenizer's."""
 
+import string
+
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
@@ -28,6 +30,44 @@ def test_ids_of_every_code_point():
     assert wrong == []
 
 
+def test_marks_behind_a_word_do_not_send_it_to_the_tokenizer():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    words, whole = packing.Words(path), []
+    tokenizer = words.tokenizer
+
+    class Counted:
+        def encode(self, word, **options):
+            whole.append(word)
+            return tokenizer.encode(word, **options)
+
+    words.tokenizer = Counted()
+    marks = ["###", "%%%", ".!!", ",", "'", "&&&"]
+    stems = [a + b for a in ("word", "Na\u00efve", "stra\u00dfe", "UPPER") for b in "abcdefgh"]
+    text = " ".join(stem + mark for stem in stems for mark in marks)
+    (got,) = words.ids(pa.array([text]))
+    assert memoryview(got).cast("I").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert sorted(whole) == sorted(marks)
+
+
+def test_ids_with_marks_and_added_tokens():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer, words = Tokenizer.from_file(path), packing.Words(path)
+    texts = [
+        "it's. dogs' he'd!! x'S% 5% 10,000.00! \u00b2. \u2163,. \u0130. I\u0307% e\u0301## <\u0338 a<\u0338",
+        "\u03a3\u03a3 \u039f\u03a3. \u03bf\u03a3# H\u0331. h\u0331 \u01c5% \ud55c\uae00!! \u1112\u1161\u11ab? \u4e2d\u6587.",
+        "<|endoftext|> a<|endoftext|>. <|endoftext|>b# <|ENDOFTEXT|> A<|StartOfText|>! <|endoftext <|endoftext|>>",
+        " ".join(a + b for a in ("a", "A", "\u00c9", "7", "a-b", "-", "_") for b in string.punctuation),
+    ]
+    for text, got in zip(texts, words.ids(pa.array(texts))):
+        for word in text.split(" "):
+            assert (word, memoryview(words[word]).cast("I").tolist()) == (
+                word,
+                tokenizer.encode(word, add_special_tokens=False).ids,
+            )
+        assert memoryview(got).cast("I").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert list(words.ids(pa.array([], pa.string()))) == []
+
+
 def test_pieces_do_not_depend_on_how_much_is_tokenised_at_a_time(spark):
     path = public_tokenizers.path("word_bpe_49k.json")
     docs = spark.range(60).selectExpr(
