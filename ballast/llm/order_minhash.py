@@ -16,10 +16,13 @@ texts all pairs are candidates. In a larger one every text is first compared wit
 the text that shares most keys with others, so n texts cost n pairs. Keys whose texts are
 not of one class then are open, and their texts are joined by rare runs, which misses no
 pair: similar texts share one of the rarest fifth, plus one, of the runs of either, and
-what follows that run must still hold all the runs the two have to share. Within a run,
-the texts outside its largest class are compared with all that this leaves. So of two
-similar texts with a key in common both are in one class at the end. Texts of one class,
-and pairs that were compared before, are not compared again.
+what follows that run must still hold all the runs the two have to share. First each text
+is compared with the hubs of the largest classes in its runs, the texts of most common
+runs, and what that links is one class; then, within a run, the texts outside its largest
+class with all that this leaves. So of two similar texts with a key in common both are in
+one class at the end. Texts of one class, and pairs that were compared before, are not
+compared again, and a pair that meets in two runs, one after the other in both texts'
+orders, is made once.
 
 Null and blank texts are one class of copies. A text of fewer than ``K`` words is one run.
 Texts are compared by words; other white space does not count. Repeated rows are copies.
@@ -47,6 +50,8 @@ LEAST = 0.8
 SKETCHES = 16
 PICKED = 2
 SMALL = 8
+# Rounds of stars by rare runs, before all pairs that are left.
+ROUNDS = 2
 # Numbers of texts, 8 bytes each, that are broadcast at most: some 50 MB as a hash table.
 FEW_NODES = 1_000_000
 
@@ -271,35 +276,45 @@ def _reaches(n: Column, at: Column, total: Column) -> Column:
     return n - at + 1e-6 >= LEAST / (1 + LEAST) * total
 
 
-def _by_rare_runs(open_texts: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b), a < b, of different classes, among them all similar ones. The runs
-    of each text are put in one order, rarest first; ``at`` is a run's place in it. From
-    the first run that an alignment of two texts has, all that it has is still to come in
-    both; and that run lies within the band, as all aligned runs do."""
+def _rare(open_texts: DataFrame, texts: DataFrame) -> DataFrame:
+    """Rows (run, x) of each text's rarest runs, of which similar texts share one. The runs
+    of each text are put in one order, rarest first; ``at`` is a run's place in it, ``prev``
+    the run before it that another text has as well. From the first run that an alignment
+    of two texts has, all that it has is still to come in both; and that run lies within
+    the band, as all aligned runs do."""
     runs = staged(_runs(texts.join(_few(open_texts.select("node")), "node", "left_semi")), "runs")
     # Runs of one text only come first and meet nothing, so they are only counted.
     often = runs.groupBy("run").agg(F.count("*").alias("often")).filter("often > 1")
     own = Window.partitionBy("node")
+    ordered = own.orderBy("often", "run")
     placed = (
         runs.join(often, "run")
         .select(
             "node",
             "run",
             "place",
-            F.row_number().over(own.orderBy("often", "run")).alias("nth"),
+            F.row_number().over(ordered).alias("nth"),
+            F.lag("run").over(ordered).alias("prev"),
+            F.lag("place").over(ordered).alias("prev_place"),
             F.count("*").over(own).alias("common"),
+            F.sum("often").over(own).alias("met"),
         )
         .join(open_texts, "node")
         .withColumn("at", (F.col("n") - F.col("common") + F.col("nth") - 1).cast("int"))
+        .withColumn("fame", F.col("met") / F.col("n"))
     )
     # The other text has LEAST of this one's runs at least.
-    rare = staged(
+    return staged(
         placed.filter(_reaches(F.col("n"), F.col("at"), (1 + LEAST) * F.col("n"))).select(
-            "run", F.struct("node", "n", "label", "at", "place").alias("x")
+            "run", F.struct("node", "n", "label", "at", "place", "prev", "prev_place", "fame").alias("x")
         ),
         "rare",
     )
-    mains = staged(
+
+
+def _mains(rare: DataFrame) -> DataFrame:
+    """Of each run that texts of several classes have: the largest class among them."""
+    return staged(
         rare.groupBy("run", F.col("x.label").alias("label"))
         .agg(F.count("*").alias("size"))
         .groupBy("run")
@@ -308,19 +323,79 @@ def _by_rare_runs(open_texts: DataFrame, texts: DataFrame) -> DataFrame:
         .select("run", "main"),
         "mains",
     )
-    out = rare.join(mains, "run").filter(F.col("x.label") != F.col("main")).select("run", F.col("x").alias("y"))
-    x, y = F.col("x"), F.col("y")
+
+
+def _relabelled(rare: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rare runs with the classes of ``labels``, without the runs of one class only."""
+    named = labels.select(F.col("node").alias("_node"), F.col("label").alias("_label"))
+    known = rare.join(named, F.col("x.node") == F.col("_node"), "left").select(
+        "run", F.col("x").withField("label", F.coalesce("_label", "x.label")).alias("x")
+    )
+    rows = staged(known, "rare")
+    several = rows.groupBy("run").agg(F.min("x.label").alias("low"), F.max("x.label").alias("high"))
+    return rows.join(several.filter("low <> high").select("run"), "run", "left_semi")
+
+
+def _within(x: Column, y: Column, place: str) -> Column:
+    """Whether both have the run at places within the band."""
+    need = LEAST / (1 + LEAST) * (x["n"] + y["n"])
+    return F.abs(x[place] - y[place]) <= F.greatest(x["n"], y["n"]) - need + 1e-6
+
+
+def _meet(x: Column, y: Column) -> Column:
+    """Whether a run that both have may be the first of an alignment."""
     total = x["n"] + y["n"]
-    band = F.greatest(x["n"], y["n"]) - LEAST / (1 + LEAST) * total + 1e-6
-    near = (
+    return (
         _reaches(x["n"], x["at"], total)
         & _reaches(y["n"], y["at"], total)
-        & (F.abs(x["place"] - y["place"]) <= band)
+        & _within(x, y, "place")
+        & _plausible(x, y)
+    )
+
+
+def _rare_stars(rare: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b: each text with the hub of every class that is the largest in
+    one of its runs, so they are no more than the rows. A hub is the text of its class
+    whose runs the others have most."""
+    x = F.col("x")
+    hubs = rare.groupBy(x["label"].alias("main")).agg(
+        F.max(F.struct(x["fame"].alias("fame"), (-x["node"]).alias("low"), "x"))["x"].alias("y")
+    )
+    met = rare.join(_mains(rare), "run").filter(x["label"] != F.col("main"))
+    met = met.select(F.struct(x["node"], x["n"], x["label"]).alias("x"), "main").distinct()
+    return _ordered(met.join(staged(hubs, "hubs"), "main")).distinct()
+
+
+def _by_rare_runs(rare: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b, of different classes, among them all similar ones. A pair that
+    meets in the run before, too, is made there."""
+    out = rare.join(_mains(rare), "run").filter(F.col("x.label") != F.col("main")).withColumnRenamed("x", "y")
+    x, y = F.col("x"), F.col("y")
+    # Of two texts outside the largest class one is x.
+    once = (x["label"] == F.col("main")) | (x["node"] < y["node"])
+    before = (x["prev"] == y["prev"]) & _within(x, y, "prev_place")
+    met = rare.join(
+        out, (rare["run"] == out["run"]) & once & _meet(x, y) & ~F.coalesce(before, F.lit(False))
     )
-    met = rare.join(out, (rare["run"] == out["run"]) & near & _plausible(x, y))
     return _ordered(met.select("x", "y")).distinct()
 
 
+def _links_by_rare_runs(open_texts: DataFrame, texts: DataFrame, links: DataFrame, tested: DataFrame) -> DataFrame:
+    """``links`` and those that rare runs add. Stars come first, as long as they link
+    anything, up to ``ROUNDS`` times: what they bring into one class needs no more pairs."""
+    rare = _rare(open_texts, texts)
+    for _ in range(ROUNDS):
+        stars = staged(staged(_rare_stars(rare), "stars").join(tested, ["a", "b"], "left_anti"), "pairs")
+        found = staged(verified(stars, texts), "verified")
+        tested = tested.unionByName(stars)
+        if found.isEmpty():
+            break
+        links = links.unionByName(found)
+        rare = _relabelled(rare, components(links))
+    pairs = staged(_by_rare_runs(rare), "rest").join(tested, ["a", "b"], "left_anti")
+    return links.unionByName(staged(verified(staged(pairs, "pairs"), texts), "verified"))
+
+
 def _few(nodes: DataFrame) -> DataFrame:
     """Numbers of texts, broadcast up to ``FEW_NODES``, so that the texts themselves
     need not be shuffled to pick some; beyond that both sides are."""
@@ -393,10 +468,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     labels = components(links)
     open_texts = _open(shared, labels)
     if not open_texts.isEmpty():
-        pairs = _by_rare_runs(open_texts, texts).join(tested, ["a", "b"], "left_anti")
-        found = staged(verified(staged(pairs, "pairs"), texts), "verified")
-        if not found.isEmpty():
-            labels = components(links.unionByName(found))
+        labels = components(_links_by_rare_runs(open_texts, texts, links, tested))
     named = (
         texts.drop("ids")
         .join(labels, "node", "left")
